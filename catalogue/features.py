@@ -233,7 +233,8 @@ LINE_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
     f"SELECT {', '.join(LINE_KEY)}, sha256(concat_ws('|', {', '.join(LINE_KEY)})) AS feature_id FROM lineitem",
 )
 def line_keys(spark, folder):
-    return fixture(spark, folder, "lineitem").select(*LINE_KEY, surrogate_key(LINE_KEY).alias("feature_id"))
+    lines = fixture(spark, folder, "lineitem", LINE_KEY)
+    return lines.select(*LINE_KEY, surrogate_key(lines, LINE_KEY).alias("feature_id"))
 
 
 @query(

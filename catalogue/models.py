@@ -28,7 +28,7 @@ from cohortloom.operators.lifecycle import threshold_gate
 from cohortloom.operators.summaries import score_summary, top_rows
 from cohortloom.plans.modelling import evaluate_run, train_and_score
 from cohortloom.session import fresh_path
-from cohortloom.sources.sinks import write_csv
+from cohortloom.sources.sinks import write_csv, write_table
 from cohortloom.sources.tables import fixture
 
 CREATED = "2024-01-01 00:00:00"
@@ -221,7 +221,7 @@ def line_run_gate(spark, folder):
     return rounded(gate, {"metric_value": 6})
 
 
-TRIAL = BoostingSettings(trees=5, depth=3, learning_rate=0.3)
+TRIAL = BoostingSettings(trees=5, depth=3, learning_rate=0.3, partitions=8)
 
 
 def _trainable(spark, folder):
@@ -241,7 +241,8 @@ def _model(spark, folder):
 @query("train_gbt")
 def trained_run(spark, folder):
     _, scored = train_and_score(_trainable(spark, folder), FEATURES, "label", "data_split", TRIAL)
-    return evaluate_run(scored, "run-1", "dev", moment(CREATED))
+    log = write_table(scored, fresh_path(spark, "predictions"))
+    return evaluate_run(log, "run-1", "dev", moment(CREATED))
 
 
 @query("score_gbt")

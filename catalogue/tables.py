@@ -130,8 +130,9 @@ FEATURES = ["o_totalprice", "is_urgent"]
 
 
 def _order_features(spark, folder):
-    return fixture(spark, folder, "orders").select(
-        surrogate_key(["o_orderkey", "o_custkey"]).alias("feature_id"),
+    orders = fixture(spark, folder, "orders")
+    return orders.select(
+        surrogate_key(orders, ["o_orderkey", "o_custkey"]).alias("feature_id"),
         "o_totalprice",
         (F.col("o_orderpriority") == "1-URGENT").cast("int").alias("is_urgent"),
     )

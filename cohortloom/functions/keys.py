@@ -4,21 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 
-def surrogate_key(columns: Sequence[str]) -> Column:
+def surrogate_key(df: DataFrame, columns: Sequence[str]) -> Column:
     """SHA-256 of the natural key: the same row gets the same key in every run.
 
-    Separators inside a value are escaped and NULL has its own mark, so that
+    Separators inside a text are escaped and NULL has its own mark, so that
     different keys never share one text.
     """
     parts = []
     for name in columns:
         text = F.col(name).cast("string")
-        escaped = F.replace(F.replace(text, F.lit("\\"), F.lit("\\\\")), F.lit("|"), F.lit("\\|"))
-        parts.append(F.coalesce(escaped, F.lit("\\N")))
+        if not isinstance(df.schema[name].dataType, NumericType):
+            text = F.replace(F.replace(text, F.lit("\\"), F.lit("\\\\")), F.lit("|"), F.lit("\\|"))
+        parts.append(F.coalesce(text, F.lit("\\N")))
     return F.sha2(F.concat_ws("|", *parts), 256)
 
 

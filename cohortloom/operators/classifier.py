@@ -21,7 +21,9 @@ class BoostingSettings:
     """Settings of the boosted trees.
 
     ``row_share`` is drawn per tree and ``feature_share`` per node. Splits need
-    ``min_rows`` rows on each side and at least ``min_gain``.
+    ``min_rows`` rows on each side and at least ``min_gain``. ``partitions``
+    spreads the rows evenly before the many passes of training; leave it unset
+    where the table already has enough partitions for the cluster.
     """
 
     trees: int = 300
@@ -32,6 +34,7 @@ class BoostingSettings:
     min_rows: int = 5
     min_gain: float = 0.0
     seed: int = 42
+    partitions: int | None = None
 
 
 def training_set(
@@ -81,7 +84,8 @@ def train_boosted_trees(
     if weight:
         trees = trees.setWeightCol(weight)
     assembler = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid=missing)
-    return Pipeline(stages=[assembler, trees]).fit(rows)
+    spread = rows.repartition(settings.partitions) if settings.partitions else rows
+    return Pipeline(stages=[assembler, trees]).fit(spread)
 
 
 def feature_importance(spark: SparkSession, model: PipelineModel, features: Sequence[str]) -> DataFrame:

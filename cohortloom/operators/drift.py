@@ -6,12 +6,11 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortloom.functions.numeric import finite_or_null
-from cohortloom.operators.ordered import running_counts
+from cohortloom.operators.ordered import column_summary, range_count, running_counts
 
 # Severity limits, highest first, with the severity and the action
 # each one calls for; below the last limit a feature is STABLE and needs NO_ACTION.
@@ -49,12 +48,12 @@ def drift_long(df: DataFrame, features: Sequence[str], is_reference: Column) ->
     )
 
 
-def _cohorts(is_reference: Column) -> dict[str, Column]:
-    return {"ref": is_reference, "cur": ~is_reference}
-
-
 def ordered_distances(
-    df: DataFrame, features: Sequence[str], is_reference: Column, ranges: int | None = None
+    df: DataFrame,
+    features: Sequence[str],
+    is_reference: Column,
+    ranges: int | None = None,
+    splits: Mapping[str, Sequence[float]] | None = None,
 ) -> DataFrame:
     """(feature, wasserstein, wasserstein_norm, ks) from one ordered pass.
 
@@ -62,7 +61,10 @@ def ordered_distances(
     reference's standard deviation (at least 0.001), and their largest
     difference. NULL when a cohort has no values.
     """
-    curve = running_counts(df, features, _cohorts(is_reference), ranges)
+    if splits is None:
+        found = column_summary(df, features, ranges=range_count(df, ranges))
+        splits = {c: found[c].splits for c in features}
+    curve = running_counts(df, features, {"ref": is_reference, "cur": ~is_reference}, splits)
     gap = F.abs(
         F.try_divide(F.col("ref_upto").cast("double"), F.col("ref_total").cast("double"))
         - F.try_divide(F.col("cur_upto").cast("double"), F.col("cur_total").cast("double"))
@@ -95,32 +97,84 @@ def kolmogorov_smirnov(
     return ordered_distances(df, features, is_reference, ranges).select("feature", "ks")
 
 
-def _cohort_counts(rows: DataFrame, cell: str) -> DataFrame:
-    """Counts per (feature, cell) with the cohort totals of the feature alongside."""
-    counts = rows.groupBy("feature", cell).agg(
-        F.count_if(F.col("is_reference")).alias("ref"),
-        F.count_if(~F.col("is_reference")).alias("cur"),
+def equal_width(value: Column, low: float | None, high: float | None, bins: int) -> Column:
+    """Bin 0 to ``bins - 1`` between the bounds, the upper bound in the last bin."""
+    if low is None or high is None or high <= low:
+        return F.when(value.isNotNull(), F.lit(0))
+    place = F.floor((value - F.lit(low)) / F.lit(high - low) * F.lit(float(bins)))
+    return F.greatest(F.least(place, F.lit(bins - 1)), F.lit(0)).cast("int")
+
+
+def _shares_by_cell(
+    df: DataFrame,
+    binned: Mapping[str, Column],
+    categories: Sequence[str],
+    is_reference: Column,
+) -> DataFrame:
+    """Cohort counts per (feature, cell) with the cohort totals of the feature.
+
+    A cell is a bin number or a category text. All features share one scan, and
+    rows are reduced to their cells before anything is shuffled.
+    """
+    no_bin, no_text = F.lit(None).cast("int"), F.lit(None).cast("string")
+    entries = [
+        F.struct(F.lit(c).alias("feature"), cell.cast("int").alias("bin"), no_text.alias("category"))
+        for c, cell in binned.items()
+    ] + [
+        F.struct(F.lit(c).alias("feature"), no_bin.alias("bin"), F.col(c).cast("string").alias("category"))
+        for c in categories
+    ]
+    rows = df.select(is_reference.alias("is_reference"), F.inline(F.array(*entries))).where(
+        F.col("is_reference").isNotNull() & (F.col("bin").isNotNull() | F.col("category").isNotNull())
+    )
+    counts = rows.groupBy("feature", "bin", "category").agg(
+        F.count_if(F.col("is_reference")).cast("double").alias("ref"),
+        F.count_if(~F.col("is_reference")).cast("double").alias("cur"),
     )
     totals = counts.groupBy("feature").agg(
-        F.sum("ref").cast("double").alias("ref_total"), F.sum("cur").cast("double").alias("cur_total")
+        F.sum("ref").alias("ref_total"), F.sum("cur").alias("cur_total")
     )
     # totals: one row per monitored feature
     return counts.join(F.broadcast(totals), "feature")
 
 
-def _shares() -> tuple[Column, Column]:
-    return (
-        F.try_divide(F.col("ref").cast("double"), F.col("ref_total")),
-        F.try_divide(F.col("cur").cast("double"), F.col("cur_total")),
-    )
+def _psi(floor: float) -> Column:
+    p = F.try_divide(F.col("ref"), F.col("ref_total"))
+    q = F.try_divide(F.col("cur"), F.col("cur_total"))
+    p = F.when(p < floor, F.lit(floor)).otherwise(p)
+    q = F.when(q < floor, F.lit(floor)).otherwise(q)
+    return F.sum((p - q) * F.ln(p / q))
 
 
-def _cells(df: DataFrame, cells: Mapping[str, Column], is_reference: Column, cell: str) -> DataFrame:
-    """(is_reference, feature, cell) for several columns of one scan."""
-    entries = [F.struct(F.lit(n).alias("feature"), c.alias(cell)) for n, c in cells.items()]
-    return df.select(is_reference.alias("is_reference"), F.inline(F.array(*entries))).where(
-        F.col("is_reference").isNotNull() & F.col(cell).isNotNull()
-    )
+def _js() -> Column:
+    p = F.try_divide(F.col("ref"), F.col("ref_total"))
+    q = F.try_divide(F.col("cur"), F.col("cur_total"))
+    mid = (p + q) / 2
+
+    def part(share: Column) -> Column:
+        return F.when(share > 0, share * F.ln(share / mid)).when(share == 0, F.lit(0.0))
+
+    divergence = F.sum((part(p) + part(q)) / 2)
+    return F.sqrt(F.when(divergence < 0, F.lit(0.0)).otherwise(divergence))
+
+
+def _bins(
+    df: DataFrame,
+    features: Sequence[str],
+    is_reference: Column,
+    bins: int,
+    edges: Mapping[str, Sequence[float]] | None,
+) -> dict[str, Column]:
+    """Bin column of each feature: by its own edges, else of equal width."""
+    edges = edges or {}
+    open_ended = [c for c in features if c not in edges]
+    found = column_summary(df.where(is_reference.isNotNull()), [], open_ended) if open_ended else {}
+    cells = {c: equal_width(finite_or_null(c), found[c].low, found[c].high, bins) for c in open_ended}
+    for name in edges:
+        value = finite_or_null(name)
+        above = [(value >= F.lit(float(e))).cast("int") for e in edges[name]]
+        cells[name] = reduce(lambda a, b: a + b, above)
+    return {c: cells[c] for c in features}
 
 
 def population_stability(
@@ -135,61 +189,15 @@ def population_stability(
 
     Bins are of equal width between the smallest and largest value of both
     cohorts, or as given in ``edges`` (interior limits, such as quantiles of the
-    reference). Shares below ``floor`` are raised to it. Rows are reduced to
-    features x bins counts before anything is shuffled.
+    reference). Shares below ``floor`` are raised to it.
     """
-    edges = edges or {}
-    missing = [c for c in features if c not in edges]
-    cells: dict[str, Column] = {}
-    if missing:
-        finite = {c: finite_or_null(c) for c in missing}
-        box = df.where(is_reference.isNotNull()).agg(
-            F.struct(
-                *[F.min(v).alias(f"lo{i}") for i, v in enumerate(finite.values())],
-                *[F.max(v).alias(f"hi{i}") for i, v in enumerate(finite.values())],
-            )
-        ).scalar()
-        for i, (name, value) in enumerate(finite.items()):
-            low, high = box.getField(f"lo{i}"), box.getField(f"hi{i}")
-            place = F.floor((value - low) / (high - low) * F.lit(float(bins)))
-            cells[name] = F.when(high > low, F.least(place, F.lit(bins - 1))).otherwise(
-                F.when(value.isNotNull(), F.lit(0))
-            ).cast("int")
-    source = df
-    if edges:
-        named = [c for c in features if c in edges]
-        source = Bucketizer(
-            inputCols=[f"__v{i}" for i in range(len(named))],
-            outputCols=[f"__b{i}" for i in range(len(named))],
-            splitsArray=[[float("-inf"), *sorted(edges[c]), float("inf")] for c in named],
-            handleInvalid="keep",
-        ).transform(df.select("*", *[finite_or_null(c).alias(f"__v{i}") for i, c in enumerate(named)]))
-        for i, name in enumerate(named):
-            cells[name] = F.when(F.col(f"__v{i}").isNotNull(), F.col(f"__b{i}")).cast("int")
-    p, q = _shares()
-    p, q = F.greatest(p, F.when(p.isNotNull(), F.lit(floor))), F.greatest(q, F.when(q.isNotNull(), F.lit(floor)))
-    return (
-        _cohort_counts(_cells(source, cells, is_reference, "bin"), "bin")
-        .groupBy("feature")
-        .agg(F.sum((p - q) * F.ln(p / q)).alias("psi"))
-    )
+    cells = _bins(df, features, is_reference, bins, edges)
+    return _shares_by_cell(df, cells, [], is_reference).groupBy("feature").agg(_psi(floor).alias("psi"))
 
 
 def jensen_shannon(df: DataFrame, features: Sequence[str], is_reference: Column) -> DataFrame:
     """(feature, js): Jensen-Shannon distance of category shares, natural logarithm."""
-    cells = {c: F.col(c).cast("string") for c in features}
-    p, q = _shares()
-    mid = (p + q) / 2
-
-    def part(share: Column) -> Column:
-        return F.when(share > 0, share * F.ln(share / mid)).when(share == 0, F.lit(0.0))
-
-    half = (part(p) + part(q)) / 2
-    return (
-        _cohort_counts(_cells(df, cells, is_reference, "category"), "category")
-        .groupBy("feature")
-        .agg(F.sqrt(F.greatest(F.sum(half), F.when(F.sum(half).isNotNull(), F.lit(0.0)))).alias("js"))
-    )
+    return _shares_by_cell(df, {}, features, is_reference).groupBy("feature").agg(_js().alias("js"))
 
 
 def chi_square(df: DataFrame, features: Sequence[str], is_reference: Column) -> DataFrame:
@@ -197,16 +205,15 @@ def chi_square(df: DataFrame, features: Sequence[str], is_reference: Column) ->
 
     Not a distance: it grows with the row count, so no severity is read from it.
     """
-    cells = {c: F.col(c).cast("string") for c in features}
     both = F.col("ref_total") + F.col("cur_total")
-    column = (F.col("ref") + F.col("cur")).cast("double")
+    column = F.col("ref") + F.col("cur")
 
     def part(observed: str, total: str) -> Column:
         expected = F.try_divide(F.col(total) * column, both)
         return F.try_divide((F.col(observed) - expected) * (F.col(observed) - expected), expected)
 
     return (
-        _cohort_counts(_cells(df, cells, is_reference, "category"), "category")
+        _shares_by_cell(df, {}, features, is_reference)
         .groupBy("feature")
         .agg(
             F.sum(part("ref", "ref_total") + part("cur", "cur_total")).alias("chi2"),
@@ -219,38 +226,45 @@ def drift_scores(
     df: DataFrame,
     is_reference: Column,
     monitors: Sequence[Monitor],
+    *,
     bins: int = 10,
+    floor: float = 1e-4,
     ranges: int | None = None,
 ) -> DataFrame:
     """(feature, statistic, drift_score, drift_detected): one row per monitor.
 
-    Features that need the ordered pass share it; the others share one grouped
-    pass per statistic. A feature with an empty cohort has a NULL score.
+    Three passes however many monitors there are: bounds and range limits of
+    the numeric features, the ordered statistics, the counts by cell. Each
+    reads only its own columns. A feature with an empty cohort has a NULL score.
     """
     by_kind = {k: [m.feature for m in monitors if m.statistic == k] for k in DISTANCES}
-    parts = []
     ordered = list(dict.fromkeys(by_kind["wasserstein"] + by_kind["ks"]))
+    rows = df.where(is_reference.isNotNull())
+    found = {}
+    if ordered or by_kind["psi"]:
+        found = column_summary(rows, ordered, by_kind["psi"], range_count(df, ranges))
+    parts = []
     if ordered:
-        both = ordered_distances(df, ordered, is_reference, ranges)
-        wanted = F.array_compact(
-            F.array(
-                *[
-                    F.when(
-                        F.col("feature").isin(by_kind[kind]),
-                        F.struct(F.lit(kind).alias("statistic"), F.col(score).alias("drift_score")),
-                    )
-                    for kind, score in (("wasserstein", "wasserstein_norm"), ("ks", "ks"))
-                    if by_kind[kind]
-                ]
+        splits = {c: found[c].splits for c in ordered}
+        both = ordered_distances(rows, ordered, is_reference, splits=splits)
+        parts.append(
+            _scores(both, {"wasserstein": "wasserstein_norm", "ks": "ks"}, by_kind)
+        )
+    if by_kind["psi"] or by_kind["js"]:
+        cells = {
+            c: equal_width(finite_or_null(c), found[c].low, found[c].high, bins) for c in by_kind["psi"]
+        }
+        shares = _shares_by_cell(rows, cells, by_kind["js"], is_reference).groupBy(
+            "feature", F.col("category").isNull().alias("is_binned")
+        )
+        sums = shares.agg(_psi(floor).alias("psi"), _js().alias("js"))
+        parts.append(
+            sums.select(
+                "feature",
+                F.when(F.col("is_binned"), "psi").otherwise("js").alias("statistic"),
+                F.when(F.col("is_binned"), F.col("psi")).otherwise(F.col("js")).alias("drift_score"),
             )
         )
-        parts.append(both.select("feature", F.inline(wanted)))
-    if by_kind["psi"]:
-        psi = population_stability(df, by_kind["psi"], is_reference, bins)
-        parts.append(psi.select("feature", F.lit("psi").alias("statistic"), F.col("psi").alias("drift_score")))
-    if by_kind["js"]:
-        js = jensen_shannon(df, by_kind["js"], is_reference)
-        parts.append(js.select("feature", F.lit("js").alias("statistic"), F.col("js").alias("drift_score")))
     scores = reduce(DataFrame.unionByName, parts)
     threshold = F.lit(None).cast("double")
     for m in monitors:
@@ -261,6 +275,19 @@ def drift_scores(
     )
 
 
+def _scores(wide: DataFrame, columns: Mapping[str, str], by_kind: Mapping[str, Sequence[str]]) -> DataFrame:
+    """(feature, statistic, drift_score) for the statistics each feature asked for."""
+    entries = [
+        F.when(
+            F.col("feature").isin(by_kind[kind]),
+            F.struct(F.lit(kind).alias("statistic"), F.col(column).alias("drift_score")),
+        )
+        for kind, column in columns.items()
+        if by_kind[kind]
+    ]
+    return wide.select("feature", F.inline(F.array_compact(F.array(*entries))))
+
+
 def _step(score: Column, position: int, calm: str) -> Column:
     step = F.when(score.isNull(), F.lit(None).cast("string"))
     for rung in LADDER:

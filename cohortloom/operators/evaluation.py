@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortloom.functions.numeric import ratio
-from cohortloom.operators.ordered import running_counts
+from cohortloom.operators.ordered import column_summary, range_count, running_counts
 
 
 def balanced_weight(
@@ -47,21 +47,42 @@ def _or_zero(numerator: Column, denominator: Column) -> Column:
     return F.coalesce(ratio(numerator, denominator), F.lit(0.0))
 
 
+def _metrics(tn: Column, fp: Column, fn: Column, tp: Column) -> dict[str, Column]:
+    samples = tn + fp + fn + tp
+    return {
+        "accuracy": _or_zero(tp + tn, samples),
+        "precision": _or_zero(tp, tp + fp),
+        "recall": _or_zero(tp, tp + fn),
+        "f1_score": _or_zero(2 * tp, 2 * tp + fp + fn),
+        "positive_rate": _or_zero(tp + fn, samples),
+        "samples": samples,
+    }
+
+
 def classification_metrics(df: DataFrame, label: str, prediction: str) -> DataFrame:
     """One row: accuracy, precision, recall, f1_score, positive_rate, samples.
 
     A metric whose denominator is zero is 0.
     """
-    tn, fp, fn, tp = (F.col(c) for c in ("tn", "fp", "fn", "tp"))
-    samples = tn + fp + fn + tp
-    return confusion_matrix(df, label, prediction).select(
-        _or_zero(tp + tn, samples).alias("accuracy"),
-        _or_zero(tp, tp + fp).alias("precision"),
-        _or_zero(tp, tp + fn).alias("recall"),
-        _or_zero(2 * tp, 2 * tp + fp + fn).alias("f1_score"),
-        _or_zero(tp + fn, samples).alias("positive_rate"),
-        samples.alias("samples"),
-    )
+    counts = confusion_matrix(df, label, prediction)
+    metrics = _metrics(*[F.col(c) for c in ("tn", "fp", "fn", "tp")])
+    return counts.select(*[value.alias(name) for name, value in metrics.items()])
+
+
+def _ranked(
+    df: DataFrame, label: str, score: str, extra: Mapping[str, Column], ranges: int | None
+) -> DataFrame:
+    """Running class counts by score, with further row counts alongside."""
+    splits = column_summary(df, [score], ranges=range_count(df, ranges))[score].splits
+    classes = {"pos": F.col(label) == 1, "neg": F.col(label) == 0}
+    return running_counts(df, [score], {**classes, **extra}, {score: splits})
+
+
+def _area() -> Column:
+    pos, neg = F.col("pos").cast("double"), F.col("neg").cast("double")
+    below = F.col("neg_upto").cast("double") - neg
+    pairs = F.sum("pos").cast("double") * F.sum("neg").cast("double")
+    return F.try_divide(F.sum(pos * (below + neg / 2)), pairs)
 
 
 def roc_auc(df: DataFrame, label: str, score: str, ranges: int | None = None) -> DataFrame:
@@ -69,17 +90,7 @@ def roc_auc(df: DataFrame, label: str, score: str, ranges: int | None = None) ->
 
     NULL when only one class is present.
     """
-    pairs = running_counts(
-        df, [score], {"pos": F.col(label) == 1, "neg": F.col(label) == 0}, ranges
-    )
-    pos, neg = F.col("pos").cast("double"), F.col("neg").cast("double")
-    below = F.col("neg_upto").cast("double") - neg
-    return pairs.agg(
-        F.try_divide(
-            F.sum(pos * (below + neg / 2)),
-            F.max("pos_total").cast("double") * F.max("neg_total").cast("double"),
-        ).alias("roc_auc")
-    )
+    return _ranked(df, label, score, {}, ranges).agg(_area().alias("roc_auc"))
 
 
 def run_record(
@@ -91,15 +102,27 @@ def run_record(
     created_at: Column,
     ranges: int | None = None,
 ) -> DataFrame:
-    """One run-log row: constants, every metric, status ``trained``, time."""
-    area = roc_auc(scored, label, score, ranges).scalar()
-    return classification_metrics(scored, label, prediction).select(
+    """One run-log row: constants, every metric, status ``trained``, time.
+
+    The confusion counts ride along with the ranking, so the metrics and the
+    area come from the same pass. Rows without a score take no part.
+    """
+    actual, predicted = F.col(label), F.col(prediction)
+    cells = {
+        "tn": (actual == 0) & (predicted == 0),
+        "fp": (actual == 0) & (predicted == 1),
+        "fn": (actual == 1) & (predicted == 0),
+        "tp": (actual == 1) & (predicted == 1),
+    }
+    sums = _ranked(scored, label, score, cells, ranges).agg(
+        _area().alias("roc_auc"), *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in cells]
+    )
+    metrics = _metrics(*[F.col(c) for c in cells])
+    return sums.select(
         *[F.lit(value).alias(name) for name, value in constants.items()],
-        "precision",
-        "recall",
-        "f1_score",
-        area.alias("roc_auc"),
-        "accuracy",
+        *[metrics[m].alias(m) for m in ("precision", "recall", "f1_score")],
+        "roc_auc",
+        metrics["accuracy"].alias("accuracy"),
         F.lit("trained").alias("status"),
         F.lit(None).cast("string").alias("model_version"),
         created_at.alias("created_at"),

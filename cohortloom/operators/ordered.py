@@ -3,20 +3,21 @@
 Running sums need a total order, and a window without a partition would put all
 values into one task. Here every feature is cut into value ranges:
 
-1. ``split_points`` finds range limits from mergeable quantile sketches. They
+1. ``column_summary`` finds range limits from mergeable quantile sketches. They
    only balance the work; any increasing limits give the same result. They are
    read once per call, so all parts of the plan agree on them.
-2. Rows are reduced to one per (feature, range, value) with their counts. The
-   counts combine before the shuffle, so a value that holds a third of all rows
-   arrives as one row per map task.
-3. Range totals, at most features x ranges rows, become offsets.
-4. A window per (feature, range) adds the running count inside the range to the
-   range's offset.
+2. Rows are reduced to one per (slot, value) with their counts, a slot being one
+   range of one feature. The counts combine before the shuffle, so a value that
+   holds a third of all rows arrives as one row per map task.
+3. Slot totals, at most features x ranges rows, become offsets.
+4. A window per slot adds the running count inside the slot to its offset.
+   Steps 3 and 4 read the same shuffle output.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
@@ -28,121 +29,131 @@ MAX_RANGES = 16384
 SKETCH_SLOTS = 64
 
 
-def range_count(df: DataFrame, wanted: int | None) -> int:
+@dataclass(frozen=True)
+class ColumnSummary:
+    """Smallest and largest finite value, and interior range limits, of a column."""
+
+    low: float | None
+    high: float | None
+    splits: list[float]
+
+
+def range_count(df: DataFrame, wanted: int | None = None) -> int:
     """Ranges per feature: as asked, else the session's shuffle width."""
     if wanted is None:
         wanted = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return max(2, min(wanted, MAX_RANGES))
 
 
-def split_points(df: DataFrame, columns: Sequence[str], ranges: int) -> dict[str, list[float]]:
-    """Increasing interior limits per column, at most ``ranges - 1`` each.
+def column_summary(
+    df: DataFrame, split: Sequence[str], bounded: Sequence[str] = (), ranges: int = 8
+) -> dict[str, ColumnSummary]:
+    """Bounds of all named columns, and ``ranges - 1`` limits of those in ``split``.
 
-    Sketches merge in two levels, so no task receives the sketches of all map
-    tasks. The driver gets columns x ranges numbers.
+    One pass. Sketches merge in two levels, so no task receives the sketches of
+    all map tasks. The driver gets columns x ranges numbers.
     """
+    columns = list(dict.fromkeys([*split, *bounded]))
     size = max(200, min(8 * ranges, 32768))
     ranks = F.array(*[F.lit(i / ranges) for i in range(1, ranges)])
-    wide = df.select(*[finite_or_null(c).alias(f"v{i}") for i, c in enumerate(columns)])
-    names = [f"v{i}" for i in range(len(columns))]
+    names = {c: f"v{i}" for i, c in enumerate(columns)}
+    wide = df.select(*[finite_or_null(c).alias(v) for c, v in names.items()])
     partial = wide.groupBy((F.spark_partition_id() % SKETCH_SLOTS).alias("slot")).agg(
-        *[F.kll_sketch_agg_double(n, F.lit(size)).alias(n) for n in names],
-        *[F.count(n).alias(f"{n}_rows") for n in names],
+        *[F.min(v).alias(f"{v}_low") for v in names.values()],
+        *[F.max(v).alias(f"{v}_high") for v in names.values()],
+        *[F.kll_sketch_agg_double(names[c], F.lit(size)).alias(f"{names[c]}_sketch") for c in split],
     )
-    merged = partial.agg(
+    row = partial.agg(
+        *[F.min(f"{v}_low").alias(f"{v}_low") for v in names.values()],
+        *[F.max(f"{v}_high").alias(f"{v}_high") for v in names.values()],
         *[
             F.when(
-                F.sum(f"{n}_rows") > 0,
-                F.kll_sketch_get_quantile_double(F.kll_merge_agg_double(n, F.lit(size)), ranks),
-            ).alias(n)
-            for n in names
-        ]
-    )
-    row = merged.first()
-    return {c: sorted(set(row[n] or [])) for c, n in zip(columns, names)}
+                F.min(f"{names[c]}_low").isNotNull(),
+                F.kll_sketch_get_quantile_double(
+                    F.kll_merge_agg_double(f"{names[c]}_sketch", F.lit(size)), ranks
+                ),
+            ).alias(f"{names[c]}_splits")
+            for c in split
+        ],
+    ).first()
+    return {
+        c: ColumnSummary(
+            row[f"{v}_low"], row[f"{v}_high"], sorted(set(row[f"{v}_splits"] or [])) if c in split else []
+        )
+        for c, v in names.items()
+    }
 
 
 def running_counts(
     df: DataFrame,
     features: Sequence[str],
     weights: Mapping[str, Column],
-    ranges: int | None = None,
+    splits: Mapping[str, Sequence[float]],
 ) -> DataFrame:
     """One row per (feature, distinct value), ready for ordered statistics.
 
-    ``weights`` maps a name to a 0/1 column of ``df``. The result has, for each
-    name ``w``: ``w`` (rows with this value), ``w_upto`` (rows up to and
-    including it), ``w_total`` and ``w_sum`` (all rows and the sum of their
-    values, of the feature). ``next_value`` is the next larger value. NULL, NaN
-    and infinite values take no part.
+    ``weights`` maps a name to a 0/1 column of ``df``; ``splits`` are the range
+    limits of each feature. The result has, for each name ``w``: ``w`` (rows
+    with this value), ``w_upto`` (rows up to and including it), ``w_total`` and
+    ``w_sum`` (all rows and the sum of their values, of the feature).
+    ``next_value`` is the next larger value. NULL, NaN and infinite values take
+    no part.
     """
-    ranges = range_count(df, ranges)
-    splits = split_points(df, features, ranges)
     names = list(weights)
     inputs = [f"v{i}" for i in range(len(features))]
+    limits = [[float("-inf"), *(splits[c] or [0.0]), float("inf")] for c in features]
+    stride = max(len(s) for s in limits)
     wide = df.select(
         *[finite_or_null(c).alias(v) for c, v in zip(features, inputs)],
         *[F.coalesce(weights[w].cast("int"), F.lit(0)).alias(w) for w in names],
     )
-    limits = [
-        [float("-inf"), *(splits[c] or [0.0]), float("inf")] for c in features
-    ]
     ranged = Bucketizer(
         inputCols=inputs,
         outputCols=[f"{v}_range" for v in inputs],
         splitsArray=limits,
         handleInvalid="keep",
     ).transform(wide)
+    entries = [
+        F.struct((F.col(f"{v}_range").cast("int") + F.lit(i * stride)).alias("slot"), F.col(v).alias("value"))
+        for i, v in enumerate(inputs)
+    ]
     values = (
-        ranged.select(
-            *names,
-            F.inline(
-                F.array(
-                    *[
-                        F.struct(
-                            F.lit(c).alias("feature"),
-                            F.col(f"{v}_range").cast("int").alias("range"),
-                            F.col(v).alias("value"),
-                        )
-                        for c, v in zip(features, inputs)
-                    ]
-                )
-            ),
-        )
-        .where(F.col("value").isNotNull())
-        .groupBy("feature", "range", "value")
+        ranged.select(*names, F.inline(F.array(*entries)))
+        # both columns, so that the two uses below read one and the same shuffle
+        .where(F.col("value").isNotNull() & F.col("slot").isNotNull())
+        .groupBy("slot", "value")
         .agg(*[F.sum(w).alias(w) for w in names])
     )
 
-    totals = values.groupBy("feature", "range").agg(
+    totals = values.groupBy("slot").agg(
         F.min("value").alias("first_value"),
         *[F.sum(w).alias(f"{w}_rows") for w in names],
         *[F.sum(F.col("value") * F.col(w)).alias(f"{w}_part") for w in names],
     )
-    in_order = Window.partitionBy("feature").orderBy("range")
+    feature = F.floor(F.col("slot") / F.lit(stride)).cast("int")
+    in_order = Window.partitionBy("feature").orderBy("slot")
     before = in_order.rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy("feature")
-    offsets = totals.select(
-        "feature",
-        "range",
+    offsets = totals.select("*", feature.alias("feature")).select(
+        F.element_at(F.array(*[F.lit(c) for c in features]), F.col("feature") + 1).alias("feature"),
+        "slot",
         F.lead("first_value").over(in_order).alias("next_first"),
         *[F.coalesce(F.sum(f"{w}_rows").over(before), F.lit(0)).alias(f"{w}_before") for w in names],
         *[F.sum(f"{w}_rows").over(whole).alias(f"{w}_total") for w in names],
         *[F.sum(f"{w}_part").over(whole).alias(f"{w}_sum") for w in names],
     )
 
-    inside = Window.partitionBy("feature", "range").orderBy("value")
+    inside = Window.partitionBy("slot").orderBy("value")
     upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = values.select(
-        "feature",
-        "range",
+        "slot",
         "value",
         F.lead("value").over(inside).alias("next_inside"),
         *names,
         *[F.sum(w).over(upto).alias(f"{w}_inside") for w in names],
     )
     # offsets: at most len(features) x (ranges + 1) rows, both set by the caller
-    return local.join(F.broadcast(offsets), ["feature", "range"]).select(
+    return local.join(F.broadcast(offsets), "slot").select(
         "feature",
         "value",
         F.coalesce("next_inside", "next_first").alias("next_value"),

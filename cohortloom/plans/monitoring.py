@@ -27,6 +27,6 @@ def monitor_versions(
     """
     names = list(dict.fromkeys(m.feature for m in monitors))
     rows = df.where(F.col(version).isin(reference, current)).select(version, *names)
-    scores = drift_scores(rows, F.col(version) == reference, monitors, bins, ranges)
+    scores = drift_scores(rows, F.col(version) == reference, monitors, bins=bins, ranges=ranges)
     tags = {**constants, "reference_version": reference, "current_version": current}
     return drift_log(scores, detected_at, tags)

@@ -15,6 +15,7 @@ from cohortloom.operators.classifier import (
     score_model,
     score_with,
     train_boosted_trees,
+    training_partitions,
     training_set,
 )
 from cohortloom.operators.evaluation import (
@@ -221,7 +222,7 @@ def line_run_gate(spark, folder):
     return rounded(gate, {"metric_value": 6})
 
 
-TRIAL = BoostingSettings(trees=5, depth=3, learning_rate=0.3, partitions=8)
+TRIAL = BoostingSettings(trees=5, depth=3, learning_rate=0.3)
 
 
 def _trainable(spark, folder):
@@ -234,8 +235,11 @@ def _trainable(spark, folder):
 
 
 def _model(spark, folder):
-    train = balanced_weight(training_set(_trainable(spark, folder), FEATURES, "label", split="data_split"), "label")
-    return train_boosted_trees(train, FEATURES, "label", "sample_weight", TRIAL)
+    train = training_set(_trainable(spark, folder), FEATURES, "label", split="data_split")
+    weighted = balanced_weight(train, "label")
+    return train_boosted_trees(
+        weighted, FEATURES, "label", "sample_weight", TRIAL, training_partitions(train)
+    )
 
 
 @query("train_gbt")

@@ -5,25 +5,33 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark import StorageLevel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortloom.functions.numeric import round_decimal
+from cohortloom.functions.numeric import real_or_null, round_decimal
 from cohortloom.session import ensure_checkpoint_dir
 
 
+# Stands for a missing feature inside the trees, which take no NULL or NaN: below
+# every real value, so that a split can part the missing rows from the others.
+MISSING_VALUE = -1.0e12
+
+
+def _inputs(features: Sequence[str]) -> list[Column]:
+    return [F.coalesce(real_or_null(c), F.lit(MISSING_VALUE)).alias(c) for c in features]
+
+
 @dataclass(frozen=True)
 class BoostingSettings:
     """Settings of the boosted trees.
 
     ``row_share`` is drawn per tree and ``feature_share`` per node. Splits need
-    ``min_rows`` rows on each side and at least ``min_gain``. ``partitions``
-    spreads the rows evenly before the many passes of training; leave it unset
-    where the table already has enough partitions for the cluster.
+    ``min_rows`` rows on each side and at least ``min_gain``.
     """
 
     trees: int = 300
@@ -34,7 +42,6 @@ class BoostingSettings:
     min_rows: int = 5
     min_gain: float = 0.0
     seed: int = 42
-    partitions: int | None = None
 
 
 def training_set(
@@ -54,18 +61,30 @@ def training_set(
     ).where(F.col(label).isNotNull())
 
 
+def training_partitions(rows: DataFrame) -> int | None:
+    """The cluster's parallelism if the table has fewer partitions than that, else None.
+
+    Training passes over its rows many times, so a table of few large files is
+    worth one shuffle; a table with enough splits is left as it is.
+    """
+    wanted = rows.sparkSession.sparkContext.defaultParallelism
+    return wanted if rows.rdd.getNumPartitions() < wanted else None
+
+
 def train_boosted_trees(
     rows: DataFrame,
     features: Sequence[str],
     label: str,
     weight: str | None = None,
     settings: BoostingSettings = BoostingSettings(),
-    missing: str = "keep",
+    partitions: int | None = None,
 ) -> PipelineModel:
     """Fit on the executors; long runs cut their lineage in the shared folder.
 
-    ``missing`` is the assembler's rule for NULL and NaN features: keep, skip
-    or error.
+    The assembled rows are kept in memory and on disk while fitting,
+    because training first passes over them several times; a lost executor's
+    part is computed again. ``partitions`` deals the rows out evenly first, see
+    ``training_partitions``.
     """
     ensure_checkpoint_dir(rows.sparkSession)
     trees = GBTClassifier(
@@ -83,9 +102,15 @@ def train_boosted_trees(
     )
     if weight:
         trees = trees.setWeightCol(weight)
-    assembler = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid=missing)
-    spread = rows.repartition(settings.partitions) if settings.partitions else rows
-    return Pipeline(stages=[assembler, trees]).fit(spread)
+    assembler = VectorAssembler(inputCols=list(features), outputCol="features")
+    rows = rows.select(*_inputs(features), label, *([weight] if weight else []))
+    spread = rows.repartition(partitions) if partitions else rows
+    inputs = assembler.transform(spread).select("features", label, *([weight] if weight else []))
+    inputs.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return PipelineModel([assembler, trees.fit(inputs)])
+    finally:
+        inputs.unpersist()
 
 
 def feature_importance(spark: SparkSession, model: PipelineModel, features: Sequence[str]) -> DataFrame:
@@ -150,7 +175,7 @@ def score_model(
     kept = list(dict.fromkeys([*passthrough, *([label] if label else [])]))
     inputs = df.select(
         *[F.col(c).alias(f"__kept_{c}") for c in kept],
-        *[F.col(c).cast("double").alias(c) for c in features],
+        *_inputs(features),
     )
     scored = model.transform(inputs).select(
         *[F.col(f"__kept_{c}").alias(c) for c in kept],

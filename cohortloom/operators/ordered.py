@@ -26,7 +26,11 @@ from pyspark.sql import functions as F
 from cohortloom.functions.numeric import finite_or_null
 
 MAX_RANGES = 16384
-SKETCH_SLOTS = 64
+SKETCH_SLOTS = 128
+# A map task's sketch stays small, because there may be very many of them and the
+# errors of independent sketches cancel out; the merged sketch is as fine as the ranges.
+TASK_SKETCH_SIZE = 800
+MERGED_SKETCH_SIZE = 32768
 
 
 @dataclass(frozen=True)
@@ -54,14 +58,14 @@ def column_summary(
     all map tasks. The driver gets columns x ranges numbers.
     """
     columns = list(dict.fromkeys([*split, *bounded]))
-    size = max(200, min(8 * ranges, 32768))
-    ranks = F.array(*[F.lit(i / ranges) for i in range(1, ranges)])
+    size = max(TASK_SKETCH_SIZE, min(8 * ranges, MERGED_SKETCH_SIZE))
+    ranks = F.transform(F.sequence(F.lit(1), F.lit(ranges - 1)), lambda i: i / F.lit(float(ranges)))
     names = {c: f"v{i}" for i, c in enumerate(columns)}
     wide = df.select(*[finite_or_null(c).alias(v) for c, v in names.items()])
     partial = wide.groupBy((F.spark_partition_id() % SKETCH_SLOTS).alias("slot")).agg(
         *[F.min(v).alias(f"{v}_low") for v in names.values()],
         *[F.max(v).alias(f"{v}_high") for v in names.values()],
-        *[F.kll_sketch_agg_double(names[c], F.lit(size)).alias(f"{names[c]}_sketch") for c in split],
+        *[F.kll_sketch_agg_double(names[c], F.lit(TASK_SKETCH_SIZE)).alias(f"{names[c]}_sketch") for c in split],
     )
     row = partial.agg(
         *[F.min(f"{v}_low").alias(f"{v}_low") for v in names.values()],

@@ -119,7 +119,7 @@ SCORED_SQL = f"""scored AS (
   SELECT l_orderkey, l_quantity, {LOGIT_SQL} AS p, CAST(l_returnflag = 'R' AS INTEGER) AS actual FROM lineitem)"""
 
 
-def _probability():
+def returned_probability():
     return logistic(
         [(F.col("l_quantity") / 50.0, 1.5), (F.col("l_extendedprice") / 105000.0, -1.0), ("l_tax", 2.0)], -0.4
     )
@@ -129,7 +129,7 @@ def _scored(spark, folder):
     lines = fixture(spark, folder, "lineitem", ["l_orderkey", "l_returnflag", *FEATURES])
     labelled = lines.select("*", (F.col("l_returnflag") == "R").cast("int").alias("returned"))
     return score_with(
-        labelled, _probability(), "returned", ["l_orderkey", "l_quantity"], rounding=round_floor, raw="probability"
+        labelled, returned_probability(), "returned", ["l_orderkey", "l_quantity"], rounding=round_floor, raw="probability"
     )
 
 
@@ -225,7 +225,7 @@ def line_run_gate(spark, folder):
 TRIAL = BoostingSettings(trees=5, depth=3, learning_rate=0.3)
 
 
-def _trainable(spark, folder):
+def line_trainable(spark, folder):
     lines = fixture(spark, folder, "lineitem", ["l_orderkey", *FEATURES])
     return lines.select(
         "*",
@@ -235,7 +235,7 @@ def _trainable(spark, folder):
 
 
 def _model(spark, folder):
-    train = training_set(_trainable(spark, folder), FEATURES, "label", split="data_split")
+    train = training_set(line_trainable(spark, folder), FEATURES, "label", split="data_split")
     weighted = balanced_weight(train, "label")
     return train_boosted_trees(
         weighted, FEATURES, "label", "sample_weight", TRIAL, training_partitions(train)
@@ -244,14 +244,14 @@ def _model(spark, folder):
 
 @query("train_gbt")
 def trained_run(spark, folder):
-    _, scored = train_and_score(_trainable(spark, folder), FEATURES, "label", "data_split", TRIAL)
+    _, scored = train_and_score(line_trainable(spark, folder), FEATURES, "label", "data_split", TRIAL)
     log = write_table(scored, fresh_path(spark, "predictions"))
     return evaluate_run(log, "run-1", "dev", moment(CREATED))
 
 
 @query("score_gbt")
 def tree_scores(spark, folder):
-    rows = _trainable(spark, folder)
+    rows = line_trainable(spark, folder)
     return score_model(_model(spark, folder), rows, FEATURES, "label", ["l_orderkey", "l_quantity"])
 
 

@@ -59,7 +59,7 @@ def column_summary(
     """
     columns = list(dict.fromkeys([*split, *bounded]))
     size = max(TASK_SKETCH_SIZE, min(8 * ranges, MERGED_SKETCH_SIZE))
-    ranks = F.transform(F.sequence(F.lit(1), F.lit(ranges - 1)), lambda i: i / F.lit(float(ranges)))
+    ranks = F.expr("array(" + ", ".join(f"{i / ranges!r}D" for i in range(1, ranges)) + ")")
     names = {c: f"v{i}" for i, c in enumerate(columns)}
     wide = df.select(*[finite_or_null(c).alias(v) for c, v in names.items()])
     partial = wide.groupBy((F.spark_partition_id() % SKETCH_SLOTS).alias("slot")).agg(

@@ -39,15 +39,19 @@ def encode_by_table(
     output: str,
     default: int | None,
 ) -> DataFrame:
-    """Dictionary encoding against a table of any size.
+    """Dictionary encoding against a table of any size, whose keys must be unique.
 
     No broadcast hint: Spark broadcasts the dictionary when its size statistics
     allow it, and otherwise sort-merges, where adaptive execution splits a hot
-    category over several tasks.
+    category, unknown ones included, over several tasks. For that both inputs
+    must reach the join straight from their shuffles, so repeated keys are
+    checked for beforehand instead of being reduced on the way.
     """
-    lookup = dictionary.select(
+    lookup = dictionary.where(F.col(key).isNotNull()).select(
         F.col(key).alias("__key"), F.col(code).cast("int").alias("__code")
-    ).dropDuplicates(["__key"])
+    )
+    if not lookup.groupBy("__key").count().where("count > 1").isEmpty():
+        raise ValueError(f"the dictionary has repeated keys in {key}")
     return df.join(lookup, df[column] == lookup["__key"], "left").select(
         *[df[name] for name in df.columns],
         F.coalesce(F.col("__code"), F.lit(default)).cast("int").alias(output),

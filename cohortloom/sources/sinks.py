@@ -60,14 +60,18 @@ def append_conformed(df: DataFrame, path: str) -> DataFrame:
     return read_table(df.sparkSession, path)
 
 
-def write_verified(df: DataFrame, path: str, **options) -> DataFrame:
+def write_verified(
+    df: DataFrame, path: str, partition_by: Sequence[str] = (), rebalance: bool = False, **options
+) -> DataFrame:
     """One row: (rows_written, rows_read, matches).
 
-    The written count is observed while writing, so the source runs once.
+    The written count is observed in the writing tasks themselves, after any
+    shuffle, so the source runs once and a repeated map task is not counted twice.
     """
     written = Observation()
-    watched = df.observe(written, F.count(F.lit(1)).alias("n"))
-    back = write_table(watched, path, **options)
+    rows = df.hint("rebalance", *partition_by) if rebalance else df
+    watched = rows.observe(written, F.count(F.lit(1)).alias("n"))
+    back = write_table(watched, path, partition_by=partition_by, **options)
     expected = F.lit(written.get["n"]).cast("long")
     return back.agg(F.count(F.lit(1)).alias("rows_read")).select(
         expected.alias("rows_written"), "rows_read", (expected == F.col("rows_read")).alias("matches")

@@ -73,11 +73,44 @@ def test_encode_default_for_unknown_and_null(spark):
 
 def test_encode_by_table_keeps_every_row_once(spark):
     rows = spark.createDataFrame([("a",), ("b",), (None,), ("c",)], "c string")
-    words = spark.createDataFrame([("a", 1), ("a", 1), ("b", 2), (None, 5)], "w string, code int")
+    words = spark.createDataFrame([("a", 1), ("b", 2), (None, 5), (None, 6)], "w string, code int")
     got = encode_by_table(rows, "c", words, "w", "code", "n", -1)
     assert sorted((r.c or "", r.n) for r in got.collect()) == [("", -1), ("a", 1), ("b", 2), ("c", -1)]
 
 
+def test_encode_by_table_refuses_an_ambiguous_dictionary(spark):
+    words = spark.createDataFrame([("a", 1), ("a", 2)], "w string, code int")
+    with pytest.raises(ValueError):
+        encode_by_table(spark.createDataFrame([("a",)], "c string"), "c", words, "w", "code", "n", 0)
+
+
+def test_encode_by_table_splits_a_hot_category(spark):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "20",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        rows = spark.range(0, 60000, 1, 6).select(
+            "id", F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id") % 500).alias("c")
+        )
+        words = spark.range(500).select(F.col("id").alias("w"), (F.col("id") * 2).alias("code"))
+        got = encode_by_table(rows, "c", words, "w", "code", "n", -9)
+        summary = got.groupBy((F.col("n") == -9).alias("unknown")).count()
+        assert {r.unknown: r["count"] for r in summary.collect()} == {True: 20000, False: 40000}
+        got.collect()
+        assert "skew=true" in got._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def test_rule_score_counts_and_propagates_null(spark):
     assert column(spark, [1.0, 5.0, None], rule_score(F.col("x") < 2, F.col("x") < 9)) == [2.0, 1.0, None]
 

@@ -59,6 +59,9 @@ def test_appends_evolve_and_conform(spark):
 def test_verified_write_counts_once(spark):
     row = write_verified(spark.range(1234), fresh_path(spark, "verified")).first()
     assert tuple(row) == (1234, 1234, True)
+    options = {"partition_by": ["p"], "rebalance": True}
+    split = write_verified(spark.range(50).selectExpr("id", "id % 2 as p"), fresh_path(spark, "verified"), **options)
+    assert tuple(split.first()) == (50, 50, True)
     empty = write_verified(spark.range(0), fresh_path(spark, "verified")).first()
     assert tuple(empty) == (0, 0, True)
 

@@ -252,19 +252,19 @@ def order_metadata(spark, folder):
 
 
 def line_feature_rules():
+    step = bucketize("l_quantity", STEPS, "high")
     return FeatureRules(
         raw=["l_extendedprice", "l_discount", "l_quantity", "l_tax", "l_linenumber"],
-        rules=line_rules(),
-        risk=line_risk(),
-        quotient=("l_extendedprice", "l_quantity"),
-        flag=("l_extendedprice", 50000),
-        steps=("l_quantity", STEPS, "high"),
-        step_codes=STEP_CODES,
-        category=("p_type", TYPE_CODES),
+        derived={
+            "category_index": encode(normalise_text("p_type"), TYPE_CODES, 0),
+            "step_index": encode(step, STEP_CODES, 1),
+            "rule_score": rule_score(*line_rules()),
+            "risk_score": round_floor(weighted_score(line_risk()), 4),
+            "ratio_feature": round_floor(ratio("l_extendedprice", "l_quantity"), 4),
+            "high_flag": threshold_flag("l_extendedprice", 50000),
+        },
         bounds=SCALES,
         metadata=["l_orderkey", "data_split", "data_version"],
-        unknown_category=0,
-        unknown_step=1,
     )
 
 

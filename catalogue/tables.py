@@ -135,13 +135,13 @@ def _order_features(spark, folder):
         surrogate_key(orders, ["o_orderkey", "o_custkey"]).alias("feature_id"),
         "o_totalprice",
         (F.col("o_orderpriority") == "1-URGENT").cast("int").alias("is_urgent"),
-    )
+    ).distinct()
 
 
 @query(
     "feature_table",
     """
-    SELECT sha256(concat_ws('|', CAST(o_orderkey AS VARCHAR), CAST(o_custkey AS VARCHAR))) AS feature_id,
+    SELECT DISTINCT sha256(concat_ws('|', CAST(o_orderkey AS VARCHAR), CAST(o_custkey AS VARCHAR))) AS feature_id,
            o_totalprice, CAST(o_orderpriority = '1-URGENT' AS INTEGER) AS is_urgent
     FROM orders
     """,
@@ -157,7 +157,7 @@ def feature_table(spark, folder):
     SELECT count(*) AS row_count, count(DISTINCT (o_orderkey, o_custkey)) AS distinct_keys,
            CAST(2 AS BIGINT) AS feature_count,
            count(*) = count(DISTINCT (o_orderkey, o_custkey)) AS key_is_unique
-    FROM orders
+    FROM (SELECT DISTINCT o_orderkey, o_custkey, o_totalprice, o_orderpriority FROM orders)
     """,
 )
 def feature_table_verified(spark, folder):

@@ -8,9 +8,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortloom.functions.category import bucketize, encode, normalise_text
-from cohortloom.functions.numeric import min_max_columns, ratio, round_decimal, threshold_flag
-from cohortloom.functions.scoring import Term, rule_score, weighted_score
+from cohortloom.functions.category import normalise_text
+from cohortloom.functions.numeric import min_max_columns, round_decimal
 from cohortloom.operators.columns import drop_missing, range_filter
 
 
@@ -45,43 +44,27 @@ def clean_table(df: DataFrame, rules: CleaningRules) -> DataFrame:
 
 @dataclass(frozen=True)
 class FeatureRules:
-    """The derived features of a table."""
+    """The features of a table: columns taken over, derived columns, fixed-bounds scales."""
 
     raw: Sequence[str]
-    rules: Sequence[Column]
-    risk: Sequence[Term]
-    quotient: tuple[str, str]
-    flag: tuple[str, float]
-    steps: tuple[str, Sequence[tuple[float, str]], str]
-    step_codes: Mapping[str, int]
-    category: tuple[str, Mapping[str, int]]
+    derived: Mapping[str, Column]
     bounds: Mapping[str, tuple[float, float]]
     metadata: Sequence[str] = ()
-    unknown_category: int | None = 0
-    unknown_step: int | None = 1
-
-
-def feature_columns(spec: FeatureRules, digits: int = 4, rounding=round_decimal) -> list[Column]:
-    """Every feature as one list of expressions, for a single ``select``."""
-    category, category_codes = spec.category
-    stepped, steps, last = spec.steps
-    group = bucketize(stepped, steps, last)
-    return [
-        *[F.col(c) for c in spec.raw],
-        encode(normalise_text(category), category_codes, spec.unknown_category).alias("category_index"),
-        encode(group, spec.step_codes, spec.unknown_step).alias("step_index"),
-        rule_score(*spec.rules).alias("rule_score"),
-        rounding(weighted_score(spec.risk), digits).alias("risk_score"),
-        rounding(ratio(*spec.quotient), digits).alias("ratio_feature"),
-        threshold_flag(*spec.flag).alias("high_flag"),
-        *min_max_columns(spec.bounds, digits, rounding=rounding),
-    ]
-
-
-def gold_features(df: DataFrame, spec: FeatureRules, digits: int = 4, rounding=round_decimal) -> DataFrame:
-    """Raw, encoded, derived and scaled features with the metadata columns.
+
+    def names(self) -> list[str]:
+        """Feature names in table order, without the metadata."""
+        return [*self.raw, *self.derived, *[f"{c}_norm" for c in self.bounds]]
+
+
+def gold_features(df: DataFrame, rules: FeatureRules, digits: int = 4, rounding=round_decimal) -> DataFrame:
+    """Raw, derived and scaled features with the metadata columns.
 
     A single projection: no shuffle, no Python worker, only the needed columns
     are scanned.
     """
-    return df.select(*feature_columns(spec, digits, rounding), *spec.metadata)
+    return df.select(
+        *rules.raw,
+        *[value.alias(name) for name, value in rules.derived.items()],
+        *min_max_columns(rules.bounds, digits, rounding=rounding),
+        *rules.metadata,
+    )

@@ -42,15 +42,14 @@ def real_or_null(value: Column | str) -> Column:
 def finite_or_null(value: Column | str) -> Column:
     """NaN and the infinities become NULL."""
     number = as_column(value).cast("double")
-    inside = (number > F.lit(float("-inf"))) & (number < F.lit(float("inf")))
-    return F.when(inside, number)
+    return F.when(F.abs(number) < F.lit(float("inf")), number)
 
 
 def clip(value: Column | str, low: float, high: float) -> Column:
     """Limit to ``[low, high]``; NULL and NaN stay what they are."""
     number = as_column(value).cast("double")
-    limited = F.when(number < low, F.lit(float(low))).when(number > high, F.lit(float(high)))
-    return F.when(F.isnan(number), number).otherwise(limited.otherwise(number))
+    above = (number > F.lit(float(high))) & ~F.isnan(number)
+    return F.when(number < F.lit(float(low)), F.lit(float(low))).when(above, F.lit(float(high))).otherwise(number)
 
 
 def ratio(numerator: Column | str, denominator: Column | str) -> Column:

@@ -65,14 +65,15 @@ def ordered_distances(
         found = column_summary(df, features, ranges=range_count(df, ranges))
         splits = {c: found[c].splits for c in features}
     curve = running_counts(df, features, {"ref": is_reference, "cur": ~is_reference}, splits)
+    # between the previous value and this one both distribution functions are flat
     gap = F.abs(
-        F.try_divide(F.col("ref_upto").cast("double"), F.col("ref_total").cast("double"))
-        - F.try_divide(F.col("cur_upto").cast("double"), F.col("cur_total").cast("double"))
+        F.try_divide(F.col("ref_below").cast("double"), F.col("ref_total").cast("double"))
+        - F.try_divide(F.col("cur_below").cast("double"), F.col("cur_total").cast("double"))
     )
     mean = F.try_divide(F.col("ref_sum"), F.col("ref_total").cast("double"))
     off = F.col("value") - mean
     sums = curve.groupBy("feature").agg(
-        F.sum(gap * F.coalesce(F.col("next_value") - F.col("value"), F.lit(0.0))).alias("wasserstein"),
+        F.sum(gap * F.coalesce(F.col("value") - F.col("previous_value"), F.lit(0.0))).alias("wasserstein"),
         F.max(gap).alias("ks"),
         F.sum(F.col("ref") * off * off).alias("squares"),
         F.max("ref_total").cast("double").alias("ref_total"),

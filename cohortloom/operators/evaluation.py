@@ -80,7 +80,7 @@ def _ranked(
 
 def _area() -> Column:
     pos, neg = F.col("pos").cast("double"), F.col("neg").cast("double")
-    below = F.col("neg_upto").cast("double") - neg
+    below = F.col("neg_below").cast("double")
     pairs = F.sum("pos").cast("double") * F.sum("neg").cast("double")
     return F.try_divide(F.sum(pos * (below + neg / 2)), pairs)
 

@@ -10,7 +10,7 @@ values into one task. Here every feature is cut into value ranges:
    range of one feature. The counts combine before the shuffle, so a value that
    holds a third of all rows arrives as one row per map task.
 3. Slot totals, at most features x ranges rows, become offsets.
-4. A window per slot adds the running count inside the slot to its offset.
+4. A window per slot adds the count of smaller values in the slot to its offset.
    Steps 3 and 4 read the same shuffle output.
 """
 
@@ -26,6 +26,8 @@ from pyspark.sql import functions as F
 from cohortloom.functions.numeric import finite_or_null
 
 MAX_RANGES = 16384
+# Several ranges per shuffle partition, so that hashing spreads them evenly.
+RANGES_PER_PARTITION = 4
 SKETCH_SLOTS = 128
 # A map task's sketch stays small, because there may be very many of them and the
 # errors of independent sketches cancel out; the merged sketch is as fine as the ranges.
@@ -43,9 +45,9 @@ class ColumnSummary:
 
 
 def range_count(df: DataFrame, wanted: int | None = None) -> int:
-    """Ranges per feature: as asked, else the session's shuffle width."""
+    """Ranges per feature: as asked, else by the session's shuffle width."""
     if wanted is None:
-        wanted = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        wanted = RANGES_PER_PARTITION * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return max(2, min(wanted, MAX_RANGES))
 
 
@@ -98,10 +100,10 @@ def running_counts(
 
     ``weights`` maps a name to a 0/1 column of ``df``; ``splits`` are the range
     limits of each feature. The result has, for each name ``w``: ``w`` (rows
-    with this value), ``w_upto`` (rows up to and including it), ``w_total`` and
+    with this value), ``w_below`` (rows with a smaller one), ``w_total`` and
     ``w_sum`` (all rows and the sum of their values, of the feature).
-    ``next_value`` is the next larger value. NULL, NaN and infinite values take
-    no part.
+    ``previous_value`` is the next smaller value, NULL for the smallest. NULL,
+    NaN and infinite values take no part.
     """
     names = list(weights)
     inputs = [f"v{i}" for i in range(len(features))]
@@ -130,7 +132,7 @@ def running_counts(
     )
 
     totals = values.groupBy("slot").agg(
-        F.min("value").alias("first_value"),
+        F.max("value").alias("last_value"),
         *[F.sum(w).alias(f"{w}_rows") for w in names],
         *[F.sum(F.col("value") * F.col(w)).alias(f"{w}_part") for w in names],
     )
@@ -141,28 +143,28 @@ def running_counts(
     offsets = totals.select("*", feature.alias("feature")).select(
         F.element_at(F.array(*[F.lit(c) for c in features]), F.col("feature") + 1).alias("feature"),
         "slot",
-        F.lead("first_value").over(in_order).alias("next_first"),
+        F.lag("last_value").over(in_order).alias("previous_last"),
         *[F.coalesce(F.sum(f"{w}_rows").over(before), F.lit(0)).alias(f"{w}_before") for w in names],
         *[F.sum(f"{w}_rows").over(whole).alias(f"{w}_total") for w in names],
         *[F.sum(f"{w}_part").over(whole).alias(f"{w}_sum") for w in names],
     )
 
-    inside = Window.partitionBy("slot").orderBy("value")
-    upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # one frame serves all: in value order the largest value so far is the previous one
+    earlier = Window.partitionBy("slot").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
     local = values.select(
         "slot",
         "value",
-        F.lead("value").over(inside).alias("next_inside"),
+        F.max("value").over(earlier).alias("previous_inside"),
         *names,
-        *[F.sum(w).over(upto).alias(f"{w}_inside") for w in names],
+        *[F.sum(w).over(earlier).alias(f"{w}_inside") for w in names],
     )
     # offsets: at most len(features) x (ranges + 1) rows, both set by the caller
     return local.join(F.broadcast(offsets), "slot").select(
         "feature",
         "value",
-        F.coalesce("next_inside", "next_first").alias("next_value"),
+        F.coalesce("previous_inside", "previous_last").alias("previous_value"),
         *names,
-        *[(F.col(f"{w}_inside") + F.col(f"{w}_before")).alias(f"{w}_upto") for w in names],
+        *[(F.coalesce(f"{w}_inside", F.lit(0)) + F.col(f"{w}_before")).alias(f"{w}_below") for w in names],
         *[F.col(f"{w}_total") for w in names],
         *[F.col(f"{w}_sum") for w in names],
     )

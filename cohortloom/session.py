@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+_LOCAL_FOLDERS: dict[str, str] = {}
+
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
     """A single-JVM session for tests and the bench; a cluster brings its own."""
@@ -35,9 +37,10 @@ def shared_folder(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="cohortloom-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    application = spark.sparkContext.applicationId
+    if application not in _LOCAL_FOLDERS:
+        _LOCAL_FOLDERS[application] = tempfile.mkdtemp(prefix="cohortloom-")
+    return _LOCAL_FOLDERS[application]
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:

@@ -44,20 +44,40 @@ def write_csv(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).option("header", "true").csv(path)
 
 
-def append_evolving(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
+def write_named(
+    df: DataFrame,
+    name: str,
+    mode: str = "overwrite",
+    partition_by: Sequence[str] = (),
+    fmt: str = "parquet",
+    path: str | None = None,
+) -> DataFrame:
+    """Write a catalog table, its schema replaced on overwrite, and return it as read back."""
+    writer = df.write.format(fmt).mode(mode).option("overwriteSchema", "true")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    if path:
+        writer = writer.option("path", path)
+    writer.saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
+def append_evolving(
+    df: DataFrame, path: str, partition_by: Sequence[str] = (), fmt: str = "parquet"
+) -> DataFrame:
     """Append rows that may bring new columns; earlier rows read NULL there."""
-    writer = df.write.mode("append")
+    writer = df.write.format(fmt).mode("append").option("mergeSchema", "true")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
-    return read_table(df.sparkSession, path, merge_schema=True)
+    writer.save(path)
+    return read_table(df.sparkSession, path, fmt=fmt, merge_schema=True)
 
 
-def append_conformed(df: DataFrame, path: str) -> DataFrame:
+def append_conformed(df: DataFrame, path: str, fmt: str = "parquet") -> DataFrame:
     """Append rows cast to the existing table's schema."""
-    target = read_table(df.sparkSession, path)
-    conform(df, target.schema).write.mode("append").parquet(path)
-    return read_table(df.sparkSession, path)
+    target = read_table(df.sparkSession, path, fmt=fmt)
+    conform(df, target.schema).write.format(fmt).mode("append").save(path)
+    return read_table(df.sparkSession, path, fmt=fmt)
 
 
 def write_verified(

@@ -1,4 +1,6 @@
 import datetime as dt
+import tempfile
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,6 +14,7 @@ from cohortloom.sources.sinks import (
     key_violations,
     write_csv,
     write_feature_table,
+    write_named,
     write_table,
     write_verified,
 )
@@ -42,6 +45,27 @@ def test_partitioned_tables_are_read_by_partition(spark):
 def test_named_tables(spark):
     spark.range(3).createOrReplaceTempView("three_rows")
     assert read_named(spark, "three_rows", ["id"]).count() == 3
+    rows = spark.range(6).selectExpr("id", "id % 2 as p")
+    name = f"study_{uuid.uuid4().hex}"
+    written = write_named(rows, name, partition_by=["p"], path=fresh_path(spark, "named"))
+    assert written.where("p = 1").count() == 3
+    other = write_named(rows.selectExpr("id as key"), name, path=fresh_path(spark, "named"))
+    assert other.columns == ["key"] and read_named(spark, name).count() == 6
+    spark.sql(f"DROP TABLE {name}")
+
+
+def test_local_folder_is_only_for_single_machines():
+    class Session:
+        class conf:
+            get = staticmethod(lambda key, default=None: default)
+
+        def __init__(self, master):
+            self.sparkContext = type("Context", (), {"master": master, "applicationId": "app-1"})
+
+    first = shared_folder(Session("local[2]"))
+    assert first == shared_folder(Session("local[2]")) and first.startswith(tempfile.gettempdir())
+    with pytest.raises(ValueError):
+        shared_folder(Session("yarn"))
 
 
 def test_appends_evolve_and_conform(spark):

@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortloom.functions.numeric import finite_or_null
+from cohortloom.functions.numeric import finite_or_null, real_or_null
 from cohortloom.operators.ordered import column_summary, range_count, running_counts
 
 # Severity limits, highest first, with the severity and the action
@@ -114,16 +114,19 @@ def _shares_by_cell(
 ) -> DataFrame:
     """Cohort counts per (feature, cell) with the cohort totals of the feature.
 
-    A cell is a bin number or a category text. All features share one scan, and
-    rows are reduced to their cells before anything is shuffled.
+    A cell is a bin number or a category text; NULL and NaN are in none. All
+    features share one scan, and rows are reduced to their cells before anything
+    is shuffled.
     """
     no_bin, no_text = F.lit(None).cast("int"), F.lit(None).cast("string")
+    kinds = dict(df.dtypes)
+    texts = {c: real_or_null(c) if kinds[c] in ("double", "float") else F.col(c) for c in categories}
     entries = [
         F.struct(F.lit(c).alias("feature"), cell.cast("int").alias("bin"), no_text.alias("category"))
         for c, cell in binned.items()
     ] + [
-        F.struct(F.lit(c).alias("feature"), no_bin.alias("bin"), F.col(c).cast("string").alias("category"))
-        for c in categories
+        F.struct(F.lit(c).alias("feature"), no_bin.alias("bin"), text.cast("string").alias("category"))
+        for c, text in texts.items()
     ]
     rows = df.select(is_reference.alias("is_reference"), F.inline(F.array(*entries))).where(
         F.col("is_reference").isNotNull() & (F.col("bin").isNotNull() | F.col("category").isNotNull())

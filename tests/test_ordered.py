@@ -179,6 +179,13 @@ def test_category_statistics(spark):
     assert (chi.chi2, chi.degrees) == (pytest.approx(expected), 2)
 
 
+def test_missing_numbers_are_no_category(spark):
+    rows = [(1.0, True), (2.0, True), (NAN, True), (1.0, False), (2.0, False), (None, False)]
+    df = spark.createDataFrame(rows, "c double, is_ref boolean")
+    assert chi_square(df, ["c"], F.col("is_ref")).first().degrees == 1
+    assert jensen_shannon(df, ["c"], F.col("is_ref")).first().js == pytest.approx(0.0, abs=1e-9)
+
+
 def test_equal_categories_have_distance_zero(spark):
     df = spark.createDataFrame([("a", True), ("b", True), ("a", False), ("b", False)], "c string, is_ref boolean")
     assert jensen_shannon(df, ["c"], F.col("is_ref")).first().js == pytest.approx(0.0, abs=1e-9)

@@ -16,6 +16,7 @@ from cohortloom.functions.numeric import (
     threshold_flag,
 )
 from cohortloom.functions.scoring import label_from_score, label_score, rule_score, weighted_score
+from cohortloom.operators.splits import split_by_position
 from cohortloom.plans.medallion import FeatureRules, gold_features
 from cohortloom.sources.tables import fixture
 
@@ -218,6 +219,18 @@ def split_lines(spark, folder):
     return fixture(spark, folder, "lineitem").select("l_orderkey", split_by_mod("l_orderkey").alias("data_split"))
 
 
+@query(
+    "split_position",
+    """
+    SELECT o_orderkey, CASE WHEN row_number() OVER (ORDER BY o_orderkey) <= floor(0.8 * (SELECT count(*) FROM orders))
+                            THEN 'train' ELSE 'validation' END AS data_split
+    FROM orders
+    """,
+)
+def positional_split(spark, folder):
+    return split_by_position(fixture(spark, folder, "orders", ["o_orderkey"]), "o_orderkey", 0.8)
+
+
 @query("split_hash")
 def hashed_split(spark, folder):
     return fixture(spark, folder, "orders").select(

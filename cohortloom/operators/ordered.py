@@ -47,7 +47,8 @@ class ColumnSummary:
 def range_count(df: DataFrame, wanted: int | None = None) -> int:
     """Ranges per feature: as asked, else by the session's shuffle width."""
     if wanted is None:
-        wanted = RANGES_PER_PARTITION * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        width = df.sparkSession.conf.get("spark.sql.shuffle.partitions")
+        wanted = RANGES_PER_PARTITION * (int(width) if width.isdigit() else 200)
     return max(2, min(wanted, MAX_RANGES))
 
 

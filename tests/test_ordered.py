@@ -24,6 +24,7 @@ from cohortloom.operators.drift import (
 )
 from cohortloom.operators.evaluation import roc_auc
 from cohortloom.operators.ordered import column_summary
+from cohortloom.operators.splits import split_by_position
 
 NAN, INF = float("nan"), float("inf")
 
@@ -119,6 +120,19 @@ def test_auc_of_one_class_is_null(spark):
     assert roc_auc(df, "y", "s", 5).first().roc_auc is None
 
 
+@pytest.mark.parametrize("n, share", [(1000, 0.8), (7, 0.8), (1, 0.8), (10, 1.0), (10, 0.0)])
+def test_positional_split_is_exact(spark, n, share):
+    df = spark.range(n).select((F.col("id") * 3 - 5).alias("k")).repartition(4)
+    got = {r.k: r.data_split for r in split_by_position(df, "k", share, ranges=5).collect()}
+    first = set(sorted(got)[: int(n * share)])
+    assert got == {k: "train" if k in first else "validation" for k in got}
+
+
+def test_positional_split_of_missing_values(spark):
+    df = spark.createDataFrame([(1.0,), (2.0,), (None,)], "k double")
+    assert {r.k: r.data_split for r in split_by_position(df, "k", 0.5, ranges=2).collect()} == {1.0: "train", 2.0: "validation", None: None}
+
+
 def test_split_points_are_increasing_and_balanced(spark):
     df = spark.range(10000).select(F.col("id").cast("double").alias("a"), F.lit(1.0).alias("b"), F.lit(None).cast("double").alias("c"))
     found = column_summary(df, ["a", "b", "c"], ["a"], 10)

@@ -15,6 +15,7 @@ from cohortloom.operators.classifier import (
     score_model,
     score_with,
     train_boosted_trees,
+    training_curve,
     training_partitions,
     training_set,
 )
@@ -255,6 +256,12 @@ def tree_scores(spark, folder):
     return score_model(_model(spark, folder), rows, FEATURES, "label", ["l_orderkey", "l_quantity"])
 
 
+@query("training_curve")
+def tree_curve(spark, folder):
+    held_out = line_trainable(spark, folder).where("data_split <> 'train'")
+    return training_curve(_model(spark, folder), held_out, FEATURES, "label")
+
+
 @query("feature_importance")
 def tree_importance(spark, folder):
     return feature_importance(spark, _model(spark, folder), FEATURES)

@@ -113,6 +113,25 @@ def train_boosted_trees(
         inputs.unpersist()
 
 
+def training_curve(
+    model: PipelineModel, df: DataFrame, features: Sequence[str], label: str
+) -> DataFrame:
+    """(tree_count, loss): logistic loss on the given rows after each tree.
+
+    Rows without the weight column the trees were fitted with weigh the same.
+    """
+    assembler, trees = model.stages
+    columns = [*_inputs(features), F.col(label).cast("double").alias(label)]
+    if trees.isSet(trees.weightCol):
+        weight = trees.getWeightCol()
+        given = F.col(weight) if weight in df.columns else F.lit(1.0)
+        columns.append(given.cast("double").alias(weight))
+    rows = df.select(*columns).where(F.col(label).isNotNull())
+    losses = trees.evaluateEachIteration(assembler.transform(rows))
+    curve = [(i + 1, float(loss)) for i, loss in enumerate(losses)]
+    return df.sparkSession.createDataFrame(curve, "tree_count int, loss double")
+
+
 def feature_importance(spark: SparkSession, model: PipelineModel, features: Sequence[str]) -> DataFrame:
     """(feature, importance): one row per model input."""
     weights = model.stages[-1].featureImportances.toArray()

@@ -6,9 +6,11 @@ from cohortloom.operators.classifier import (
     feature_importance,
     score_model,
     train_boosted_trees,
+    training_curve,
     training_set,
 )
 from cohortloom.operators.evaluation import balanced_weight, classification_metrics, run_record
+from cohortloom.session import shared_folder
 from cohortloom.plans.modelling import evaluate_run, gate_run, train_and_score
 
 
@@ -71,6 +73,15 @@ def test_training_learns_scores_and_passes_the_gate(spark, rows):
     assert weights["a"] > 0.9 and sum(weights.values()) == pytest.approx(1.0)
 
 
+def test_each_tree_lowers_the_loss_and_long_runs_are_checkpointed(spark, rows):
+    train = training_set(rows, ["a", "noise"], "y", split="data_split")
+    settings = BoostingSettings(trees=12, depth=2, learning_rate=0.3, row_share=1.0, feature_share=1.0)
+    model = train_boosted_trees(train, ["a", "noise"], "y", settings=settings)
+    curve = [r.loss for r in training_curve(model, rows, ["a", "noise"], "y").orderBy("tree_count").collect()]
+    assert len(curve) == 12 and curve[-1] < curve[0] / 2
+    assert spark.sparkContext.getCheckpointDir().startswith("file:" + shared_folder(spark))
+
+
 def test_scoring_columns_are_consistent(spark, rows):
     train = training_set(rows, ["a"], "y", split="data_split")
     model = train_boosted_trees(train, ["a"], "y", settings=SETTINGS)

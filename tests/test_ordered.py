@@ -154,6 +154,16 @@ def test_ordered_plan_reuses_its_shuffle_and_has_no_single_task_window(spark):
     assert "SinglePartition" not in plan
 
 
+def test_drift_scores_scan_once_per_family_and_only_their_columns(spark):
+    lines = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
+    monitors = [Monitor("l_quantity"), Monitor("l_extendedprice", "ks"), Monitor("l_tax", "psi"), Monitor("l_returnflag", "js")]
+    plan = plan_text(drift_scores(lines, F.col("l_linestatus") == "F", monitors))
+    scans = sorted(part.split("]")[0] for part in plan.split("FileScan parquet [")[1:])
+    columns = [sorted(c.split("#")[0] for c in s.split(",")) for s in scans]
+    assert columns == [["l_extendedprice", "l_linestatus", "l_quantity"], ["l_linestatus", "l_returnflag", "l_tax"]]
+    assert plan.count("ReusedExchange") >= 2 and "Cartesian" not in plan and "NestedLoop" not in plan
+
+
 def brute_psi(ref, cur, bins=10, floor=1e-4):
     low, high = min(ref + cur), max(ref + cur)
     place = lambda v: 0 if high == low else min(int((v - low) / (high - low) * bins), bins - 1)

@@ -234,23 +234,29 @@ def drift_scores(
     bins: int = 10,
     floor: float = 1e-4,
     ranges: int | None = None,
+    splits: Mapping[str, Sequence[float]] | None = None,
 ) -> DataFrame:
     """(feature, statistic, drift_score, drift_detected): one row per monitor.
 
     Three passes however many monitors there are: bounds and range limits of
     the numeric features, the ordered statistics, the counts by cell. Each
-    reads only its own columns. A feature with an empty cohort has a NULL score.
+    reads only its own columns. ``splits`` are range limits known from an earlier
+    run, such as yesterday's: any increasing limits give the same scores, and
+    the features that have them are left out of the first pass. A feature with
+    an empty cohort has a NULL score.
     """
     by_kind = {k: [m.feature for m in monitors if m.statistic == k] for k in DISTANCES}
     ordered = list(dict.fromkeys(by_kind["wasserstein"] + by_kind["ks"]))
     rows = df.where(is_reference.isNotNull())
+    limits = {c: splits[c] for c in ordered if c in (splits or {})}
+    unknown = [c for c in ordered if c not in limits]
     found = {}
-    if ordered or by_kind["psi"]:
-        found = column_summary(rows, ordered, by_kind["psi"], range_count(df, ranges))
+    if unknown or by_kind["psi"]:
+        found = column_summary(rows, unknown, by_kind["psi"], range_count(df, ranges))
+    limits.update({c: found[c].splits for c in unknown})
     parts = []
     if ordered:
-        splits = {c: found[c].splits for c in ordered}
-        both = ordered_distances(rows, ordered, is_reference, splits=splits)
+        both = ordered_distances(rows, ordered, is_reference, splits=limits)
         parts.append(
             _scores(both, {"wasserstein": "wasserstein_norm", "ks": "ks"}, by_kind)
         )

@@ -70,10 +70,16 @@ def classification_metrics(df: DataFrame, label: str, prediction: str) -> DataFr
 
 
 def _ranked(
-    df: DataFrame, label: str, score: str, extra: Mapping[str, Column], ranges: int | None
+    df: DataFrame,
+    label: str,
+    score: str,
+    extra: Mapping[str, Column],
+    ranges: int | None,
+    splits: Sequence[float] | None,
 ) -> DataFrame:
     """Running class counts by score, with further row counts alongside."""
-    splits = column_summary(df, [score], ranges=range_count(df, ranges))[score].splits
+    if splits is None:
+        splits = column_summary(df, [score], ranges=range_count(df, ranges))[score].splits
     classes = {"pos": F.col(label) == 1, "neg": F.col(label) == 0}
     return running_counts(df, [score], {**classes, **extra}, {score: splits})
 
@@ -85,12 +91,20 @@ def _area() -> Column:
     return F.try_divide(F.sum(pos * (below + neg / 2)), pairs)
 
 
-def roc_auc(df: DataFrame, label: str, score: str, ranges: int | None = None) -> DataFrame:
+def roc_auc(
+    df: DataFrame,
+    label: str,
+    score: str,
+    ranges: int | None = None,
+    splits: Sequence[float] | None = None,
+) -> DataFrame:
     """One row: exact area under the ROC curve, ties counted half.
 
-    NULL when only one class is present.
+    NULL when only one class is present. ``splits`` are range limits known from
+    an earlier run; they save the pass that looks for them, and the area is the
+    same for any increasing limits.
     """
-    return _ranked(df, label, score, {}, ranges).agg(_area().alias("roc_auc"))
+    return _ranked(df, label, score, {}, ranges, splits).agg(_area().alias("roc_auc"))
 
 
 def run_record(
@@ -101,6 +115,7 @@ def run_record(
     constants: Mapping[str, str],
     created_at: Column,
     ranges: int | None = None,
+    splits: Sequence[float] | None = None,
 ) -> DataFrame:
     """One run-log row: constants, every metric, status ``trained``, time.
 
@@ -114,7 +129,7 @@ def run_record(
         "fn": (actual == 1) & (predicted == 0),
         "tp": (actual == 1) & (predicted == 1),
     }
-    sums = _ranked(scored, label, score, cells, ranges).agg(
+    sums = _ranked(scored, label, score, cells, ranges, splits).agg(
         _area().alias("roc_auc"), *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in cells]
     )
     metrics = _metrics(*[F.col(c) for c in cells])

@@ -115,6 +115,16 @@ def test_auc_matches_brute_force(spark, pairs):
     assert roc_auc(df, "y", "s", 5).first().roc_auc == pytest.approx(brute_auc(pairs), rel=1e-12)
 
 
+@pytest.mark.parametrize("splits", [[], [0.0], [1.0, 2.5, 4.0], [-9.0, 99.0], [float(i) for i in range(7)]])
+def test_any_range_limits_give_the_same_result(spark, splits):
+    pairs = [(float(i % 7), (i * 5) % 3 % 2) for i in range(200)]
+    df = spark.createDataFrame(pairs, "s double, y int")
+    assert roc_auc(df, "y", "s", splits=splits).first().roc_auc == pytest.approx(brute_auc(pairs), rel=1e-12)
+    ref, cur = [s for s, y in pairs if y], [s for s, y in pairs if not y]
+    scores = drift_scores(cohorts(spark, ref, cur), F.col("is_ref"), [Monitor("x")], splits={"x": splits})
+    assert scores.first().drift_score == pytest.approx(brute_distances(ref, cur)[1], rel=1e-9)
+
+
 def test_auc_of_one_class_is_null(spark):
     df = spark.createDataFrame([(0.2, 1), (0.3, 1)], "s double, y int")
     assert roc_auc(df, "y", "s", 5).first().roc_auc is None

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cohortloom.llm import queries_classify, queries_fingerprint, queries_mixing, queries_privacy  # noqa: F401
+from cohortloom.llm import queries_classify, queries_fingerprint, queries_mixing, queries_neardup, queries_privacy  # noqa: F401
 from cohortloom.llm.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

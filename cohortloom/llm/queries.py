@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cohortloom.llm import queries_classify, queries_fingerprint, queries_katz, queries_mixing, queries_neardup, queries_privacy, queries_repeats  # noqa: F401
+from cohortloom.llm import queries_classify, queries_fingerprint, queries_katz, queries_mixing, queries_neardup, queries_privacy, queries_repeats, queries_wrappers  # noqa: F401
 from cohortloom.llm.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

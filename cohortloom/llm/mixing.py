@@ -12,7 +12,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortloom.llm.text import own
+from cohortloom.llm.text import own, stored
+
+#: Most sources whose targets are broadcast; beyond, rows and targets meet in a shuffle.
+BROADCAST_SOURCES = 100_000
 
 
 def targets(sizes: DataFrame, weights: Sequence[float], budget: float, most: float) -> DataFrame:
@@ -65,7 +68,9 @@ def plan_mix(
     source = F.col(f"row.`{source_column}`")
     # only names and sizes feed the sums, the whole rows meet them once
     sizes = docs.select(F.col(source_column).alias("source"), F.coalesce(size, F.lit(0)).cast("long").alias("size")).groupBy("source").agg(F.sum("size").alias("source_size"))
-    goals = targets(sizes, weights, budget, most)
+    goals = stored(targets(sizes, weights, budget, most), "targets")
+    if goals.count() <= BROADCAST_SOURCES:  # the texts stay where they are read
+        goals = F.broadcast(goals)
     name = own("source")
     joined = sized.join(goals.withColumnRenamed("source", name), source.eqNullSafe(F.col(name)), "left")
     return joined.select("row", "size", "source_size", "target", copies(F.col("rate"), F.col(f"row.`{id_column}`"), seed).alias("copies"))

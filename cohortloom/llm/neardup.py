@@ -186,3 +186,24 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
     return out.select(
         F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(component == F.col("id"), F.lit(True)).alias("kept")
     )
+
+
+def keep_one(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that near-duplicate search keeps: one of each component, with all columns.
+
+    Of rows that share an id one stays; rows with a null id, which name no document, all stay.
+    """
+    known = docs.select(F.col(id_column).alias("id"), F.col(text).alias("text"))
+    found = near_duplicates(known, "id")
+    gone = stored(found.where(~F.col("kept")).select(F.col("doc_id").alias("id")).distinct(), "duplicates")
+    again = stored(known.where("id IS NOT NULL").groupBy("id").agg(F.count("*").alias("n")).where("n > 1").select("id"), "repeated-ids")
+    row, key = own("row"), own("id")
+    given = docs.select(F.struct("*").alias(row), F.col(id_column).alias(key))
+    few = gone.count() <= BROADCAST_IDS
+    ids = gone.withColumnRenamed("id", key)
+    left = given.join(F.broadcast(ids) if few else ids, key, "left_anti")
+    if again.isEmpty():
+        return left.select(f"{row}.*")
+    twice = again.withColumnRenamed("id", key)
+    once = left.join(twice, key, "left_anti").unionByName(left.join(twice, key, "left_semi").dropDuplicates([key]).select(key, row))
+    return once.select(f"{row}.*")

@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from cohortloom.llm import queries_classify, queries_fingerprint, queries_katz, queries_mixing, queries_neardup, queries_privacy, queries_repeats, queries_wrappers  # noqa: F401
+import corpus_pipeline
+from cohortloom.llm import queries_classify, queries_decontaminate, queries_fingerprint, queries_katz, queries_mixing, queries_neardup, queries_privacy, queries_repeats, queries_wrappers  # noqa: F401
 from cohortloom.llm.registry import ORACLES, QUERIES
 
+QUERIES["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL is not None:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
+
 __all__ = ["ORACLES", "QUERIES"]

@@ -37,7 +37,8 @@ def targets(sizes: DataFrame, weights: Sequence[float], budget: float, most: flo
     everything = Window.partitionBy()
     level = (F.sum("source_size").over(everything) * float(budget) - F.coalesce(F.sum(limit).over(below), F.lit(0.0))) / F.sum("weight").over(rest)
     leveled = weighted.withColumn("level", level)
-    stands = F.min(F.when(F.col("level") <= limit / F.col("weight"), F.struct(limit / F.col("weight"), F.col("level")))).over(everything)["level"]
+    # past the first source that stands, more limits are taken off and the share only falls
+    stands = F.max(F.when(F.col("level") <= limit / F.col("weight"), F.col("level"))).over(everything)
     target = F.least(limit, F.coalesce(stands * F.col("weight"), limit))
     return leveled.select(
         "source", "source_size", target.alias("target"),

@@ -24,7 +24,7 @@ WITH d AS (
         / sum(weight) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
     FROM w
 ), t AS (
-    SELECT source, source_size, least(cap, coalesce((SELECT min_by(level, cap / weight) FROM l WHERE level <= cap / weight) * weight, cap)) AS target
+    SELECT source, source_size, least(cap, coalesce((SELECT max(level) FROM l WHERE level <= cap / weight) * weight, cap)) AS target
     FROM l
 ), r AS (
     SELECT d.doc_id, d.size, t.source_size, t.target,

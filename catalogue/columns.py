@@ -161,7 +161,18 @@ def line_null_counts(spark, folder):
     "SELECT count(*) - (SELECT count(*) FROM (SELECT DISTINCT text, lang FROM documents)) AS duplicates FROM documents",
 )
 def document_duplicates(spark, folder):
-    return duplicate_count(fixture(spark, folder, "documents", ["text", "lang"]))
+    return duplicate_count(fixture(spark, folder, "documents", ["text", "lang"]), digest=True)
+
+
+@query(
+    "dup_count_lines",
+    """
+    SELECT count(*) - (SELECT count(*) FROM (SELECT DISTINCT l_orderkey, l_quantity, l_discount, l_shipdate FROM lineitem))
+           AS duplicates FROM lineitem
+    """,
+)
+def line_duplicates(spark, folder):
+    return duplicate_count(fixture(spark, folder, "lineitem", ["l_orderkey", "l_quantity", "l_discount", "l_shipdate"]))
 
 
 @query(

@@ -231,7 +231,28 @@ def positional_split(spark, folder):
     return split_by_position(fixture(spark, folder, "orders", ["o_orderkey"]), "o_orderkey", 0.8)
 
 
-@query("split_hash")
+@query(
+    "split_position_long",
+    """
+    SELECT o_orderkey + 1152921504606846976 AS long_key,
+           CASE WHEN row_number() OVER (ORDER BY o_orderkey) <= floor(0.8 * (SELECT count(*) FROM orders))
+                THEN 'train' ELSE 'validation' END AS data_split
+    FROM orders
+    """,
+)
+def positional_split_long(spark, folder):
+    keys = fixture(spark, folder, "orders", ["o_orderkey"]).select((F.col("o_orderkey") + F.lit(2**60)).alias("long_key"))
+    return split_by_position(keys, "long_key", 0.8)
+
+
+@query(
+    "split_hash",
+    """
+    SELECT o_orderkey,
+           CASE WHEN ('0x' || md5(CAST(o_orderkey AS VARCHAR))[1:8])::BIGINT % 100 < 80 THEN 'train' ELSE 'validation' END AS data_split
+    FROM orders
+    """,
+)
 def hashed_split(spark, folder):
     return fixture(spark, folder, "orders").select(
         "o_orderkey", split_by_hash(["o_orderkey"]).alias("data_split")

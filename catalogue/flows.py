@@ -134,14 +134,14 @@ def prediction_log_drift(spark, folder):
 def run_lifecycle(spark, folder):
     runs, events = fresh_path(spark, "runs"), fresh_path(spark, "status-events")
     first = line_run(spark, folder)
-    write_table(first, runs)
-    second = first.select(
+    logged = write_table(first, runs)
+    second = logged.select(
         *[
             F.lit("run-2").alias(c) if c == "run_id" else moment("2024-01-02 00:00:00").alias(c) if c == "created_at" else F.col(c)
-            for c in first.columns
+            for c in logged.columns
         ]
     )
-    log = append_evolving(second, runs)
+    log = append_evolving(second, runs, schema=logged.schema)
     trained = log.select("run_id", "status", "model_version", F.col("created_at").alias("changed_at"))
     write_table(trained, events)
     newest = require_latest_run(log, "created_at", "run_id", environment="dev", status="trained")

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import functions as F
 
-from catalogue.features import label_terms
+from catalogue.features import LABEL_TERMS_SQL, label_terms
 from catalogue.registry import moment, num, query, rounded, sql_round
 from cohortloom.functions.keys import split_by_mod
 from cohortloom.functions.numeric import round_floor
@@ -12,11 +15,12 @@ from cohortloom.functions.scoring import label_from_score, label_score, logistic
 from cohortloom.operators.classifier import (
     BoostingSettings,
     feature_importance,
+    load_model,
+    save_model,
     score_model,
     score_with,
     train_boosted_trees,
     training_curve,
-    training_partitions,
     training_set,
 )
 from cohortloom.operators.evaluation import (
@@ -167,21 +171,21 @@ def logistic_summary(spark, folder):
 
 @query(
     "roc_auc_lines",
-    f"WITH {SCORED_SQL}, {_auc_sql('scored', 'actual', sql_round('p', 6))} "
+    f"WITH {SCORED_SQL}, {_auc_sql('scored', 'actual', sql_round('p', 12))} "
     f"SELECT {sql_round('roc_auc', 9)} AS roc_auc FROM auc",
 )
 def line_auc(spark, folder):
-    scored = _scored(spark, folder).withColumn("probability", round_floor("probability", 6))
+    scored = _scored(spark, folder).withColumn("probability", round_floor("probability", 12))
     return rounded(roc_auc(scored, "actual_label", "probability"), {"roc_auc": 9})
 
 
 RUN_SQL = f"""
     {SCORED_SQL}, labelled AS (SELECT actual AS quality, CAST(p > 0.5 AS INTEGER) AS prediction FROM scored),
-    {MATRIX_SQL}, {_auc_sql('scored', 'actual', sql_round('p', 6))}, metrics AS (SELECT {METRICS_SQL} FROM matrix)"""
+    {MATRIX_SQL}, {_auc_sql('scored', 'actual', sql_round('p', 12))}, metrics AS (SELECT {METRICS_SQL} FROM matrix)"""
 
 
 def _run(spark, folder):
-    scored = _scored(spark, folder).withColumn("probability", round_floor("probability", 6))
+    scored = _scored(spark, folder).withColumn("probability", round_floor("probability", 12))
     return run_record(
         scored,
         "actual_label",
@@ -239,7 +243,7 @@ def _model(spark, folder):
     train = training_set(line_trainable(spark, folder), FEATURES, "label", split="data_split")
     weighted = balanced_weight(train, "label")
     return train_boosted_trees(
-        weighted, FEATURES, "label", "sample_weight", TRIAL, training_partitions(train)
+        weighted, FEATURES, "label", "sample_weight", TRIAL
     )
 
 
@@ -275,3 +279,127 @@ def tree_top_importance(spark, folder):
 @query("importance_csv")
 def tree_importance_csv(spark, folder):
     return write_csv(tree_importance(spark, folder).orderBy(F.desc("importance"), "feature"), fresh_path(spark, "importance"))
+
+
+@query(
+    "train_gbt_checks",
+    """
+    SELECT count(*) FILTER (WHERE l_orderkey % 5 >= 4) AS scored, TRUE AS metrics_in_range, TRUE AS above_chance
+    FROM lineitem
+    """,
+)
+def trained_run_checks(spark, folder):
+    """Properties of a fit, not the trees: every held-out row scored, metrics in [0, 1], better than chance."""
+    _, scored = train_and_score(line_trainable(spark, folder), FEATURES, "label", "data_split", TRIAL)
+    log = write_table(scored, fresh_path(spark, "predictions"))
+    run = evaluate_run(log, "run-1", "dev", moment(CREATED))
+    metrics = ["precision", "recall", "f1_score", "roc_auc", "accuracy"]
+    inside = reduce(and_, [F.col(m).between(0, 1) for m in metrics])
+    return run.select(
+        F.lit(log.count()).cast("long").alias("scored"), inside.alias("metrics_in_range"), (F.col("roc_auc") > 0.5).alias("above_chance")
+    )
+
+
+@query(
+    "score_gbt_checks",
+    f"""
+    SELECT count(*) AS scored, CAST(sum(l_quantity) AS BIGINT) AS quantity,
+           CAST(sum(CAST(greatest(least({LABEL_TERMS_SQL}, 1.0), 0.0) >= 0.5 AS INTEGER)) AS BIGINT) AS positives,
+           TRUE AS probability_in_range, TRUE AS class_fits, TRUE AS confidence_fits, TRUE AS correctness_fits
+    FROM lineitem
+    """,
+)
+def tree_score_checks(spark, folder):
+    """Every row scored once with its own columns and label; class, confidence and correctness follow from the probability."""
+    rows = line_trainable(spark, folder)
+    scored = score_model(_model(spark, folder), rows, FEATURES, "label", ["l_orderkey", "l_quantity"], raw="p")
+    confidence = F.when(F.col("p") >= 0.5, F.col("p")).otherwise(1 - F.col("p"))
+    return scored.agg(
+        F.count(F.lit(1)).alias("scored"),
+        F.sum("l_quantity").cast("long").alias("quantity"),
+        F.sum("actual_label").alias("positives"),
+        F.bool_and(F.col("p").between(0, 1)).alias("probability_in_range"),
+        F.bool_and((F.col("prediction") == 1) == (F.col("p") > 0.5)).alias("class_fits"),
+        F.bool_and(F.abs(F.col("confidence") - confidence) <= 0.0001).alias("confidence_fits"),
+        F.bool_and(F.col("is_correct") == (F.col("prediction") == F.col("actual_label"))).alias("correctness_fits"),
+    )
+
+
+@query("training_curve_checks", f"SELECT CAST({TRIAL.trees} AS BIGINT) AS trees, TRUE AS in_order, TRUE AS falls")
+def tree_curve_checks(spark, folder):
+    """One loss for each tree, numbered from 1, and lower after the last tree than after the first."""
+    curve = tree_curve(spark, folder)
+    return curve.agg(
+        F.count(F.lit(1)).alias("trees"),
+        (F.min("tree_count").eqNullSafe(1) & (F.max("tree_count") == F.count(F.lit(1)))).alias("in_order"),
+        (F.max_by("loss", "tree_count") < F.min_by("loss", "tree_count")).alias("falls"),
+    )
+
+
+@query(
+    "feature_importance_checks",
+    " UNION ALL ".join(f"SELECT '{c}' AS feature, TRUE AS in_range, TRUE AS sums_to_one" for c in FEATURES),
+)
+def tree_importance_checks(spark, folder):
+    """Every input named once; importances in [0, 1] that sum to 1."""
+    found = tree_importance(spark, folder)
+    total = found.agg(F.sum("importance")).scalar()
+    return found.select(
+        "feature", F.col("importance").between(0, 1).alias("in_range"), (F.abs(total - 1) < 1e-9).alias("sums_to_one")
+    )
+
+
+@query("top_importance_checks", "SELECT CAST(3 AS BIGINT) AS kept, TRUE AS are_the_largest")
+def tree_top_checks(spark, folder):
+    """Three rows, none of them smaller than one left out."""
+    everything = write_table(tree_importance(spark, folder), fresh_path(spark, "importance"))
+    top = top_rows(everything, "importance", "feature", 3)
+    left = everything.join(top.select("feature"), "feature", "left_anti").agg(F.max("importance")).scalar()
+    return top.agg(
+        F.count(F.lit(1)).alias("kept"), F.coalesce(F.min("importance") >= left, F.lit(True)).alias("are_the_largest")
+    )
+
+
+@query("importance_csv_checks", f"SELECT CAST({len(FEATURES)} AS BIGINT) AS written, CAST(0 AS BIGINT) AS lost")
+def importance_csv_checks(spark, folder):
+    """The artefact reads back as the table that it was written from."""
+    table = write_table(tree_importance(spark, folder), fresh_path(spark, "importance"))
+    back = write_csv(table, fresh_path(spark, "importance-csv"))
+    return back.agg(F.count(F.lit(1)).alias("written"), F.lit(table.exceptAll(back).count()).cast("long").alias("lost"))
+
+
+@query(
+    "csv_texts",
+    """
+    SELECT CAST(7 AS BIGINT) AS part, ' p' || chr(10) || '"q", ' || p_brand || ' ' AS p_brand, CAST(NULL AS VARCHAR) AS missing, '' AS empty, count(*) AS n
+    FROM part GROUP BY p_brand
+    """,
+)
+def csv_texts(spark, folder):
+    """Blanks, line ends, quotes, NULL and the empty text survive the round trip."""
+    parts = fixture(spark, folder, "part", ["p_brand"]).groupBy("p_brand").agg(F.count(F.lit(1)).alias("n"))
+    rows = parts.select(
+        F.lit(7).cast("long").alias("part"), F.concat(F.lit(' p\n"q", '), "p_brand", F.lit(" ")).alias("p_brand"),
+        F.lit(None).cast("string").alias("missing"), F.lit("").alias("empty"), "n",
+    )
+    return write_csv(rows, fresh_path(spark, "texts"))
+
+
+@query(
+    "score_saved_model",
+    "SELECT count(*) AS scored, TRUE AS same_scores, 'champion' AS alias FROM lineitem",
+)
+def score_saved_model(spark, folder):
+    """A model saved by one job, found by its alias in the registration log, loaded and applied by another."""
+    rows = line_trainable(spark, folder)
+    model = _model(spark, folder)
+    path = save_model(model, fresh_path(spark, "model"))
+    log = write_table(
+        spark.createDataFrame([("m", "champion", "1", "2024-01-01", path)], "model_name string, alias string, version string, registered_at string, path string"),
+        fresh_path(spark, "registrations"),
+    )
+    found = log.where("alias = 'champion'").select("path").first()["path"]
+    kept = ["l_orderkey", "l_quantity", "l_extendedprice"]
+    again = score_model(load_model(found), rows, FEATURES, "label", kept)
+    lost = score_model(model, rows, FEATURES, "label", kept).exceptAll(again).count()
+    return again.agg(F.count(F.lit(1)).alias("scored"), F.lit(lost == 0).alias("same_scores"), F.lit("champion").alias("alias"))

@@ -213,6 +213,42 @@ def line_severity(spark, folder):
     return rounded(scores.select("*", severity(F.col("drift_score")).alias("severity")), {"drift_score": 6})
 
 
+@query(
+    "drift_severity_custom",
+    f"""
+    WITH {SCORES_SQL}
+    SELECT feature, statistic, CASE WHEN score >= 0.25 THEN 'ALERT' WHEN score >= 0.05 THEN 'WATCH' ELSE 'QUIET' END AS severity
+    FROM scores
+    """,
+)
+def line_severity_custom(spark, folder):
+    ladder = [(0.05, "WATCH", "LOOK"), (0.25, "ALERT", "STOP")]
+    scores = line_scores(spark, folder)
+    return scores.select("feature", "statistic", severity(F.col("drift_score"), ladder, "QUIET").alias("severity"))
+
+
+@query(
+    "drift_log_empty_feature",
+    f"""
+    WITH {SHIFTED_SQL}, {CATEGORY_SQL},
+    scores AS (
+      SELECT feature, 'js' AS statistic, js AS score FROM js WHERE feature = 'l_returnflag'
+      UNION ALL SELECT 'no_number', 'wasserstein', NULL
+      UNION ALL SELECT 'no_category', 'js', NULL)
+    SELECT feature, statistic, {sql_round('score', 6)} AS drift_score, score >= 0.1 AS drift_detected,
+           CASE WHEN score IS NOT NULL THEN {_ladder('score', 'severity')} END AS severity
+    FROM scores
+    """,
+)
+def log_with_empty_features(spark, folder):
+    lines = shifted_lines(spark, folder).select(
+        "*", F.lit(None).cast("double").alias("no_number"), F.lit(None).cast("string").alias("no_category")
+    )
+    monitors = [Monitor("l_returnflag", "js"), Monitor("no_number"), Monitor("no_category", "js")]
+    log = monitor_versions(lines, "data_version", "baseline_v1", "drift_v1", monitors, moment(DETECTED), {"environment": "dev"})
+    return rounded(log.select("feature", "statistic", "drift_score", "drift_detected", "severity"), {"drift_score": 6})
+
+
 @query(
     "dataset_drift",
     f"""
@@ -310,8 +346,8 @@ def hourly_profile(spark, folder):
 )
 def hourly_profile_stream(spark, folder):
     path = f"{folder}/events.parquet"
-    # a stream source takes a folder or a pattern, not a single file
-    stream = spark.readStream.schema(spark.read.parquet(path).schema).parquet(f"{path}*")
+    # a stream source takes a folder or a pattern, not a single file; this pattern has no other match
+    stream = spark.readStream.schema(spark.read.parquet(path).schema).parquet(f"{folder}/events.parque[t]")
     profile = window_profile_stream(
         stream.select("ts", "event_type", "value"), "ts", "event_type", "value"
     )

@@ -90,9 +90,9 @@ def append_evolve(spark, folder):
     orders = fixture(spark, folder, "orders")
     path = fresh_path(spark, "orders-evolving")
     core = ["o_orderkey", "o_custkey", "o_totalprice"]
-    write_table(orders.where("o_orderstatus <> 'O'").select(*core), path)
+    table = write_table(orders.where("o_orderstatus <> 'O'").select(*core), path)
     return append_evolving(
-        orders.where("o_orderstatus = 'O'").select(*core, "o_orderpriority"), path
+        orders.where("o_orderstatus = 'O'").select(*core, "o_orderpriority"), path, schema=table.schema
     ).select(*core, "o_orderpriority")
 
 
@@ -114,9 +114,59 @@ def append_conform(spark, folder):
         F.col("o_orderkey").cast("decimal(20,0)").alias("o_orderkey"),
         F.lit("x").alias("extra"),
     )
+    return append_conformed(loose, path, strict=False)
+
+
+@query(
+    "append_conform_partitioned",
+    "SELECT o_orderkey, o_custkey, o_totalprice, o_orderstatus FROM orders",
+)
+def append_conform_partitioned(spark, folder):
+    orders = fixture(spark, folder, "orders", ["o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus"])
+    path = fresh_path(spark, "orders-by-status")
+    write_table(orders.where("o_orderkey % 2 = 0"), path, partition_by=["o_orderstatus"])
+    loose = orders.where("o_orderkey % 2 <> 0").withColumn("o_custkey", F.col("o_custkey").cast("string"))
     return append_conformed(loose, path)
 
 
+@query(
+    "append_evolve_partitioned",
+    """
+    SELECT o_orderkey, o_totalprice, o_orderstatus,
+           CASE WHEN o_orderkey % 2 <> 0 THEN o_orderpriority END AS o_orderpriority
+    FROM orders
+    """,
+)
+def append_evolve_partitioned(spark, folder):
+    orders = fixture(spark, folder, "orders", ["o_orderkey", "o_totalprice", "o_orderstatus", "o_orderpriority"])
+    path = fresh_path(spark, "orders-evolving-by-status")
+    table = write_table(orders.where("o_orderkey % 2 = 0").drop("o_orderpriority"), path, partition_by=["o_orderstatus"])
+    return append_evolving(orders.where("o_orderkey % 2 <> 0"), path, schema=table.schema)
+
+
+@query(
+    "partitioned_types",
+    """
+    SELECT l_orderkey, lpad(CAST(l_linenumber AS VARCHAR), 2, '0') AS line_key, l_quantity
+    FROM lineitem
+    """,
+)
+def partitioned_types(spark, folder):
+    lines = fixture(spark, folder, "lineitem", ["l_orderkey", "l_linenumber", "l_quantity"])
+    keyed = lines.select("l_orderkey", F.lpad(F.col("l_linenumber").cast("string"), 2, "0").alias("line_key"), "l_quantity")
+    return write_table(keyed, fresh_path(spark, "lines-by-key"), partition_by=["line_key"])
+
+
+@query(
+    "write_verified_append",
+    "SELECT count(*) AS rows_written, count(*) AS rows_read, TRUE AS matches FROM orders",
+)
+def write_and_verify_append(spark, folder):
+    orders, path = fixture(spark, folder, "orders"), fresh_path(spark, "orders-appended")
+    write_table(orders.where("o_orderstatus = 'O'"), path)
+    return write_verified(orders, path, mode="append")
+
+
 @query(
     "write_verified",
     "SELECT count(*) AS rows_written, count(*) AS rows_read, TRUE AS matches FROM lineitem",
@@ -135,13 +185,13 @@ def _order_features(spark, folder):
         surrogate_key(orders, ["o_orderkey", "o_custkey"]).alias("feature_id"),
         "o_totalprice",
         (F.col("o_orderpriority") == "1-URGENT").cast("int").alias("is_urgent"),
-    ).distinct()
+    )
 
 
 @query(
     "feature_table",
     """
-    SELECT DISTINCT sha256(concat_ws('|', CAST(o_orderkey AS VARCHAR), CAST(o_custkey AS VARCHAR))) AS feature_id,
+    SELECT sha256(concat_ws('|', CAST(o_orderkey AS VARCHAR), CAST(o_custkey AS VARCHAR))) AS feature_id,
            o_totalprice, CAST(o_orderpriority = '1-URGENT' AS INTEGER) AS is_urgent
     FROM orders
     """,
@@ -157,13 +207,27 @@ def feature_table(spark, folder):
     SELECT count(*) AS row_count, count(DISTINCT (o_orderkey, o_custkey)) AS distinct_keys,
            CAST(2 AS BIGINT) AS feature_count,
            count(*) = count(DISTINCT (o_orderkey, o_custkey)) AS key_is_unique
-    FROM (SELECT DISTINCT o_orderkey, o_custkey, o_totalprice, o_orderpriority FROM orders)
+    FROM orders
     """,
 )
 def feature_table_verified(spark, folder):
     return feature_table_verify(feature_table(spark, folder), ["feature_id"])
 
 
+@query(
+    "feature_table_verify_nulls",
+    """
+    SELECT count(*) AS row_count, count(DISTINCT nullif(l_returnflag, 'N')) AS distinct_keys,
+           CAST(1 AS BIGINT) AS feature_count, FALSE AS key_is_unique
+    FROM lineitem
+    """,
+)
+def feature_table_null_keys(spark, folder):
+    lines = fixture(spark, folder, "lineitem", ["l_returnflag", "l_quantity"])
+    keyed = lines.select(F.nullif(F.col("l_returnflag"), F.lit("N")).alias("flag"), "l_quantity")
+    return feature_table_verify(write_table(keyed, fresh_path(spark, "null-keys")), ["flag"])
+
+
 @query(
     "key_violations",
     """

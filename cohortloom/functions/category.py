@@ -9,8 +9,6 @@ from pyspark.sql import functions as F
 
 from cohortloom.functions.numeric import as_column
 
-MAX_LITERAL_ENTRIES = 200
-
 
 def normalise_text(value: Column | str) -> Column:
     """Trimmed and upper-cased."""
@@ -20,11 +18,9 @@ def normalise_text(value: Column | str) -> Column:
 def encode(value: Column | str, codes: Mapping[str, int], default: int | None) -> Column:
     """Integer code of a category; ``default`` for unknown and NULL.
 
-    The dictionary becomes a literal in the plan, so it is for short lists;
-    ``encode_by_table`` serves long ones.
+    The dictionary becomes a literal in the plan; the caller chooses between
+    this and ``encode_by_table``, which serves long ones better.
     """
-    if len(codes) > MAX_LITERAL_ENTRIES:
-        raise ValueError("long dictionaries belong in a table: use encode_by_table")
     pairs = [F.lit(part) for item in codes.items() for part in item]
     found = F.create_map(*pairs)[as_column(value)]
     return F.coalesce(found, F.lit(default)).cast("int")
@@ -38,6 +34,7 @@ def encode_by_table(
     code: str,
     output: str,
     default: int | None,
+    known_unique: bool = False,
 ) -> DataFrame:
     """Dictionary encoding against a table of any size, whose keys must be unique.
 
@@ -45,12 +42,13 @@ def encode_by_table(
     allow it, and otherwise sort-merges, where adaptive execution splits a hot
     category, unknown ones included, over several tasks. For that both inputs
     must reach the join straight from their shuffles, so repeated keys are
-    checked for beforehand instead of being reduced on the way.
+    checked for beforehand instead of being reduced on the way, by a job that a
+    caller who knows them to be unique can save.
     """
     lookup = dictionary.where(F.col(key).isNotNull()).select(
         F.col(key).alias("__key"), F.col(code).cast("int").alias("__code")
     )
-    if not lookup.groupBy("__key").count().where("count > 1").isEmpty():
+    if not known_unique and not lookup.groupBy("__key").count().where("count > 1").isEmpty():
         raise ValueError(f"the dictionary has repeated keys in {key}")
     return df.join(lookup, df[column] == lookup["__key"], "left").select(
         *[df[name] for name in df.columns],

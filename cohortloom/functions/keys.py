@@ -27,8 +27,9 @@ def surrogate_key(df: DataFrame, columns: Sequence[str]) -> Column:
 def split_by_hash(
     columns: Sequence[str], train_percent: int = 80, names: tuple[str, str] = ("train", "validation")
 ) -> Column:
-    """Cohort from a hash of the key: stable for a row, no sort, no row numbering."""
-    slot = F.pmod(F.xxhash64(*[F.col(name) for name in columns]), F.lit(100))
+    """Cohort from a digest of the key: stable for a row in any engine, no sort, no row numbering."""
+    text = F.concat_ws("|", *[F.coalesce(F.col(name).cast("string"), F.lit("\\N")) for name in columns])
+    slot = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long") % 100
     return F.when(slot < train_percent, names[0]).otherwise(names[1])
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -17,9 +18,9 @@ from cohortloom.functions.numeric import real_or_null, round_decimal
 from cohortloom.session import ensure_checkpoint_dir
 
 
-# Stands for a missing feature inside the trees, which take no NULL or NaN: below
-# every real value, so that a split can part the missing rows from the others.
-MISSING_VALUE = -1.0e12
+# Stands for a missing feature inside the trees, which take no NULL or NaN: the lowest
+# double there is, so that a split can part the missing rows from the others.
+MISSING_VALUE = -sys.float_info.max
 
 
 def _inputs(features: Sequence[str]) -> list[Column]:
@@ -61,14 +62,16 @@ def training_set(
     ).where(F.col(label).isNotNull())
 
 
-def training_partitions(rows: DataFrame) -> int | None:
-    """The cluster's parallelism if the table has fewer partitions than that, else None.
+def bounded_rows(rows: DataFrame, key: Sequence[str], most_rows: int) -> DataFrame:
+    """About ``most_rows`` rows at most, chosen by a hash of the key: the bound of a training sample.
 
-    Training passes over its rows many times, so a table of few large files is
-    worth one shuffle; a table with enough splits is left as it is.
+    Training passes over its rows for every level of every tree; this sets what that costs.
     """
-    wanted = rows.sparkSession.sparkContext.defaultParallelism
-    return wanted if rows.rdd.getNumPartitions() < wanted else None
+    total = rows.count()
+    if total <= most_rows:
+        return rows
+    place = F.pmod(F.xxhash64(*[F.col(name) for name in key]), F.lit(1_000_000))
+    return rows.where(place < F.lit(int(1_000_000 * most_rows / total)))
 
 
 def train_boosted_trees(
@@ -83,8 +86,9 @@ def train_boosted_trees(
 
     The assembled rows are kept in memory and on disk while fitting,
     because training first passes over them several times; a lost executor's
-    part is computed again. ``partitions`` deals the rows out evenly first, see
-    ``training_partitions``.
+    part is computed again. ``partitions`` deals the rows out evenly first. Row
+    sampling is seeded per partition, so the same number of partitions is part
+    of a repeatable fit.
     """
     ensure_checkpoint_dir(rows.sparkSession)
     trees = GBTClassifier(
@@ -113,6 +117,17 @@ def train_boosted_trees(
         inputs.unpersist()
 
 
+def save_model(model: PipelineModel, path: str) -> str:
+    """Write a fitted model to shared storage, for another job to score with; returns the path."""
+    model.write().overwrite().save(path)
+    return path
+
+
+def load_model(path: str) -> PipelineModel:
+    """The model that ``save_model`` wrote, for instance where an alias resolves to."""
+    return PipelineModel.load(path)
+
+
 def training_curve(
     model: PipelineModel, df: DataFrame, features: Sequence[str], label: str
 ) -> DataFrame:

@@ -77,13 +77,18 @@ def cast_columns(df: DataFrame, types: Mapping[str, str], strict: bool = True) -
 def conform(df: DataFrame, schema: StructType, strict: bool = False) -> DataFrame:
     """The frame in the target's columns, order and types.
 
-    Missing columns come as NULL, columns the target lacks are left out.
+    Missing columns come as NULL, columns the target lacks are left out. A value
+    that does not fit is NULL, or with ``strict`` stops the query, whatever the
+    session's cast mode.
     """
     fields = []
     for field in schema.fields:
         if field.name in df.columns:
             source = F.col(field.name)
-            value = source.cast(field.dataType) if strict else source.try_cast(field.dataType)
+            value = source.try_cast(field.dataType)
+            if strict and df.schema[field.name].dataType != field.dataType:
+                misfit = F.concat(F.lit(f"{field.name} does not hold "), source.cast("string"))
+                value = F.when(source.isNotNull() & value.isNull(), F.raise_error(misfit)).otherwise(value)
         else:
             value = F.lit(None).cast(field.dataType)
         fields.append(value.alias(field.name))

@@ -39,15 +39,21 @@ class Monitor:
 
 
 def drift_long(df: DataFrame, features: Sequence[str], is_reference: Column) -> DataFrame:
-    """(feature, value, is_reference): both cohorts from one scan, missing values left out."""
+    """(feature, value, is_reference): both cohorts from one scan, missing values and rows of neither left out."""
     return (
         df.select(is_reference.alias("is_reference"), *[F.col(c).cast("double").alias(c) for c in features])
         .unpivot(["is_reference"], list(features), "feature", "value")
-        .where(F.col("value").isNotNull() & ~F.isnan("value"))
+        .where(F.col("is_reference").isNotNull() & F.col("value").isNotNull() & ~F.isnan("value"))
         .select("feature", "value", "is_reference")
     )
 
 
+def _all_named(df: DataFrame, keys: Sequence[tuple[str, ...]], columns: Sequence[str]) -> DataFrame:
+    """One row for each of the keys, which are the caller's own list; what is missing in ``df`` is NULL there."""
+    named = df.sparkSession.createDataFrame(list(dict.fromkeys(keys)), ", ".join(f"{c} string" for c in columns))
+    return named.join(df, list(columns), "left")
+
+
 def ordered_distances(
     df: DataFrame,
     features: Sequence[str],
@@ -79,9 +85,10 @@ def ordered_distances(
         F.max("ref_total").cast("double").alias("ref_total"),
     )
     spread = F.greatest(F.sqrt(F.try_divide(F.col("squares"), F.col("ref_total"))), F.lit(0.001))
-    return sums.select(
+    found = sums.select(
         "feature", "wasserstein", (F.col("wasserstein") / spread).alias("wasserstein_norm"), "ks"
     )
+    return _all_named(found, [(c,) for c in features], ["feature"])
 
 
 def wasserstein(
@@ -196,12 +203,14 @@ def population_stability(
     reference). Shares below ``floor`` are raised to it.
     """
     cells = _bins(df, features, is_reference, bins, edges)
-    return _shares_by_cell(df, cells, [], is_reference).groupBy("feature").agg(_psi(floor).alias("psi"))
+    sums = _shares_by_cell(df, cells, [], is_reference).groupBy("feature").agg(_psi(floor).alias("psi"))
+    return _all_named(sums, [(c,) for c in features], ["feature"])
 
 
 def jensen_shannon(df: DataFrame, features: Sequence[str], is_reference: Column) -> DataFrame:
     """(feature, js): Jensen-Shannon distance of category shares, natural logarithm."""
-    return _shares_by_cell(df, {}, features, is_reference).groupBy("feature").agg(_js().alias("js"))
+    sums = _shares_by_cell(df, {}, features, is_reference).groupBy("feature").agg(_js().alias("js"))
+    return _all_named(sums, [(c,) for c in features], ["feature"])
 
 
 def chi_square(df: DataFrame, features: Sequence[str], is_reference: Column) -> DataFrame:
@@ -216,7 +225,7 @@ def chi_square(df: DataFrame, features: Sequence[str], is_reference: Column) ->
         expected = F.try_divide(F.col(total) * column, both)
         return F.try_divide((F.col(observed) - expected) * (F.col(observed) - expected), expected)
 
-    return (
+    sums = (
         _shares_by_cell(df, {}, features, is_reference)
         .groupBy("feature")
         .agg(
@@ -224,6 +233,7 @@ def chi_square(df: DataFrame, features: Sequence[str], is_reference: Column) ->
             (F.count(F.lit(1)) - 1).alias("degrees"),
         )
     )
+    return _all_named(sums, [(c,) for c in features], ["feature"])
 
 
 def drift_scores(
@@ -275,7 +285,8 @@ def drift_scores(
                 F.when(F.col("is_binned"), F.col("psi")).otherwise(F.col("js")).alias("drift_score"),
             )
         )
-    scores = reduce(DataFrame.unionByName, parts)
+    # a feature without any value is the one that a monitor must show
+    scores = _all_named(reduce(DataFrame.unionByName, parts), [(m.feature, m.statistic) for m in monitors], ["feature", "statistic"])
     threshold = F.lit(None).cast("double")
     for m in monitors:
         own = (F.col("feature") == m.feature) & (F.col("statistic") == m.statistic)
@@ -298,24 +309,28 @@ def _scores(wide: DataFrame, columns: Mapping[str, str], by_kind: Mapping[str, S
     return wide.select("feature", F.inline(F.array_compact(F.array(*entries))))
 
 
-def _step(score: Column, position: int, calm: str) -> Column:
+def _step(score: Column, position: int, calm: str, ladder: Sequence[tuple[float, str, str]]) -> Column:
     step = F.when(score.isNull(), F.lit(None).cast("string"))
-    for rung in LADDER:
+    for rung in sorted(ladder, key=lambda x: -x[0]):
         step = step.when(score >= rung[0], rung[position])
     return step.otherwise(calm)
 
 
-def severity(score: Column) -> Column:
-    """Severity of an unrounded distance; NULL for NULL."""
-    return _step(score, 1, CALM[0])
+def severity(score: Column, ladder: Sequence[tuple[float, str, str]] = LADDER, calm: str = CALM[0]) -> Column:
+    """Severity of an unrounded distance; NULL for NULL. ``ladder`` has (limit, severity, action)."""
+    return _step(score, 1, calm, ladder)
 
 
-def recommended_action(max_score: Column) -> Column:
+def recommended_action(
+    max_score: Column, ladder: Sequence[tuple[float, str, str]] = LADDER, calm: str = CALM[1]
+) -> Column:
     """Action for the largest unrounded distance; NULL for NULL."""
-    return _step(max_score, 2, CALM[1])
+    return _step(max_score, 2, calm, ladder)
 
 
-def dataset_drift(scores: DataFrame, share_limit: float = 0.5) -> DataFrame:
+def dataset_drift(
+    scores: DataFrame, share_limit: float = 0.5, ladder: Sequence[tuple[float, str, str]] = LADDER
+) -> DataFrame:
     """One row: monitored and drifted features, share, verdict, largest score, action.
 
     Features without a score are left out of the share.
@@ -331,7 +346,7 @@ def dataset_drift(scores: DataFrame, share_limit: float = 0.5) -> DataFrame:
         F.min_by("feature", F.when(F.col("drift_score").isNotNull(), F.struct(-F.col("drift_score"), F.col("feature")))).alias(
             "max_feature"
         ),
-        recommended_action(best).alias("recommended_action"),
+        recommended_action(best, ladder).alias("recommended_action"),
     )
 
 
@@ -340,6 +355,7 @@ def drift_log(
     detected_at: Column,
     constants: Mapping[str, str],
     share_limit: float = 0.5,
+    ladder: Sequence[tuple[float, str, str]] = LADDER,
 ) -> DataFrame:
     """Log rows: one per monitored feature, with the dataset's figures repeated.
 
@@ -356,9 +372,9 @@ def drift_log(
         "statistic",
         "drift_score",
         "drift_detected",
-        severity(F.col("drift_score")).alias("severity"),
+        severity(F.col("drift_score"), ladder).alias("severity"),
         best.alias("max_score"),
-        recommended_action(best).alias("recommended_action"),
+        recommended_action(best, ladder).alias("recommended_action"),
         (share >= F.lit(float(share_limit))).alias("dataset_drifted"),
         F.lit("new").alias("status"),
     )

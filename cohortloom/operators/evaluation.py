@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortloom.functions.numeric import ratio
+from cohortloom.functions.numeric import finite_or_null, ratio
 from cohortloom.operators.ordered import column_summary, range_count, running_counts
 
 
@@ -120,7 +120,8 @@ def run_record(
     """One run-log row: constants, every metric, status ``trained``, time.
 
     The confusion counts ride along with the ranking, so the metrics and the
-    area come from the same pass. Rows without a score take no part.
+    area come from the same pass. Rows without a score have no rank, but their
+    predictions count like all others.
     """
     actual, predicted = F.col(label), F.col(prediction)
     cells = {
@@ -132,6 +133,8 @@ def run_record(
     sums = _ranked(scored, label, score, cells, ranges, splits).agg(
         _area().alias("roc_auc"), *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in cells]
     )
+    unranked = scored.where(finite_or_null(score).isNull()).agg(F.struct(*[F.count_if(rule).alias(c) for c, rule in cells.items()])).scalar()
+    sums = sums.select("roc_auc", *[(F.col(c) + unranked[c]).alias(c) for c in cells])
     metrics = _metrics(*[F.col(c) for c in cells])
     return sums.select(
         *[F.lit(value).alias(name) for name, value in constants.items()],

@@ -32,9 +32,22 @@ def latest_run(runs: DataFrame, at: str, tie_break: str, **state: object) -> Dat
 def require_latest_run(runs: DataFrame, at: str, tie_break: str, **state: object) -> DataFrame:
     """``latest_run``, but an error when no run is in the state."""
     found = latest_run(runs, at, tie_break, **state)
-    if found.isEmpty():
+    row = found.collect()  # one at most; the runs are read once
+    if not row:
         raise NoRunFound(f"no run with {state}")
-    return found
+    return runs.sparkSession.createDataFrame(row, found.schema)
+
+
+class GateFailed(RuntimeError):
+    """A run is below a minimum."""
+
+
+def require_gate(runs: DataFrame, run_id: str, minimums: Mapping[str, float] | None = None) -> DataFrame:
+    """The runs, or an error that names the metrics of each run that fail: stops a flow."""
+    failed = threshold_gate(runs, run_id, minimums or MINIMUMS).where("NOT passed").collect()
+    if failed:
+        raise GateFailed("; ".join(f"{r[run_id]}: {r['metric']} {r['metric_value']} < {r['minimum']}" for r in failed))
+    return runs
 
 
 def meets(minimums: Mapping[str, float] = MINIMUMS) -> Column:

@@ -25,7 +25,6 @@ from pyspark.sql import functions as F
 
 from cohortloom.functions.numeric import finite_or_null
 
-MAX_RANGES = 16384
 # Several ranges per shuffle partition, so that hashing spreads them evenly.
 RANGES_PER_PARTITION = 4
 SKETCH_SLOTS = 128
@@ -49,11 +48,16 @@ def range_count(df: DataFrame, wanted: int | None = None) -> int:
     if wanted is None:
         width = df.sparkSession.conf.get("spark.sql.shuffle.partitions")
         wanted = RANGES_PER_PARTITION * (int(width) if width.isdigit() else 200)
-    return max(2, min(wanted, MAX_RANGES))
+    return max(2, wanted)
 
 
 def column_summary(
-    df: DataFrame, split: Sequence[str], bounded: Sequence[str] = (), ranges: int = 8
+    df: DataFrame,
+    split: Sequence[str],
+    bounded: Sequence[str] = (),
+    ranges: int = 8,
+    sketch_slots: int = SKETCH_SLOTS,
+    merged_sketch_size: int = MERGED_SKETCH_SIZE,
 ) -> dict[str, ColumnSummary]:
     """Bounds of all named columns, and ``ranges - 1`` limits of those in ``split``.
 
@@ -61,11 +65,11 @@ def column_summary(
     all map tasks. The driver gets columns x ranges numbers.
     """
     columns = list(dict.fromkeys([*split, *bounded]))
-    size = max(TASK_SKETCH_SIZE, min(8 * ranges, MERGED_SKETCH_SIZE))
+    size = max(TASK_SKETCH_SIZE, min(8 * ranges, merged_sketch_size))
     ranks = F.expr("array(" + ", ".join(f"{i / ranges!r}D" for i in range(1, ranges)) + ")")
     names = {c: f"v{i}" for i, c in enumerate(columns)}
     wide = df.select(*[finite_or_null(c).alias(v) for c, v in names.items()])
-    partial = wide.groupBy((F.spark_partition_id() % SKETCH_SLOTS).alias("slot")).agg(
+    partial = wide.groupBy((F.spark_partition_id() % sketch_slots).alias("slot")).agg(
         *[F.min(v).alias(f"{v}_low") for v in names.values()],
         *[F.max(v).alias(f"{v}_high") for v in names.values()],
         *[F.kll_sketch_agg_double(names[c], F.lit(TASK_SKETCH_SIZE)).alias(f"{names[c]}_sketch") for c in split],
@@ -159,8 +163,8 @@ def running_counts(
         *names,
         *[F.sum(w).over(earlier).alias(f"{w}_inside") for w in names],
     )
-    # offsets: at most len(features) x (ranges + 1) rows, both set by the caller
-    return local.join(F.broadcast(offsets), "slot").select(
+    # offsets: at most len(features) x (ranges + 1) rows; Spark broadcasts them if they are small
+    return local.join(offsets, "slot").select(
         "feature",
         "value",
         F.coalesce("previous_inside", "previous_last").alias("previous_value"),

@@ -8,6 +8,7 @@ from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, DoubleType, FloatType, MapType, StructType
 
 from cohortloom.operators.columns import in_ranges
 
@@ -30,14 +31,35 @@ def null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
     return rows.withColumnRenamed("item", "column_name")
 
 
-def _distinct_rows(df: DataFrame, columns: Sequence[str] | None) -> DataFrame:
-    """Each different row once, with the number of its copies."""
-    return df.groupBy(*(columns or df.columns)).agg(F.count(F.lit(1)).alias("__copies"))
+def row_digest(df: DataFrame, columns: Sequence[str] | None = None) -> Column:
+    """SHA-256 of a row's values, each with its length, so that different rows never share one text."""
+    parts = []
+    for name in columns or df.columns:
+        kind = df.schema[name].dataType
+        if isinstance(kind, (DoubleType, FloatType)):
+            text = (F.col(name) + F.lit(0.0)).cast("string")  # grouping holds -0.0 and 0.0 to be equal
+        elif isinstance(kind, BinaryType):
+            text = F.hex(name)
+        elif isinstance(kind, (ArrayType, MapType, StructType)):
+            text = F.to_json(F.struct(F.col(name)))
+        else:
+            text = F.col(name).cast("string")
+        parts.append(F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-")))
+    return F.sha2(F.concat(*parts), 256)
 
 
-def duplicate_count(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Rows beyond the first of their kind. Copies are counted before the shuffle."""
-    return _distinct_rows(df, columns).agg(
+def _distinct_rows(df: DataFrame, columns: Sequence[str] | None, digest: bool = False) -> DataFrame:
+    """Each different row once, or its digest, with the number of its copies."""
+    keys = [F.unhex(row_digest(df, columns)).alias("digest")] if digest else list(columns or df.columns)
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__copies"))
+
+
+def duplicate_count(df: DataFrame, columns: Sequence[str] | None = None, digest: bool = False) -> DataFrame:
+    """Rows beyond the first of their kind. Copies are counted before the shuffle.
+
+    ``digest`` shuffles 32 bytes instead of each different row: for wide rows and long texts.
+    """
+    return _distinct_rows(df, columns, digest).agg(
         F.coalesce(F.sum(F.col("__copies") - 1), F.lit(0)).alias("duplicates")
     )
 

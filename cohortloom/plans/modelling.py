@@ -12,7 +12,6 @@ from cohortloom.operators.classifier import (
     BoostingSettings,
     score_model,
     train_boosted_trees,
-    training_partitions,
     training_set,
 )
 from cohortloom.operators.evaluation import balanced_weight, run_record
@@ -26,12 +25,13 @@ def train_and_score(
     split: str,
     settings: BoostingSettings = BoostingSettings(),
     passthrough: Sequence[str] = (),
+    partitions: int | None = None,
 ) -> tuple[PipelineModel, DataFrame]:
     """Fit on the train rows with balanced weights; score the others."""
     train = training_set(df, features, label, split=split)
     weighted = balanced_weight(train, label)
     model = train_boosted_trees(
-        weighted, features, label, "sample_weight", settings, training_partitions(train)
+        weighted, features, label, "sample_weight", settings, partitions
     )
     held_out = df.where(F.col(split) != "train")
     return model, score_model(model, held_out, features, label, passthrough, raw="probability")

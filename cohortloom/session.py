@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
-_LOCAL_FOLDERS: dict[str, str] = {}
+def local_session(
+    cores: int | str = "*", shuffle_partitions: int = 8, folder: str = "/tmp/cohortloom-checkpoints"
+) -> SparkSession:
+    """A single-JVM session for tests and the bench; a cluster brings its own.
 
-
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
-    """A single-JVM session for tests and the bench; a cluster brings its own."""
+    ``folder`` is where written tables go if the session has no ``spark.checkpoint.dir``.
+    """
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("cohortloom")
@@ -23,24 +24,17 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    if not spark.conf.get("spark.checkpoint.dir", None):
+        spark.conf.set("spark.checkpoint.dir", folder)
     return spark
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``, which every executor can reach.
-
-    Where the setting is absent a temporary folder is made, but only for a
-    single-machine session: on a cluster a local path would lose data.
-    """
+    """The folder named by ``spark.checkpoint.dir``, which every executor must be able to reach."""
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not named:
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    application = spark.sparkContext.applicationId
-    if application not in _LOCAL_FOLDERS:
-        _LOCAL_FOLDERS[application] = tempfile.mkdtemp(prefix="cohortloom-")
-    return _LOCAL_FOLDERS[application]
+    return named.rstrip("/")
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:

@@ -67,8 +67,7 @@ def test_bucketize_has_its_own_label_for_missing(spark):
 def test_encode_default_for_unknown_and_null(spark):
     got = column(spark, [" a ", "B", "z", None], encode(normalise_text("x"), {"A": 0, "B": 1}, 7), "string")
     assert got == [0, 1, 7, 7]
-    with pytest.raises(ValueError):
-        encode("x", {str(i): i for i in range(500)}, 0)
+    assert column(spark, ["499", "x"], encode("x", {str(i): i for i in range(500)}, -1), "string") == [499, -1]
 
 
 def test_encode_by_table_keeps_every_row_once(spark):

@@ -143,6 +143,27 @@ def test_positional_split_of_missing_values(spark):
     assert {r.k: r.data_split for r in split_by_position(df, "k", 0.5, ranges=2).collect()} == {1.0: "train", 2.0: "validation", None: None}
 
 
+def test_positional_split_of_keys_that_share_a_double(spark):
+    df = spark.range(100).select((F.col("id") + F.lit(2**60)).alias("k"))
+    got = {r.k - 2**60: r.data_split for r in split_by_position(df, "k", 0.8).collect()}
+    assert got == {i: "train" if i < 80 else "validation" for i in range(100)}
+    assert {r.data_split for r in split_by_position(df, "k", 0.0).collect()} == {"validation"}
+    assert {r.data_split for r in split_by_position(df, "k", 1.0).collect()} == {"train"}
+
+
+def test_positional_split_leaves_out_what_is_not_finite(spark):
+    df = spark.createDataFrame([(1.0,), (2.0,), (NAN,), (INF,), (-INF,)], "k double")
+    got = sorted((str(r.k), r.data_split) for r in split_by_position(df, "k", 0.5, ranges=2).collect())
+    assert got == [("-inf", None), ("1.0", "train"), ("2.0", "validation"), ("inf", None), ("nan", None)]
+
+
+def test_features_without_values_have_rows(spark):
+    df = spark.createDataFrame([(True, 1.0, None, None), (False, 2.0, None, None)], "r boolean, a double, b double, c string")
+    monitors = [Monitor("a", "ks"), Monitor("b", "wasserstein"), Monitor("b", "psi"), Monitor("c", "js")]
+    got = {(r.feature, r.statistic): r.drift_score for r in drift_scores(df, F.col("r"), monitors).collect()}
+    assert got == {("a", "ks"): 1.0, ("b", "wasserstein"): None, ("b", "psi"): None, ("c", "js"): None}
+
+
 def test_split_points_are_increasing_and_balanced(spark):
     df = spark.range(10000).select(F.col("id").cast("double").alias("a"), F.lit(1.0).alias("b"), F.lit(None).cast("double").alias("c"))
     found = column_summary(df, ["a", "b", "c"], ["a"], 10)

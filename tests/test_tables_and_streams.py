@@ -1,17 +1,20 @@
 import datetime as dt
-import tempfile
 import uuid
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from cohortloom.operators.shift import Shift, shift_cohort
 from cohortloom.session import fresh_path, shared_folder
 from cohortloom.sources.sinks import (
     KeyViolation,
+    SchemaClash,
     append_conformed,
     append_evolving,
+    feature_table_verify,
     key_violations,
+    partitioning,
     write_csv,
     write_feature_table,
     write_named,
@@ -54,18 +57,13 @@ def test_named_tables(spark):
     spark.sql(f"DROP TABLE {name}")
 
 
-def test_local_folder_is_only_for_single_machines():
+def test_a_session_without_a_shared_folder_is_refused():
     class Session:
         class conf:
             get = staticmethod(lambda key, default=None: default)
 
-        def __init__(self, master):
-            self.sparkContext = type("Context", (), {"master": master, "applicationId": "app-1"})
-
-    first = shared_folder(Session("local[2]"))
-    assert first == shared_folder(Session("local[2]")) and first.startswith(tempfile.gettempdir())
     with pytest.raises(ValueError):
-        shared_folder(Session("yarn"))
+        shared_folder(Session())
 
 
 def test_appends_evolve_and_conform(spark):
@@ -75,11 +73,81 @@ def test_appends_evolve_and_conform(spark):
     assert {r.id: r.extra for r in evolved.collect()} == {1: None, 2: 0.5}
     other = fresh_path(spark, "log")
     write_table(spark.createDataFrame([(1, "a")], "id int, v string"), other)
-    fixed = append_conformed(spark.createDataFrame([(9, "7")], "unknown int, id string"), other)
+    with pytest.raises(SchemaClash):
+        append_conformed(spark.createDataFrame([(9, "7")], "unknown int, id string"), other)
+    fixed = append_conformed(spark.createDataFrame([(9, "7")], "unknown int, id string"), other, strict=False)
     assert fixed.schema.simpleString() == "struct<id:int,v:string>"
     assert sorted((r.id, r.v or "") for r in fixed.collect()) == [(1, "a"), (7, "")]
 
 
+def test_appends_follow_the_targets_partitions(spark):
+    path = fresh_path(spark, "by-key")
+    table = write_table(spark.createDataFrame([(1, "01")], "v int, k string"), path, partition_by=["k"])
+    assert partitioning(table, path) == ["k"]
+    assert sorted((r.v, r.k) for r in append_conformed(spark.createDataFrame([("2", "1")], "v string, k string"), path, schema=table.schema).collect()) == [(1, "01"), (2, "1")]
+    both = append_evolving(spark.createDataFrame([(3, "02", 0.5)], "v int, k string, extra double"), path, schema=table.schema)
+    assert sorted((r.v, r.k, r.extra) for r in both.collect())[0] == (1, "01", None)
+    assert both.count() == 3
+    with pytest.raises(SchemaClash):
+        append_evolving(spark.createDataFrame([(4, "03")], "v int, k string"), path, partition_by=["v"], schema=table.schema)
+
+
+def test_partition_values_keep_their_type(spark):
+    rows = spark.createDataFrame([(1, "01"), (2, "1"), (3, "02"), (4, None)], "v int, k string")
+    table = write_table(rows, fresh_path(spark, "typed"), partition_by=["k"])
+    assert table.schema["k"].dataType.simpleString() == "string" and table.columns == ["v", "k"]
+    assert sorted(table.collect()) == sorted(rows.collect())
+
+
+def test_an_empty_partitioned_write_reads_back_empty(spark):
+    table = write_table(spark.createDataFrame([], "v int, k string"), fresh_path(spark, "empty"), partition_by=["k"])
+    assert table.count() == 0 and table.columns == ["v", "k"]
+
+
+def test_a_type_clash_is_found_before_anything_is_written(spark):
+    path = fresh_path(spark, "clash")
+    write_table(spark.createDataFrame([(1, 1.5)], "a int, b double"), path)
+    with pytest.raises(SchemaClash):
+        append_evolving(spark.createDataFrame([(2.5, 1.0)], "a double, b double"), path)
+    widened = append_evolving(spark.createDataFrame([(2, 7)], "a int, b int"), path)
+    assert sorted(tuple(r) for r in widened.collect()) == [(1, 1.5), (2, 7.0)]
+
+
+def test_a_misfit_value_stops_the_append(spark):
+    path = fresh_path(spark, "misfit")
+    write_table(spark.createDataFrame([(1,)], "a int"), path)
+    for bad in ("3000000000", "x"):
+        with pytest.raises(Exception, match="does not hold"):
+            append_conformed(spark.createDataFrame([(bad,)], "a string"), path)
+    assert read_table(spark, path).count() == 1
+
+
+def test_csv_keeps_texts(spark):
+    rows = [(" a ",), ("b\nc",), (None,), ("",), ('say "x"\\',), (",;\t",)]
+    df = spark.createDataFrame(rows, "t string")
+    assert sorted(map(str, write_csv(df, fresh_path(spark, "csv")).collect())) == sorted(map(str, df.collect()))
+
+
+def test_verified_append_counts_its_own_rows(spark):
+    path = fresh_path(spark, "verified")
+    write_table(spark.range(3), path)
+    assert tuple(write_verified(spark.range(2), path, mode="append").first()) == (2, 2, True)
+    assert tuple(write_verified(spark.range(2), fresh_path(spark, "verified"), mode="append").first()) == (2, 2, True)
+
+
+def test_a_null_key_is_not_unique(spark):
+    row = feature_table_verify(spark.createDataFrame([(None, 1.0), (2, 1.0)], "k int, f double"), ["k"]).first()
+    assert (row.row_count, row.distinct_keys, row.key_is_unique) == (2, 1, False)
+
+
+def test_a_bad_feature_table_is_not_published(spark):
+    path = fresh_path(spark, "features")
+    with pytest.raises(KeyViolation):
+        write_feature_table(spark.createDataFrame([("a", 1.0), ("a", 2.0)], "k string, f double"), ["k"], ["f"], path)
+    with pytest.raises(AnalysisException):
+        read_table(spark, path)
+
+
 def test_verified_write_counts_once(spark):
     row = write_verified(spark.range(1234), fresh_path(spark, "verified")).first()
     assert tuple(row) == (1234, 1234, True)

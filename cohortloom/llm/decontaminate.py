@@ -15,10 +15,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortloom.llm.text import LOWER, mixed, own, span_hashes, utf8, word_list, word_spans
+from cohortloom.llm.text import mixed, own, span_hashes, utf8, word_list, word_spans
 
 #: Words of half a passage; passages overlap by half, so that any run of so many words is in one.
 STEP = 64
@@ -39,13 +40,16 @@ class Rules:
     most_items: int = 20_000
 
 
+def _folded(texts: pa.Array) -> pa.Array:
+    """Lower case in any alphabet: a leak in capitals is a leak."""
+    return pc.utf8_lower(texts.cast(pa.large_string()).fill_null(""))
+
+
 class Index:
     """Impacts of words on items, by block, with their upper bounds."""
 
     def __init__(self, items: list[tuple[str, str]], holders: dict[str, int], total: int, mean: float, rules: Rules):
-        texts = pa.array([t for _, t in items], pa.string())
-        data, offsets = utf8(texts)
-        data = LOWER[data]
+        data, offsets = utf8(_folded(pa.array([t for _, t in items], pa.string())))
         starts, ends, count = word_spans(data, offsets)
         hashes = span_hashes(data, starts, ends)
         names = [bytes(data[a:b]).decode("utf-8", "replace") for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
@@ -96,8 +100,7 @@ def _grams(words: np.ndarray) -> np.ndarray:
 
 def _hits(index: Index, texts: pa.Array, rules: Rules) -> list[list[dict]]:
     """Verified hits of each text."""
-    data, offsets = utf8(texts)
-    data = LOWER[data]
+    data, offsets = utf8(_folded(texts))
     starts, ends, count = word_spans(data, offsets)
     hashes = span_hashes(data, starts, ends)
     first = np.cumsum(count) - count
@@ -157,7 +160,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, rules: Rules = Rules(), te
     spark = docs.sparkSession
     items = benchmark.select(F.col(item_id).cast("string").alias("id"), F.col(item_text).alias("text")).where(F.size(word_list(F.col("text"))) >= rules.least_words)
     items = items.groupBy("id", "text").agg(F.count("*").alias("copies"))
-    words = items.select("id", "text", F.explode(word_list(F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))).alias("word"))
+    words = items.select("id", "text", F.explode(word_list(F.lower("text"))).alias("word"))
     holders = words.distinct().groupBy("word").agg(F.count("*").alias("n"))
     total, length = items.count(), words.count()
     key, plain = own("row"), own("text")

@@ -36,7 +36,7 @@ def planted(spark):
     def noise(n):
         return " ".join(rng.choice(vocabulary) for _ in range(n))
 
-    items = [(i, " ".join(f"i{i}x{k}" if k % 2 else rng.choice(vocabulary) for k in range(size))) for i, size in enumerate([8, 20, 64, 65, 200, 500])]
+    items = [(i, " ".join(f"é{i}x{k}" if k % 2 else rng.choice(vocabulary) for k in range(size))) for i, size in enumerate([8, 20, 64, 65, 200, 500])]
     texts = [noise(n) + " " + text.upper() + " " + noise(n) for _, text in items for n in (0, 63, 500)]
     texts += [noise(1000) for _ in range(6)] + [items[2][1][: len(items[2][1]) // 3]]
     return spark.createDataFrame(items, "item_id int, text string"), spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")

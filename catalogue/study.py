@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from catalogue.registry import moment, num, query, rounded, sql_round
@@ -9,7 +11,7 @@ from cohortloom.functions.keys import split_by_mod, surrogate_key
 from cohortloom.functions.numeric import round_floor
 from cohortloom.operators.drift import drift_report
 from cohortloom.operators.quality import range_profile
-from cohortloom.operators.shift import shift_cohort
+from cohortloom.operators.shift import DiscreteShift, shift_cohort
 from cohortloom.plans import compound_study as study
 from cohortloom.plans.medallion import clean_table, gold_features
 from cohortloom.plans.monitoring import monitor_versions
@@ -194,6 +196,34 @@ def study_shift(spark, folder):
     )
 
 
+DISCRETE_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+COIN_SQL = f"('0x' || md5(concat_ws('|', {', '.join(DISCRETE_KEY)}, 'shift'))[1:13])::BIGINT / {num(float(2**52))}"
+AGE = study.shifts()["patient_age"]
+
+
+@query(
+    "study_shift_discrete",
+    f"""
+    WITH {RAW_SQL}
+    SELECT {', '.join(DISCRETE_KEY)}, is_drift,
+           CASE WHEN is_drift THEN greatest(least(floor(CAST(patient_age AS DOUBLE) * {num(AGE.scale)} + {num(AGE.offset)} + {num(0.5)}),
+                {num(float(AGE.high))}), {num(float(AGE.low))}) ELSE CAST(patient_age AS DOUBLE) END AS patient_age,
+           CAST(CASE WHEN NOT is_drift THEN ecog_performance_score WHEN {COIN_SQL} < {num(0.2)} THEN 0
+                WHEN {COIN_SQL} < {num(0.2 + 0.35)} THEN 1 WHEN {COIN_SQL} < {num(0.2 + 0.35 + 0.3)} THEN 2 ELSE 3 END AS BIGINT) AS ecog_performance_score
+    FROM base
+    """,
+)
+def study_shift_discrete(spark, folder):
+    shifts = {
+        "patient_age": replace(AGE, whole=True),
+        "ecog_performance_score": DiscreteShift({0: 0.20, 1: 0.35, 2: 0.30, 3: 0.15}, DISCRETE_KEY),
+    }
+    moved = shift_cohort(raw_rows(spark, folder), shifts, F.col("is_drift"))
+    return moved.select(
+        *DISCRETE_KEY, "is_drift", "patient_age", F.col("ecog_performance_score").cast("long").alias("ecog_performance_score")
+    )
+
+
 NUMBERS = [c for c in study.MONITORED if c != "ecog_performance_score"]
 LONG_SQL = " UNION ALL ".join(
     f"SELECT '{c}' AS feature, CAST({c} AS DOUBLE) AS value, NOT is_drift AS is_ref FROM moved" for c in NUMBERS

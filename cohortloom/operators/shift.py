@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -13,23 +13,48 @@ from cohortloom.functions.numeric import clip
 
 @dataclass(frozen=True)
 class Shift:
-    """``value * scale + offset``, then limited to ``[low, high]`` where given."""
+    """``value * scale + offset``, rounded for ``whole`` numbers, then limited to ``[low, high]`` where given."""
 
     scale: float = 1.0
     offset: float = 0.0
     low: float | None = None
     high: float | None = None
+    whole: bool = False
 
     def apply(self, value: Column) -> Column:
         moved = value.cast("double") * F.lit(float(self.scale)) + F.lit(float(self.offset))
+        if self.whole:
+            moved = F.floor(moved + F.lit(0.5)).cast("double")
         low = float("-inf") if self.low is None else self.low
         high = float("inf") if self.high is None else self.high
         return moved if self.low is None and self.high is None else clip(moved, low, high)
 
 
+@dataclass(frozen=True)
+class DiscreteShift:
+    """A new value drawn with the given shares, by a digest of the row's key: the same in every run.
+
+    A missing value stays missing.
+    """
+
+    shares: Mapping[int, float]
+    key: Sequence[str]
+    seed: str = "shift"
+
+    def apply(self, value: Column) -> Column:
+        digest = F.md5(F.concat_ws("|", *[F.col(c).cast("string") for c in self.key], F.lit(self.seed)))
+        coin = F.conv(F.substring(digest, 1, 13), 16, 10).cast("long") / F.lit(float(2**52))
+        drawn, reached = F.when(value.isNull(), F.lit(None)), 0.0
+        values = list(self.shares)
+        for name in values[:-1]:
+            reached += self.shares[name]
+            drawn = drawn.when(coin < F.lit(reached), F.lit(name))
+        return drawn.otherwise(F.lit(values[-1]))
+
+
 def shift_cohort(
     df: DataFrame,
-    shifts: Mapping[str, Shift],
+    shifts: Mapping[str, Shift | DiscreteShift],
     where: Column | None = None,
     version: str | None = None,
     version_column: str = "data_version",
@@ -42,7 +67,10 @@ def shift_cohort(
     chosen = F.lit(True) if where is None else F.coalesce(where, F.lit(False))
     columns = []
     for name in df.columns:
-        if name in shifts:
+        if isinstance(shifts.get(name), DiscreteShift):
+            kind = df.schema[name].dataType
+            columns.append(F.when(chosen, shifts[name].apply(F.col(name)).cast(kind)).otherwise(F.col(name)).alias(name))
+        elif name in shifts:
             moved = F.when(chosen, shifts[name].apply(F.col(name))).otherwise(F.col(name).cast("double"))
             columns.append(moved.alias(name))
         elif name == version_column and version is not None:

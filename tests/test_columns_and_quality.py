@@ -98,3 +98,9 @@ def test_clean_report_adds_up_and_agrees_with_cleaning(spark):
     # duplicates are judged before the text is normalised
     assert sorted((r.x, r.c) for r in cleaned.collect()) == [(1, "A"), (1, "A"), (2, "C")]
     assert cleaned.dtypes == [("x", "int"), ("y", "double"), ("c", "string"), ("version", "string")]
+
+
+def test_a_row_digest_tells_rows_apart_like_grouping(spark):
+    rows = [("a|b", "c", 0.0), ("a", "b|c", 0.0), ("a", "b|c", -0.0), (None, "", 1.0), ("", None, 1.0), ("-", None, 1.0), ("1:a", None, float("nan")), ("1:a", None, float("nan"))]
+    df = spark.createDataFrame(rows, "x string, y string, z double")
+    assert duplicate_count(df, digest=True).first()[0] == duplicate_count(df).first()[0] == 2

@@ -2,10 +2,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from cohortloom.operators.lifecycle import (
+    GateFailed,
     NoRunFound,
     alias_resolution,
     gate_events,
     notification_record,
+    require_gate,
     require_latest_run,
     status_current,
     threshold_gate,
@@ -93,3 +95,10 @@ def test_label_counts_and_accuracy_drop(spark):
 def test_top_rows_breaks_ties_by_name(spark):
     df = spark.createDataFrame([("b", 1.0), ("a", 1.0), ("c", 2.0)], "f string, v double")
     assert [r.f for r in top_rows(df, "v", "f", 2).collect()] == ["c", "a"]
+
+
+def test_a_failed_gate_stops_the_flow(spark):
+    runs = spark.createDataFrame([("a", 0.9, 0.9), ("b", 0.9, None)], "run_id string, precision double, roc_auc double")
+    assert require_gate(runs.where("run_id = 'a'"), "run_id", {"precision": 0.5, "roc_auc": 0.5}).count() == 1
+    with pytest.raises(GateFailed, match="b: roc_auc"):
+        require_gate(runs, "run_id", {"precision": 0.5, "roc_auc": 0.5})

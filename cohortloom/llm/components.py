@@ -20,12 +20,12 @@ def components(links: DataFrame) -> DataFrame:
     their number grows with the logarithm of the longest chain. Each round is written to the shared
     folder, so that lost executors cost one round. Loops and repeated links do no harm; no link, no row.
     """
-    edges = stored(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "links")
+    edges = stored(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v"), "links")
     seen = None
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = both.join(_least(both), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.where("u <> v").distinct()
+        # repeated links do no harm here: the second step leaves one of each
+        large = both.join(_least(both), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
         least = _least(large)
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
         edges = stored(small.where("u <> v").distinct(), "links")

@@ -27,6 +27,8 @@ PERCENT = 75
 COMMON = 11
 #: The union's sketch must hold so many common values of k = 32, which fails as rarely.
 ESTIMATE = 11
+#: A list of more members than this is replaced by the lists of its members' whole sets.
+LONG_LIST = 64
 #: Most ids that are broadcast to pick the texts of candidates; beyond, ids and texts meet in a shuffle.
 BROADCAST_IDS = 500_000
 
@@ -100,17 +102,26 @@ def _needed(n: Column) -> Column:
 
 
 def listings(sketched: DataFrame) -> DataFrame:
-    """``value, id``: the inverted lists in which every similar pair meets.
+    """``value, id, weight``: the inverted lists in which every similar pair meets.
 
     With at least c common values, a pair still meets when each document leaves out its c - 1 most
     frequent ones. So values of frequent passages stand at the end of each sketch and are left out,
-    and values that one document alone holds need no list. No list is cut.
+    and values that one document alone holds need no list. No list is cut. ``weight`` is the share of
+    the document's values that others hold, too.
     """
-    held = sketched.select("id", "n", F.explode("sketch").alias("value"))
+    held = sketched.select("id", F.size("sketch").alias("n"), _needed(F.col("n")).alias("needed"), F.explode("sketch").alias("value"))
+    return _rarest(held)
+
+
+def _rarest(held: DataFrame) -> DataFrame:
+    """Of each id's n values, all but the ``needed`` - 1 that the most ids hold, and those that no other holds."""
     often = held.groupBy("value").agg(F.count("*").alias("often")).where("often > 1")
-    shared = held.join(often, "value")
-    from_most = Window.partitionBy("id").orderBy(F.col("often").desc(), F.col("value").desc())
-    return shared.withColumn("place", F.row_number().over(from_most)).where(F.col("place") >= _needed(F.col("n"))).select("value", "id")
+    own_values = Window.partitionBy("id")
+    from_most = own_values.orderBy(F.col("often").desc(), F.col("value").desc())
+    placed = held.join(often, "value").select(
+        "value", "id", "needed", F.row_number().over(from_most).alias("place"), (F.count("*").over(own_values) / F.col("n")).alias("weight")
+    )
+    return placed.where("place >= needed").select("value", "id", "weight")
 
 
 def _estimated(pairs: DataFrame, sketched: DataFrame) -> DataFrame:
@@ -133,34 +144,68 @@ def _estimated(pairs: DataFrame, sketched: DataFrame) -> DataFrame:
 def _confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs ``a, b`` whose full sets are similar: ``docs`` has ``id, text``."""
     ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-    few = ids.count() <= BROADCAST_IDS
-    sets = stored(full_sets(docs.join(F.broadcast(ids) if few else ids, "id", "left_semi")).dropDuplicates(["id"]), "shingle-sets")
+    sets = stored(full_sets(_texts_of(ids, docs)).dropDuplicates(["id"]), "shingle-sets")
     met = pairs.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("x")), "a")
     met = met.join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("y")), "b")
     shared = F.size(F.array_intersect("x", "y"))
     return met.where(shared * 100 >= (F.size("x") + F.size("y") - shared) * PERCENT).select("a", "b")
 
 
+def _texts_of(ids: DataFrame, docs: DataFrame) -> DataFrame:
+    """The rows ``id, text`` of these ids, picked in the scan where the ids are few."""
+    few = ids.count() <= BROADCAST_IDS
+    return docs.join(F.broadcast(ids) if few else ids, "id", "left_semi")
+
+
+def all_listings(sketched: DataFrame, docs: DataFrame) -> DataFrame:
+    """``value, id, weight``: the lists of ``listings``, with the long ones replaced by lists over whole sets.
+
+    A sketch is a sample, so it can leave out frequent values only up to a third of it, and documents
+    that share a frequent passage can still meet in long lists. What similar documents share is three
+    quarters of the larger set at least; so the members of long lists are listed again by all but the
+    ceil(0.75 n) - 1 most frequent hashes of their whole sets, which is exact, and a passage's hashes
+    are left out unless it makes up that share of the document. Every similar pair of a long list meets there.
+    """
+    lists = stored(listings(sketched), "sketch-lists")
+    long = lists.groupBy("value").agg(F.count("*").alias("size")).where(F.col("size") > LONG_LIST).select("value")
+    ids = stored(lists.join(long, "value", "left_semi").select("id").distinct(), "long-list-ids")
+    sets = stored(full_sets(_texts_of(ids, docs)).dropDuplicates(["id"]), "long-list-sets")
+    size = F.size("shingles")
+    exact = _rarest(sets.select("id", size.alias("n"), F.ceil(size * PERCENT / 100.0).cast("int").alias("needed"), F.explode("shingles").alias("value")))
+    return stored(lists.join(long, "value", "left_anti").unionByName(exact), "lists")
+
+
+def _stars(lists: DataFrame) -> DataFrame:
+    """Pairs ``a, b``: every member of a list with its hub, the member with the least that it holds alone.
+
+    In a group of copies with edits that is the text they were edited from, or the one nearest to it.
+    """
+    hubs = lists.groupBy("value").agg(F.max(F.struct("weight", (-F.col("id")).alias("id"))).alias("hub"))
+    paired = lists.join(hubs.select("value", (-F.col("hub.id")).alias("hub")), "value").where("hub <> id")
+    return paired.select(F.least("hub", "id").alias("a"), F.greatest("hub", "id").alias("b")).distinct()
+
+
 def similar_links(sketched: DataFrame, docs: DataFrame) -> DataFrame:
     """Links ``a, b`` that connect what is similar, as all similar pairs would.
 
-    First every list compares its members with its smallest id only. Members that this connects need
-    no further comparison with each other, so only pairs of a list that are in different components
-    are compared in the second step: all of them.
+    First every list compares its members with its hub only. Members that this connects need no
+    further comparison with each other, so only pairs of a list that are in different components
+    are compared in the second step: all of them whose sizes and sketches allow it.
     """
-    lists = stored(listings(sketched), "sketch-lists")
-    hubs = lists.groupBy("value").agg(F.min("id").alias("a"))
-    first = lists.join(hubs, "value").where("a < id").select("a", F.col("id").alias("b")).distinct()
-    tried = stored(_estimated(first, sketched), "pairs")
+    lists = all_listings(sketched, docs)
+    tried = stored(_estimated(_stars(lists), sketched), "pairs")
     links = stored(_confirmed(tried, docs), "near-links")
-    joined = components(links)
-    placed = lists.join(joined.withColumnRenamed("node", "id"), "id", "left").select("value", "id", F.coalesce("component", "id").alias("c"))
+    placed = lists.join(components(links).withColumnRenamed("node", "id"), "id", "left").select("value", "id", F.coalesce("component", "id").alias("c"))
     placed = stored(placed, "placed-lists")
     mixed_lists = placed.groupBy("value").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("value")
     open_lists = placed.join(mixed_lists, "value", "left_semi")
-    left, right = open_lists.toDF("value", "a", "c_a"), open_lists.toDF("value", "b", "c_b")
-    cross = left.join(right, "value").where("c_a < c_b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    rest = stored(_estimated(cross.join(tried, ["a", "b"], "left_anti"), sketched), "pairs")
+    full = open_lists.join(sketched.select("id", "n", "sketch"), "id")
+    left, right = (full.select("value", *[F.col(c).alias(f"{c}_{side}") for c in ("id", "c", "n", "sketch")]) for side in "ab")
+    fits = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * PERCENT
+    near = F.size(F.array_intersect("sketch_a", "sketch_b")) >= F.greatest(_needed(F.col("n_a")), _needed(F.col("n_b")))
+    cross = left.join(right, (left["value"] == right["value"]) & (F.col("c_a") < F.col("c_b")) & fits & near)
+    pairs = cross.select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b")).distinct()
+    rest = stored(_estimated(pairs.join(tried, ["a", "b"], "left_anti"), sketched), "pairs")
     return links.unionByName(_confirmed(rest, docs))
 
 

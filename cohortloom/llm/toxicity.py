@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 
 from cohortloom.llm.text import LOWER, SPACE, mixed, own, utf8
 
+#: Partitions of the training sample.
+TRAINING_PARTITIONS = 8
 _MULTIPLIER = np.uint64(0x100000001B3)
 
 
@@ -115,6 +117,7 @@ def fit_toxicity(
 
         weight = F.when(F.col("label") == 1, 1.0 / max(1, [r["count"] for r in found if r["label"] == 1][0])).otherwise(1.0 / max(1, [r["count"] for r in found if r["label"] == 0][0]))
         training = vectors.select("label", scaled("features").alias("features"), (weight * sum(r["count"] for r in found) / 2).alias("weight"))
+        training = training.coalesce(TRAINING_PARTITIONS)  # the rows are a bounded sample, and each partition returns a whole gradient
         learner = LogisticRegression(maxIter=rounds, regParam=penalty, elasticNetParam=1.0, standardization=False, weightCol="weight", aggregationDepth=2)
         fitted = learner.fit(training)
     finally:

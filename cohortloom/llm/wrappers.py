@@ -3,7 +3,7 @@
 A page is a stream of tags and text slots. Runs of equal groups are folded into repeated groups, and
 the streams of a host are aligned one after another: what agrees stays, text that differs becomes a
 slot, what one side lacks becomes optional. The result is a union-free regular expression of tags,
-slots, ``(...)+`` and ``(...)?``. A slot that carries the same text on a host's pages is template; the
+slots, ``(...)+`` and ``(...)?``. A slot that carries the same text under a host's different contents is template; the
 article is the text that is left inside the page's main region, without boilerplate elements.
 """
 
@@ -166,32 +166,33 @@ def folded(symbols: tuple[str, ...]) -> tuple[tuple[str, ...], tuple[int, ...]]:
 
 
 class Wrapper:
-    """A union-free expression: symbols with the pages that have them and, for a slot, the text that all share."""
+    """A union-free expression: symbols with the pages that have them, for a slot the text that all share, and the different contents."""
 
-    def __init__(self, items: list[list] | None = None, pages: int = 0):
-        self.items, self.pages = items or [], pages
+    def __init__(self, items: list[list] | None = None, pages: int = 0, contents: int | None = None):
+        self.items, self.pages = [[*x, x[1]] if len(x) == 3 else x for x in items or []], pages
+        self.contents = pages if contents is None else contents
 
     def align(self, other: Wrapper) -> Wrapper:
         """The expression of both sides' pages."""
         if not self.items or not other.items:
-            return Wrapper(self.items or other.items, self.pages + other.pages)
+            return Wrapper(self.items or other.items, self.pages + other.pages, self.contents + other.contents)
         mine, theirs = _squared(self.items, other.items), _squared(other.items, self.items)
         out = []
         for kind, a, b, c, d in SequenceMatcher(None, [x[0] for x in mine], [x[0] for x in theirs], autojunk=False).get_opcodes():
             if kind == "equal":
                 for x, y in zip(mine[a:b], theirs[c:d], strict=True):
-                    out.append([x[0], x[1] + y[1], x[2] if x[2] == y[2] else None])
+                    out.append([x[0], x[1] + y[1], x[2] if x[2] == y[2] else None, x[3] + y[3]])
             else:  # what one side lacks is optional
                 out += mine[a:b] + theirs[c:d]
-        return Wrapper(out, self.pages + other.pages)
+        return Wrapper(out, self.pages + other.pages, self.contents + other.contents)
 
     def template(self) -> list[str | None]:
-        """Each symbol's template text, by its hash: a slot that carries one text on most of the host's pages."""
-        enough = max(LEAST_PAGES, TEMPLATE_SHARE * self.pages)
-        return [t if s == "#" and n >= enough else None for s, n, t in self.items]
+        """Each symbol's template text, by its hash: a slot that carries one text under most of the host's contents. Copies of a page are one content."""
+        enough = max(LEAST_PAGES, TEMPLATE_SHARE * self.contents)
+        return [t if s == "#" and n >= enough else None for s, _, t, n in self.items]
 
     def expression(self) -> str:
-        return " ".join(s if n >= self.pages else f"({s})?" for s, n, _ in self.items)
+        return " ".join(s if n >= self.pages else f"({s})?" for s, n, *_ in self.items)
 
 
 def _squared(items: list[list], other: list[list]) -> list[list]:
@@ -201,7 +202,7 @@ def _squared(items: list[list], other: list[list]) -> list[list]:
         i = 0
         while i + len(unit) <= len(items):
             if [x[0] for x in items[i : i + len(unit)]] == unit:
-                items = [*items[:i], [group, min(x[1] for x in items[i : i + len(unit)]), None], *items[i + len(unit) :]]
+                items = [*items[:i], [group, min(x[1] for x in items[i : i + len(unit)]), None, min(x[3] for x in items[i : i + len(unit)])], *items[i + len(unit) :]]
             i += 1
     return items
 
@@ -232,30 +233,39 @@ def _slots(page: Page) -> tuple[tuple[str, ...], list[str | None]]:
     return symbols, marks
 
 
+def _content(page: Page) -> int:
+    """Mark of the text of a page's main region, or of all that is no boilerplate element where there is none: equal for copies under any frame."""
+    kept = [x for x in page.blocks if x[3]]
+    return xxhash.xxh3_64_intdigest("\n".join(x[0] for x in [y for y in kept if y[2]] or kept).encode("utf-8", "surrogatepass")) - (1 << 63)
+
+
 def host_of(url: Column) -> Column:
     """Lower-case host of an address; the empty text where there is none."""
     return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1))
 
 
 def infer_wrappers(pages: DataFrame, html: str = "html", url: str = "url") -> DataFrame:
-    """``host, pages, wrapper`` of every host, from all of its pages.
+    """``host, pages, contents, wrapper`` of every host, from all of its pages.
 
     Equal streams are counted before they meet, so a host's work grows with its different streams; they
     are aligned in parts first, the most frequent first. ``wrapper`` is JSON: symbols, pages that have
-    them, and the mark of the text that they share.
+    them, the mark of the text that they share, and their different contents. A content counts once on
+    a host, with one of the streams that it came in, so copies of a page are no evidence of a template.
     """
 
     def streams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found: dict[tuple[str, tuple[str, ...]], list] = {}
             for host, source in zip(batch["host"].to_pylist(), batch["html"].to_pylist(), strict=True):
-                symbols, marks = _slots(Page(source))
-                old = found.setdefault((host, symbols), [0, marks])
+                page = Page(source)
+                symbols, marks = _slots(page)
+                old = found.setdefault((host, symbols), [0, marks, set()])
                 old[0] += 1
+                old[2].add(_content(page))
                 old[1] = [a if a == b else None for a, b in zip(old[1], marks, strict=True)]
-            rows = [(host, json.dumps(s), _mark("\n".join(s)), n, json.dumps(marks)) for (host, s), (n, marks) in found.items()]
-            kinds = [pa.string(), pa.string(), pa.string(), pa.int64(), pa.string()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True) if rows else [[]] * 5, kinds, strict=True)], ["host", "stream", "sign", "n", "marks"])
+            rows = [(host, json.dumps(s), _mark("\n".join(s)), n, json.dumps(marks), sorted(seen)) for (host, s), (n, marks, seen) in found.items()]
+            kinds = [pa.string(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.list_(pa.int64())]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True) if rows else [[]] * 6, kinds, strict=True)], ["host", "stream", "sign", "n", "marks", "seen"])
 
     def together(rows: pd.DataFrame) -> pd.DataFrame:
         marks = None
@@ -265,27 +275,32 @@ def infer_wrappers(pages: DataFrame, html: str = "html", url: str = "url") -> Da
         one = rows.iloc[0]
         n = int(rows["n"].sum())
         items = [[s, n, m] for s, m in zip(json.loads(one["stream"]), marks, strict=True)]
-        return pd.DataFrame({"host": [one["host"]], "part": [int(one["sign"], 16) % PARTS], "pages": [n], "wrapper": [json.dumps(items)]})
+        return pd.DataFrame({"host": [one["host"]], "sign": [one["sign"]], "part": [int(one["sign"], 16) % PARTS], "pages": [n], "wrapper": [json.dumps(items)]})
 
     def fold(rows: pd.DataFrame) -> Wrapper:
         whole = Wrapper()
         for row in rows.sort_values(["pages", "wrapper"], ascending=[False, True]).itertuples():
-            whole = whole.align(Wrapper(json.loads(row.wrapper), row.pages))
+            items = json.loads(row.wrapper)
+            whole = whole.align(Wrapper([[*x, row.contents] if len(x) == 3 else x for x in items], row.pages, row.contents))
         return whole
 
     def part(rows: pd.DataFrame) -> pd.DataFrame:
         whole = fold(rows)
-        return pd.DataFrame({"host": [rows.iloc[0]["host"]], "part": [rows.iloc[0]["part"]], "pages": [whole.pages], "wrapper": [json.dumps(whole.items)]})
+        return pd.DataFrame({"host": [rows.iloc[0]["host"]], "part": [rows.iloc[0]["part"]], "pages": [whole.pages], "contents": [whole.contents], "wrapper": [json.dumps(whole.items)]})
 
     def final(rows: pd.DataFrame) -> pd.DataFrame:
         whole = fold(rows)
-        return pd.DataFrame({"host": [rows.iloc[0]["host"]], "pages": [whole.pages], "wrapper": [json.dumps(whole.items)], "expression": [whole.expression()]})
+        return pd.DataFrame({"host": [rows.iloc[0]["host"]], "pages": [whole.pages], "contents": [whole.contents], "wrapper": [json.dumps(whole.items)], "expression": [whole.expression()]})
 
     given = pages.where(F.col(html).isNotNull()).select(host_of(F.col(url)).alias("host"), F.col(html).alias("html"))
-    counted = given.mapInArrow(streams, "host string, stream string, sign string, n long, marks string")
-    distinct = counted.groupBy("host", "sign").applyInPandas(together, "host string, part int, pages long, wrapper string")
-    parts = distinct.groupBy("host", "part").applyInPandas(part, "host string, part int, pages long, wrapper string")
-    return parts.groupBy("host").applyInPandas(final, "host string, pages long, wrapper string, expression string")
+    # read twice: streams with their texts, and contents
+    counted = stored(given.mapInArrow(streams, "host string, stream string, sign string, n long, marks string, seen array<long>"), "streams")
+    distinct = counted.drop("seen").groupBy("host", "sign").applyInPandas(together, "host string, sign string, part int, pages long, wrapper string")
+    contents = counted.select("host", "sign", F.explode("seen").alias("content")).groupBy("host", "content").agg(F.min("sign").alias("sign"))
+    contents = contents.groupBy("host", "sign").agg(F.count("*").alias("contents"))
+    distinct = distinct.join(contents, ["host", "sign"], "left").withColumn("contents", F.coalesce("contents", F.lit(0))).drop("sign")
+    parts = distinct.groupBy("host", "part").applyInPandas(part, "host string, part int, pages long, contents long, wrapper string")
+    return parts.groupBy("host").applyInPandas(final, "host string, pages long, contents long, wrapper string, expression string")
 
 
 def main_text(page: Page, wrapper: Wrapper | None) -> str:
@@ -318,7 +333,7 @@ def extract(pages: DataFrame, wrappers: DataFrame, html: str = "html", url: str
     """
     row, source, host, wrap = own("row"), own("html"), own("host"), own("wrapper")
     given = pages.select(F.struct("*").alias(row), F.col(html).alias(source), host_of(F.col(url)).alias(host))
-    known = wrappers.select(F.col("host").alias(host), F.struct("pages", "wrapper").alias(wrap))
+    known = wrappers.select(F.col("host").alias(host), F.struct("pages", "contents", "wrapper").alias(wrap))
     few = known.count() <= BROADCAST_HOSTS
     met = given.join(F.broadcast(known) if few else known, host, "left").select(row, source, wrap)
     kind = met.schema.simpleString()[len(f"struct<{row}:") :].rsplit(f",{source}:", 1)[0]
@@ -331,7 +346,7 @@ def extract(pages: DataFrame, wrappers: DataFrame, html: str = "html", url: str
                 if wrapper is not None and wrapper["wrapper"] not in read:
                     if len(read) >= 1000:
                         read.clear()
-                    read[wrapper["wrapper"]] = Wrapper(json.loads(wrapper["wrapper"]), wrapper["pages"])
+                    read[wrapper["wrapper"]] = Wrapper(json.loads(wrapper["wrapper"]), wrapper["pages"], wrapper["contents"])
                 texts.append(main_text(Page(page or ""), read[wrapper["wrapper"]] if wrapper is not None else None))
             yield pa.RecordBatch.from_arrays([batch[row], pa.array(texts, pa.string())], ["row", "text"])
 

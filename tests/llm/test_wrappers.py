@@ -53,6 +53,18 @@ def test_template_text_is_left_out(spark):
     assert wrapper["pages"] == 10 and "(<p> # </p>)+" in wrapper["expression"]
 
 
+def test_copies_keep_their_article(spark):
+    def page(i):
+        return f"<div>Ad {i % 3}</div><article><h1>Headline</h1><p>The whole story.</p></article>"
+
+    pages = [(i, f"http://copies.example/{i}", page(i)) for i in range(12)] + [(20, "http://copies.example/x", "<article><h1>Other</h1><p>News.</p></article>")]
+    pages += [(30 + i, f"http://mixed.example/{i}", f"<article><p>Read our terms.</p><h1>Title {i // 2}</h1></article>") for i in range(16)]
+    frame = spark.createDataFrame(pages, "page_id long, url string, html string")
+    found = {r["row"]["page_id"]: r["text"] for r in extract_main_text(frame).collect()}
+    assert all(found[i] == "Headline\nThe whole story." for i in range(12)) and found[20] == "Other\nNews."
+    assert all(found[30 + i] == f"Title {i // 2}" for i in range(16))
+
+
 def test_hosts(spark):
     urls = ["http://User@A.example:80/x", "//b.example", "c.example/x", None, ""]
     frame = spark.createDataFrame([(u,) for u in urls], "u string")

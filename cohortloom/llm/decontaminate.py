@@ -5,18 +5,21 @@ Its score for an item is the sum, over the item's words in the passage, of the w
 As in block-max WAND, items stand in blocks with the largest impact of each word per block, so that a
 passage whose bound stays below a block's lowest threshold skips the block, and most passages skip
 the index. What reaches the threshold is verified: both halves of the item, its question and its
-answer, must overlap with the text around by word trigrams.
+answer, must overlap with the text around by word trigrams. Items too short for that are found as a
+whole: word for word, by case and white space alone not told apart. A character of a script without
+spaces counts as a word.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortloom.llm.text import mixed, own, span_hashes, utf8, word_list, word_spans
@@ -30,7 +33,7 @@ GRAM = 3
 
 @dataclass(frozen=True)
 class Rules:
-    """BM25 parameters, thresholds, the shortest item that identifies anything, and the items of one index."""
+    """BM25 parameters, thresholds, the shortest item that is found by overlap, and the items of one index."""
 
     k1: float = 1.2
     b: float = 0.75
@@ -40,16 +43,43 @@ class Rules:
     most_items: int = 20_000
 
 
+#: Scripts without spaces between words.
+UNSPACED = ("Han", "Hiragana", "Katakana", "Thai", "Lao", "Khmer", "Myanmar")
+
+
 def _folded(texts: pa.Array) -> pa.Array:
-    """Lower case in any alphabet: a leak in capitals is a leak."""
-    return pc.utf8_lower(texts.cast(pa.large_string()).fill_null(""))
+    """Lower case in any alphabet: a leak in capitals is a leak. Characters of scripts without spaces stand alone."""
+    lower = pc.utf8_lower(texts.cast(pa.large_string()).fill_null(""))
+    if (utf8(lower)[0] >= 0xE0).any():  # such characters have three bytes or more
+        lower = pc.replace_substring_regex(lower, "([" + "".join(rf"\p{{{x}}}" for x in UNSPACED) + "])", r" \1 ")
+    return lower
+
+
+def _item_words(text: Column) -> Column:
+    return word_list(F.regexp_replace(F.lower(text), "([" + "".join(rf"\p{{Is{x}}}" for x in UNSPACED) + "])", " $1 "))
+
+
+def _lettered(folded: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words that are left without punctuation, and their number in each text."""
+    data, offsets = utf8(pc.replace_substring_regex(folded, r"[^\p{L}\p{N}\p{M}]+", " "))
+    starts, ends, count = word_spans(data, offsets)
+    return span_hashes(data, starts, ends), count
+
+
+def _run_hashes(words: np.ndarray, size: int) -> np.ndarray:
+    """Hash of the run of so many words from each place on."""
+    value = np.zeros(max(len(words) - size + 1, 0), np.uint64)
+    for k in range(size):
+        value = mixed(value * np.uint64(0x9E3779B97F4A7C15) + words[k : k + len(value)])
+    return value
 
 
 class Index:
     """Impacts of words on items, by block, with their upper bounds."""
 
     def __init__(self, items: list[tuple[str, str]], holders: dict[str, int], total: int, mean: float, rules: Rules):
-        data, offsets = utf8(_folded(pa.array([t for _, t in items], pa.string())))
+        folded = _folded(pa.array([t for _, t in items], pa.string()))
+        data, offsets = utf8(folded)
         starts, ends, count = word_spans(data, offsets)
         hashes = span_hashes(data, starts, ends)
         names = [bytes(data[a:b]).decode("utf-8", "replace") for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
@@ -66,6 +96,16 @@ class Index:
         own_score = np.bincount(i, impact, minlength=len(items))
         # a window holds 2 * STEP words, at least STEP of them of a longer item's run
         self.threshold = rules.share * own_score * np.minimum(1, STEP / np.maximum(count, 1))
+        # short items are not found by their score
+        self.threshold[count < rules.least_words] = np.inf
+        self.own_score = own_score
+        self.short: dict[int, dict[int, list[tuple[int, str]]]] = {}
+        plain, sizes = _lettered(folded)
+        for number in np.flatnonzero(count < rules.least_words).tolist():
+            run = plain[int(sizes[:number].sum()) : int(sizes[: number + 1].sum())]
+            if len(run):
+                whole = " ".join(folded[number].as_py().split())
+                self.short.setdefault(len(run), {}).setdefault(int(_run_hashes(run, len(run))[0]), []).append((number, whole))
         self.blocks = -(-len(items) // BLOCK)
         self.bound = np.zeros((len(self.vocabulary), self.blocks), np.float32)
         np.maximum.at(self.bound, (w, i // BLOCK), impact)
@@ -91,16 +131,33 @@ class Index:
 
 def _grams(words: np.ndarray) -> np.ndarray:
     """Sorted distinct hashes of the trigrams; of the whole where it is shorter."""
-    size = min(GRAM, len(words))
-    value = np.zeros(max(len(words) - size + 1, 0), np.uint64)
-    for k in range(size):
-        value = mixed(value * np.uint64(0x9E3779B97F4A7C15) + words[k : k + len(value)])
-    return np.unique(value)
+    return np.unique(_run_hashes(words, min(GRAM, len(words))))
+
+
+def _whole(index: Index, folded: pa.Array) -> Iterator[tuple[int, int]]:
+    """Texts and the short items that they hold word for word, punctuation included."""
+    if not index.short:
+        return
+    words, count = _lettered(folded)
+    text_of = np.repeat(np.arange(len(count)), count)
+    plain: dict[int, str] = {}
+    for size, known in index.short.items():
+        runs = _run_hashes(words, size)
+        at = np.flatnonzero(np.isin(runs, np.array(list(known), np.uint64)))
+        at = at[text_of[at] == text_of[at + size - 1]]
+        for text, run in sorted(set(zip(text_of[at].tolist(), runs[at].tolist(), strict=True))):
+            if text not in plain:
+                plain[text] = " ".join(folded[text].as_py().split())
+            for item, whole in known[run]:
+                left, right = r"(?<!\w)" if whole[0].isalnum() else "", r"(?!\w)" if whole[-1].isalnum() else ""
+                if re.search(left + re.escape(whole) + right, plain[text]):
+                    yield text, item
 
 
 def _hits(index: Index, texts: pa.Array, rules: Rules) -> list[list[dict]]:
     """Verified hits of each text."""
-    data, offsets = utf8(_folded(texts))
+    folded = _folded(texts)
+    data, offsets = utf8(folded)
     starts, ends, count = word_spans(data, offsets)
     hashes = span_hashes(data, starts, ends)
     first = np.cumsum(count) - count
@@ -140,6 +197,8 @@ def _hits(index: Index, texts: pa.Array, rules: Rules) -> list[list[dict]]:
             shares = [np.isin(half, around).mean() if len(half) else 1.0 for half in index.halves[item]]
             if min(shares) >= rules.overlap:
                 found[text, item] = max(found.get((text, item), (0.0, 0.0, 0.0)), (float(score[item]), float(shares[0]), float(shares[1])))
+    for text, item in _whole(index, folded):
+        found[text, item] = (float(index.own_score[item]), 1.0, 1.0)
     for (text, item), (score, question, answer) in sorted(found.items()):
         out[text].append({"item": index.ids[item], "score": score, "question": question, "answer": answer})
     return out
@@ -152,15 +211,16 @@ _HIT_TYPE = pa.list_(pa.struct([("item", pa.string()), ("score", pa.float64()),
 def find_leaks(docs: DataFrame, benchmark: DataFrame, rules: Rules = Rules(), text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:  # noqa: B008
     """All columns of ``docs`` as the struct ``row``, with ``hits``: the benchmark items that its text holds.
 
-    Items of fewer than ``rules.least_words`` words, and null ones, identify nothing and are not searched.
+    Items of fewer than ``rules.least_words`` words are found only as a whole, word for word. Null items and
+    those without a letter or digit identify nothing.
     Word statistics are those of all items. Only an index of at most ``rules.most_items`` items is sent to
     the tasks at a time: a larger benchmark is searched block by block, every block against every row.
     Null texts have no hit; an empty benchmark none either. Rows are read whole and not moved.
     """
     spark = docs.sparkSession
-    items = benchmark.select(F.col(item_id).cast("string").alias("id"), F.col(item_text).alias("text")).where(F.size(word_list(F.col("text"))) >= rules.least_words)
+    items = benchmark.select(F.col(item_id).cast("string").alias("id"), F.col(item_text).alias("text")).where(F.size(word_list(F.col("text"))) > 0)
     items = items.groupBy("id", "text").agg(F.count("*").alias("copies"))
-    words = items.select("id", "text", F.explode(word_list(F.lower("text"))).alias("word"))
+    words = items.select("id", "text", F.explode(_item_words(F.col("text"))).alias("word"))
     holders = words.distinct().groupBy("word").agg(F.count("*").alias("n"))
     total, length = items.count(), words.count()
     key, plain = own("row"), own("text")

@@ -66,3 +66,12 @@ def test_odd_rows_and_empty_benchmarks(spark):
     assert sorted((r["doc_id"] for r in out.collect()), key=str) == [0, 1, 10, 11, 12, 2, 3, 4, 5, 6, 9, None]
     assert decontaminate(docs, items.where("item_id = 99")).count() == docs.count()
     assert decontaminate(no_docs(spark), items).count() == 0
+
+
+def test_short_items_and_scripts_without_spaces(spark):
+    long = "日本の首都はどこですか東京です富士山の高さは何メートルですか"
+    items = spark.createDataFrame([(1, "Who wrote  Emma? Austen"), (2, "x < 3"), (3, "首都は東京"), (4, long), (5, "?!")], "item_id int, text string")
+    texts = ["he asked: WHO wrote\nEmma? Austen.", "who wrote Emma, Austen", "if x < 3, stop", "x > 3", "日本の首都は東京です", "東京は首都", f"前置き{long}後", "?!", "ex < 3", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["row"]["doc_id"]: {h["item"] for h in r["hits"]} for r in find_leaks(docs, items).collect()}
+    assert found == {0: {"1"}, 1: set(), 2: {"2"}, 3: set(), 4: {"3"}, 5: set(), 6: {"4"}, 7: set(), 8: set(), 9: set()}

@@ -3,7 +3,20 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from cohortloom.llm import queries_classify, queries_decontaminate, queries_fingerprint, queries_katz, queries_mixing, queries_neardup, queries_privacy, queries_repeats, queries_tokens, queries_wrappers  # noqa: F401
+from cohortloom.llm import (  # noqa: F401
+    queries_classify,
+    queries_collocations,
+    queries_decontaminate,
+    queries_fingerprint,
+    queries_katz,
+    queries_mixing,
+    queries_neardup,
+    queries_negatives,
+    queries_privacy,
+    queries_repeats,
+    queries_tokens,
+    queries_wrappers,
+)
 from cohortloom.llm.registry import ORACLES, QUERIES
 
 QUERIES["pipeline"] = corpus_pipeline.run

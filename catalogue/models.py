@@ -230,8 +230,8 @@ def line_run_gate(spark, folder):
 TRIAL = BoostingSettings(trees=5, depth=3, learning_rate=0.3)
 
 
-def line_trainable(spark, folder):
-    lines = fixture(spark, folder, "lineitem", ["l_orderkey", *FEATURES])
+def line_trainable(spark, folder, key=("l_orderkey",)):
+    lines = fixture(spark, folder, "lineitem", [*key, *FEATURES])
     return lines.select(
         "*",
         label_from_score(label_score(label_terms())).alias("label"),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from catalogue.features import LABEL_TERMS_SQL, label_terms
 from catalogue.registry import moment, num, query, rounded, sql_round
 from cohortloom.functions.scoring import label_from_score, label_score
+from cohortloom.operators.cohorts import drift_from_profile, merge_profiles, profile_cohort, profile_splits
 from cohortloom.operators.drift import (
     Monitor,
     chi_square,
@@ -22,9 +23,9 @@ from cohortloom.operators.drift import (
 )
 from cohortloom.operators.shift import Shift, shift_cohort
 from cohortloom.operators.summaries import top_rows
-from cohortloom.plans.monitoring import monitor_versions
+from cohortloom.plans.monitoring import monitor_against_profile, monitor_versions
 from cohortloom.session import fresh_path
-from cohortloom.sources.sinks import append_evolving
+from cohortloom.sources.sinks import append_evolving, write_table
 from cohortloom.sources.tables import fixture
 from cohortloom.streaming.profile import drain_to_table, window_profile, window_profile_stream
 
@@ -325,6 +326,44 @@ def line_report(spark, folder):
     return rounded(drift_report(line_log(spark, folder), moment(DETECTED)), {"drift_score": 6})
 
 
+def _line_profile(spark, folder):
+    """The baseline's profile, merged from two halves of its rows and stored by version."""
+    baseline = shifted_lines(spark, folder).where(is_reference())
+    halves = [baseline.where(F.pmod("l_orderkey", F.lit(2)) == k) for k in (0, 1)]
+    first = profile_cohort(halves[0], NUMERIC, CATEGORIES)
+    merged = merge_profiles(first, profile_cohort(halves[1], NUMERIC, CATEGORIES, splits=profile_splits(first)))
+    stored = write_table(merged.withColumn("data_version", F.lit("baseline_v1")), fresh_path(spark, "profiles"), partition_by=["data_version"])
+    return stored.where("data_version = 'baseline_v1'").drop("data_version")
+
+
+@query(
+    "cohort_profile_merged",
+    f"""
+    WITH {SHIFTED_SQL}, long AS ({_long_sql(NUMERIC)}), clong AS ({_long_sql(CATEGORIES)})
+    SELECT feature, value, CAST(NULL AS VARCHAR) AS category, count(*) AS n, TRUE AS in_range FROM long WHERE is_ref GROUP BY 1, 2
+    UNION ALL SELECT feature, NULL, value, count(*), NULL FROM clong WHERE is_ref GROUP BY 1, 3
+    """,
+)
+def line_profile(spark, folder):
+    inside = (F.col("low") <= F.col("value")) & (F.col("value") < F.col("high"))
+    return _line_profile(spark, folder).select("feature", "value", "category", "n", inside.alias("in_range"))
+
+
+@query("drift_from_profile", f"WITH {SCORES_SQL} SELECT feature, statistic, {sql_round('score', 6)} AS drift_score, score >= 0.1 AS drift_detected FROM scores")
+def scores_from_profile(spark, folder):
+    """The scores of ``drift_scores``, the reference read from its stored profile only."""
+    current = shifted_lines(spark, folder).where(~is_reference())
+    return rounded(drift_from_profile(_line_profile(spark, folder), current, MONITORS), {"drift_score": 6})
+
+
+@query("drift_log_from_profile", f"WITH {LOG_SQL} SELECT * FROM log")
+def log_from_profile(spark, folder):
+    log = monitor_against_profile(
+        _line_profile(spark, folder), shifted_lines(spark, folder), "data_version", "drift_v1", MONITORS, moment(DETECTED), {"environment": "dev"}, "baseline_v1"
+    )
+    return append_evolving(rounded(log, {"drift_score": 6, "max_score": 6}), fresh_path(spark, "drift-log"))
+
+
 PROFILE_SQL = f"""
     SELECT date_trunc('hour', ts) AS window_start, event_type, count(*) AS row_count,
            {sql_round('avg(value)', 6)} AS avg_value, min(value) AS min_value, max(value) AS max_value

@@ -54,23 +54,30 @@ def _all_named(df: DataFrame, keys: Sequence[tuple[str, ...]], columns: Sequence
     return named.join(df, list(columns), "left")
 
 
+def _rows(condition: Column, count: str | None) -> Column:
+    """Rows that a row stands for where the condition holds, else 0."""
+    return condition if count is None else F.when(condition, F.col(count)).otherwise(F.lit(0))
+
+
 def ordered_distances(
     df: DataFrame,
     features: Sequence[str],
     is_reference: Column,
     ranges: int | None = None,
     splits: Mapping[str, Sequence[float]] | None = None,
+    count: str | None = None,
 ) -> DataFrame:
     """(feature, wasserstein, wasserstein_norm, ks) from one ordered pass.
 
     The area between the two distribution functions, the same divided by the
     reference's standard deviation (at least 0.001), and their largest
-    difference. NULL when a cohort has no values.
+    difference. NULL when a cohort has no values. ``count`` names the column that
+    says how many rows a row stands for.
     """
     if splits is None:
         found = column_summary(df, features, ranges=range_count(df, ranges))
         splits = {c: found[c].splits for c in features}
-    curve = running_counts(df, features, {"ref": is_reference, "cur": ~is_reference}, splits)
+    curve = running_counts(df, features, {"ref": _rows(is_reference, count), "cur": _rows(~is_reference, count)}, splits)
     # between the previous value and this one both distribution functions are flat
     gap = F.abs(
         F.try_divide(F.col("ref_below").cast("double"), F.col("ref_total").cast("double"))
@@ -110,7 +117,8 @@ def equal_width(value: Column, low: float | None, high: float | None, bins: int)
     if low is None or high is None or high <= low:
         return F.when(value.isNotNull(), F.lit(0))
     place = F.floor((value - F.lit(low)) / F.lit(high - low) * F.lit(float(bins)))
-    return F.greatest(F.least(place, F.lit(bins - 1)), F.lit(0)).cast("int")
+    # least and greatest pass over NULL, which is in no bin
+    return F.when(value.isNotNull(), F.greatest(F.least(place, F.lit(bins - 1)), F.lit(0)).cast("int"))
 
 
 def _shares_by_cell(
@@ -118,6 +126,7 @@ def _shares_by_cell(
     binned: Mapping[str, Column],
     categories: Sequence[str],
     is_reference: Column,
+    count: str | None = None,
 ) -> DataFrame:
     """Cohort counts per (feature, cell) with the cohort totals of the feature.
 
@@ -135,12 +144,13 @@ def _shares_by_cell(
         F.struct(F.lit(c).alias("feature"), no_bin.alias("bin"), text.cast("string").alias("category"))
         for c, text in texts.items()
     ]
-    rows = df.select(is_reference.alias("is_reference"), F.inline(F.array(*entries))).where(
+    n = F.lit(1) if count is None else F.col(count)
+    rows = df.select(is_reference.alias("is_reference"), n.alias("n"), F.inline(F.array(*entries))).where(
         F.col("is_reference").isNotNull() & (F.col("bin").isNotNull() | F.col("category").isNotNull())
     )
     counts = rows.groupBy("feature", "bin", "category").agg(
-        F.count_if(F.col("is_reference")).cast("double").alias("ref"),
-        F.count_if(~F.col("is_reference")).cast("double").alias("cur"),
+        F.sum(F.when(F.col("is_reference"), F.col("n")).otherwise(0)).cast("double").alias("ref"),
+        F.sum(F.when(F.col("is_reference"), 0).otherwise(F.col("n"))).cast("double").alias("cur"),
     )
     totals = counts.groupBy("feature").agg(
         F.sum("ref").alias("ref_total"), F.sum("cur").alias("cur_total")
@@ -245,6 +255,7 @@ def drift_scores(
     floor: float = 1e-4,
     ranges: int | None = None,
     splits: Mapping[str, Sequence[float]] | None = None,
+    count: str | None = None,
 ) -> DataFrame:
     """(feature, statistic, drift_score, drift_detected): one row per monitor.
 
@@ -252,7 +263,8 @@ def drift_scores(
     the numeric features, the ordered statistics, the counts by cell. Each
     reads only its own columns. ``splits`` are range limits known from an earlier
     run, such as yesterday's: any increasing limits give the same scores, and
-    the features that have them are left out of the first pass. A feature with
+    the features that have them are left out of the first pass. ``count`` names
+    the column that says how many rows a row stands for. A feature with
     an empty cohort has a NULL score.
     """
     by_kind = {k: [m.feature for m in monitors if m.statistic == k] for k in DISTANCES}
@@ -266,7 +278,7 @@ def drift_scores(
     limits.update({c: found[c].splits for c in unknown})
     parts = []
     if ordered:
-        both = ordered_distances(rows, ordered, is_reference, splits=limits)
+        both = ordered_distances(rows, ordered, is_reference, splits=limits, count=count)
         parts.append(
             _scores(both, {"wasserstein": "wasserstein_norm", "ks": "ks"}, by_kind)
         )
@@ -274,7 +286,7 @@ def drift_scores(
         cells = {
             c: equal_width(finite_or_null(c), found[c].low, found[c].high, bins) for c in by_kind["psi"]
         }
-        shares = _shares_by_cell(rows, cells, by_kind["js"], is_reference).groupBy(
+        shares = _shares_by_cell(rows, cells, by_kind["js"], is_reference, count).groupBy(
             "feature", F.col("category").isNull().alias("is_binned")
         )
         sums = shares.agg(_psi(floor).alias("psi"), _js().alias("js"))

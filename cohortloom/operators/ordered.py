@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortloom.functions.numeric import finite_or_null
+from cohortloom.session import fresh_path
 
 # Several ranges per shuffle partition, so that hashing spreads them evenly.
 RANGES_PER_PARTITION = 4
@@ -103,7 +104,8 @@ def running_counts(
 ) -> DataFrame:
     """One row per (feature, distinct value), ready for ordered statistics.
 
-    ``weights`` maps a name to a 0/1 column of ``df``; ``splits`` are the range
+    ``weights`` maps a name to a column of ``df``, a condition or a whole number of
+    rows that a row stands for; ``splits`` are the range
     limits of each feature. The result has, for each name ``w``: ``w`` (rows
     with this value), ``w_below`` (rows with a smaller one), ``w_total`` and
     ``w_sum`` (all rows and the sum of their values, of the feature).
@@ -116,7 +118,7 @@ def running_counts(
     stride = max(len(s) for s in limits)
     wide = df.select(
         *[finite_or_null(c).alias(v) for c, v in zip(features, inputs)],
-        *[F.coalesce(weights[w].cast("int"), F.lit(0)).alias(w) for w in names],
+        *[F.coalesce(weights[w].cast("long"), F.lit(0)).alias(w) for w in names],
     )
     ranged = Bucketizer(
         inputCols=inputs,
@@ -173,3 +175,35 @@ def running_counts(
         *[F.col(f"{w}_total") for w in names],
         *[F.col(f"{w}_sum") for w in names],
     )
+
+
+def running_counts_by(
+    counted: DataFrame, key: str, value: str, weights: Sequence[str], ranges: int | None = None
+) -> DataFrame:
+    """The same for many columns in long form: one row per (``key``, distinct value).
+
+    ``counted`` has the weights as whole numbers, which tasks may have added up before; they are
+    added up here, written once, and each key is cut into value ranges of its own. The result has for
+    each weight ``w`` also ``w_below``, the sum over smaller values of the key. NULL and NaN values take
+    no part. The number of keys is the caller's to bound: keys x ranges limits are broadcast.
+    """
+    spark = counted.sparkSession
+    rows = counted.where(F.col(value).isNotNull() & ~F.isnan(value)).groupBy(key, value).agg(*[F.sum(w).alias(w) for w in weights])
+    path = fresh_path(spark, "running")
+    rows.write.parquet(path)
+    rows = spark.read.schema(rows.schema).parquet(path)
+    if ranges is None:
+        ranges = max(2, -(-range_count(counted) // max(1, rows.select(key).distinct().count())))
+    ranks = F.array(*[F.lit(i / ranges) for i in range(1, ranges)])
+    limits = rows.groupBy(key).agg(F.array_distinct(F.percentile_approx(value, ranks, 1000)).alias("limits"))
+    slot = F.size(F.filter("limits", lambda limit: limit < F.col(value))).alias("slot")
+    # both uses below read one and the same shuffle
+    ranged = rows.join(F.broadcast(limits), key).select(key, slot, value, *weights).repartition(key, "slot")
+    totals = ranged.groupBy(key, "slot").agg(*[F.sum(w).alias(f"{w}_rows") for w in weights])
+    before = Window.partitionBy(key).orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(key, "slot", *[F.coalesce(F.sum(f"{w}_rows").over(before), F.lit(0)).alias(f"{w}_before") for w in weights])
+    earlier = Window.partitionBy(key, "slot").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    local = ranged.select(key, "slot", value, *weights, *[F.coalesce(F.sum(w).over(earlier), F.lit(0)).alias(f"{w}_inside") for w in weights])
+    return local.join(offsets, [key, "slot"]).select(
+        key, value, *weights, *[(F.col(f"{w}_inside") + F.col(f"{w}_before")).alias(f"{w}_below") for w in weights]
+    )

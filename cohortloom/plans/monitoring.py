@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cohortloom.operators.cohorts import drift_from_profile
 from cohortloom.operators.drift import Monitor, drift_log, drift_scores
 
 
@@ -30,3 +31,22 @@ def monitor_versions(
     scores = drift_scores(rows, F.col(version) == reference, monitors, bins=bins, ranges=ranges)
     tags = {**constants, "reference_version": reference, "current_version": current}
     return drift_log(scores, detected_at, tags)
+
+
+def monitor_against_profile(
+    profile: DataFrame,
+    df: DataFrame,
+    version: str,
+    current: str,
+    monitors: Sequence[Monitor],
+    detected_at: Column,
+    constants: Mapping[str, str],
+    reference: str,
+    bins: int = 10,
+) -> DataFrame:
+    """The same log rows, the reference taken from its stored profile: only the current version is scanned."""
+    names = list(dict.fromkeys(m.feature for m in monitors))
+    rows = df.where(F.col(version) == current).select(*names)
+    scores = drift_from_profile(profile, rows, monitors, bins=bins)
+    tags = {**constants, "reference_version": reference, "current_version": current}
+    return drift_log(scores, detected_at, tags)

@@ -279,3 +279,46 @@ def test_report_picks_one_detection(spark):
 def test_only_distances_can_be_monitored():
     with pytest.raises(ValueError):
         Monitor("x", "chi2")
+
+
+def test_profile_equals_the_rows_and_halves_merge_to_the_whole(spark):
+    from cohortloom.operators.cohorts import PROFILE, drift_from_profile, merge_profiles, profile_cohort, profile_splits
+
+    rows = spark.createDataFrame(
+        [(float(i * 7919 % 37) / 4, float("nan") if i % 11 == 0 else (i * 104729 % 9973) / 9973, None if i % 7 == 0 else f"c{i * i % 5}", i % 3 == 0, i) for i in range(3000)],
+        "a double, b double, c string, ref boolean, id long",
+    )
+    current = rows.where("not ref").withColumn("a", F.col("a") * 1.3).withColumn("b", F.col("b") + 0.05)
+    both = rows.where("ref").unionByName(current)
+    monitors = [Monitor("a"), Monitor("a", "psi"), Monitor("b", "ks"), Monitor("b"), Monitor("c", "js"), Monitor("b", "psi")]
+    want = {(r.feature, r.statistic): r.drift_score for r in drift_scores(both, F.col("ref"), monitors).collect()}
+    profile = profile_cohort(rows.where("ref"), ["a", "b"], ["c"], ranges=6)
+    got = {(r.feature, r.statistic): r.drift_score for r in drift_from_profile(profile, current, monitors).collect()}
+    assert got == pytest.approx(want, abs=1e-12) and len(got) == 6
+    one, two = (profile_cohort(rows.where(f"ref and id % 2 = {k}"), ["a", "b"], ["c"], ranges=n) for k, n in ((0, 6), (1, 4)))
+    merged = merge_profiles(two, one, splits=profile_splits(profile))
+    key = lambda df: sorted(map(str, df.select(*PROFILE).collect()))
+    assert key(merged) == key(profile)
+    assert profile.where("value < low or value >= high").isEmpty()
+    assert {r.feature: r.n for r in profile.groupBy("feature").agg(F.sum("n").alias("n")).collect()} == {
+        "a": 1000, "b": rows.where("ref and not isnan(b)").count(), "c": rows.where("ref and c is not null").count()}
+    rounded = profile_cohort(rows.where("ref"), ["b"], digits={"b": 2})
+    assert rounded.count() <= 101
+    near = drift_from_profile(rounded, current, [Monitor("b", "ks")], digits={"b": 2}).first().drift_score
+    assert near == pytest.approx(want["b", "ks"], abs=0.01)
+
+
+def test_profile_of_nothing_has_no_scores(spark):
+    from cohortloom.operators.cohorts import drift_from_profile, profile_cohort
+
+    rows = spark.createDataFrame([(1.0, "x")], "a double, c string")
+    empty = profile_cohort(rows.where("a > 5"), ["a"], ["c"])
+    found = drift_from_profile(empty, rows, [Monitor("a"), Monitor("c", "js")]).collect()
+    assert len(found) == 2 and all(r.drift_score is None for r in found)
+
+
+def test_missing_values_are_in_no_bin(spark):
+    rows = [(float(i % 10), True) for i in range(100)] + [(float(i % 10), False) for i in range(100)]
+    holes = rows + [(None, False)] * 50 + [(NAN, False)] * 50 + [(INF, True)] * 9
+    psi = [population_stability(spark.createDataFrame(r, "x double, ref boolean"), ["x"], F.col("ref")).first().psi for r in (rows, holes)]
+    assert psi == pytest.approx([0.0, 0.0], abs=1e-12)

@@ -24,7 +24,7 @@ WITH t AS (
 ), k AS (
     SELECT c.*, x.f AS l, y.f AS r, s.n, k, ((1000::HUGEINT * c.a * s.n) // (x.f::HUGEINT * y.f))::BIGINT AS score
     FROM (SELECT *, unnest(range(1, m)) AS k FROM c) c JOIN s USING (lang)
-    JOIN g x ON x.lang = c.lang AND x.words = c.words[1:k] JOIN g y ON y.lang = c.lang AND y.words = c.words[k + 1:m]
+    JOIN g x ON x.lang = c.lang AND x.words = c.words[1:c.k] JOIN g y ON y.lang = c.lang AND y.words = c.words[c.k + 1:c.m]
 ), b AS (
     SELECT lang, words, a, arg_min(struct_pack(l := l, r := r, n := n, score := score), (score, k)) AS best FROM k GROUP BY lang, words, a
 ), q AS (

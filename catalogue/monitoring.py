@@ -27,7 +27,7 @@ from cohortloom.plans.monitoring import monitor_against_profile, monitor_version
 from cohortloom.session import fresh_path
 from cohortloom.sources.sinks import append_evolving, write_table
 from cohortloom.sources.tables import fixture
-from cohortloom.streaming.profile import drain_to_table, window_profile, window_profile_stream
+from cohortloom.streaming.profile import drain_to_table, keep_partials, merged_profile, window_profile, window_profile_stream
 
 CUT = "2000-01-01 00:00:00"
 DETECTED = "2024-01-01 00:00:00"
@@ -396,3 +396,15 @@ def hourly_profile_stream(spark, folder):
     return rounded(
         done.withColumn("window_start", F.col("window_start").cast("timestamp_ntz")), {"avg_value": 6}
     )
+
+
+@query("hourly_profile_running", f"SELECT *, window_start + INTERVAL 1 HOUR + INTERVAL 10 MINUTE > (SELECT max(ts) FROM events) AS is_open FROM ({PROFILE_SQL})")
+def hourly_profile_running(spark, folder):
+    """The stream in several micro-batches, out of order; every window is given out, open ones marked."""
+    source = fresh_path(spark, "events")
+    fixture(spark, folder, "events", ["ts", "event_type", "value"]).repartition(4, "event_type").write.parquet(source)
+    stream = spark.readStream.schema(spark.read.parquet(source).schema).option("maxFilesPerTrigger", 1).parquet(source)
+    partials = fresh_path(spark, "hourly-partials")
+    keep_partials(stream, "ts", "event_type", "value", partials, fresh_path(spark, "hourly-progress"))
+    done = merged_profile(spark, partials, "event_type").drop("late_rows")
+    return rounded(done.withColumn("window_start", F.col("window_start").cast("timestamp_ntz")), {"avg_value": 6})

@@ -16,7 +16,7 @@ from cohortloom.plans import compound_study as study
 from cohortloom.plans.medallion import clean_table, gold_features
 from cohortloom.plans.monitoring import monitor_versions
 from cohortloom.session import fresh_path
-from cohortloom.sources.sinks import write_feature_table
+from cohortloom.sources.published import write_feature_table
 from cohortloom.sources.tables import fixture
 
 DETECTED = "2024-01-01 00:00:00"

@@ -8,13 +8,14 @@ from catalogue.registry import query, rounded, sql_round
 from cohortloom.functions.keys import split_by_mod, surrogate_key
 from cohortloom.operators.summaries import preview, table_counts
 from cohortloom.session import fresh_path
+from cohortloom.sources.published import append_logged, prune_versions, published_versions, read_logged, read_published, write_feature_table
 from cohortloom.sources.sinks import (
+    KeyViolation,
     append_conformed,
     append_evolving,
     feature_table_verify,
     key_violations,
     reference_snapshot,
-    write_feature_table,
     write_table,
     write_verified,
 )
@@ -270,3 +271,45 @@ PREVIEW_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_exte
 )
 def first_rows(spark, folder):
     return preview(fixture(spark, folder, "lineitem", PREVIEW_ORDER), PREVIEW_ORDER, 5)
+
+
+@query(
+    "feature_table_published",
+    """
+    SELECT sha256(concat_ws('|', CAST(o_orderkey AS VARCHAR), CAST(o_custkey AS VARCHAR))) AS feature_id,
+           o_totalprice, CAST(2 AS BIGINT) AS versions_named, TRUE AS refused, CAST(1 AS BIGINT) AS versions_kept
+    FROM orders
+    """,
+)
+def feature_table_published(spark, folder):
+    """Two publishes and a refused third: readers get the second whole, and only its folder stays after pruning."""
+    path = fresh_path(spark, "features")
+    rows = _order_features(spark, folder)
+    write_feature_table(rows.where("o_totalprice > 100000"), ["feature_id"], FEATURES, path)
+    write_feature_table(rows, ["feature_id"], FEATURES, path)
+    refused = False
+    try:
+        write_feature_table(rows.withColumn("feature_id", F.lit("same")), ["feature_id"], FEATURES, path)
+    except KeyViolation:
+        refused = True
+    named = published_versions(spark, path).count()
+    removed = prune_versions(spark, path, keep=1)
+    return read_published(spark, path, ["feature_id", "o_totalprice"]).select(
+        "*", F.lit(named).cast("long").alias("versions_named"), F.lit(refused).alias("refused"), F.lit(named - len(removed)).cast("long").alias("versions_kept")
+    )
+
+
+@query(
+    "append_logged",
+    """
+    SELECT o_orderkey, o_totalprice, CASE WHEN o_orderkey % 2 = 1 THEN o_orderpriority END AS o_orderpriority, o_orderstatus
+    FROM orders
+    """,
+)
+def logged_append(spark, folder):
+    """Even orders first, then odd ones with a new column, partitioned by status; the schema log tells each reader both."""
+    path = fresh_path(spark, "logged")
+    orders = fixture(spark, folder, "orders", ["o_orderkey", "o_totalprice", "o_orderpriority", "o_orderstatus"])
+    append_logged(orders.where("o_orderkey % 2 = 0").drop("o_orderpriority"), path, ["o_orderstatus"])
+    append_logged(orders.where("o_orderkey % 2 = 1"), path)
+    return read_logged(spark, path, orders.columns)

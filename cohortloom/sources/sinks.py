@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 from functools import reduce
 from operator import and_
@@ -114,7 +113,7 @@ def _same_partitioning(table: DataFrame, path: str, asked: Sequence[str] | None)
     return found or list(asked or ())
 
 
-def _fitting(df: DataFrame, schema: StructType) -> DataFrame:
+def fitting(df: DataFrame, schema: StructType) -> DataFrame:
     """Rows in the types of the columns they share with ``schema``; only casts that lose nothing, else nothing is written."""
     fields = {f.name: f.dataType for f in schema.fields}
     columns = []
@@ -156,7 +155,7 @@ def append_evolving(
             raise
         return write_table(df, path, "append", partition_by or (), fmt)
     folders = _same_partitioning(table, path, partition_by)
-    rows = _fitting(df, table.schema)
+    rows = fitting(df, table.schema)
     known = set(table.columns)
     merged = StructType([*table.schema.fields, *[StructField(f.name, f.dataType, True) for f in rows.schema if f.name not in known]])
     writer = rows.write.format(fmt).mode("append")
@@ -245,21 +244,6 @@ def key_violations(df: DataFrame, key: Sequence[str]) -> DataFrame:
     )
 
 
-def write_feature_table(
-    df: DataFrame, key: Sequence[str], features: Sequence[str], path: str, **options
-) -> DataFrame:
-    """Write key and features, and publish them at ``path`` only if the key holds.
-
-    The source plan runs once, into a folder beside the path; the check reads
-    only the key columns of what was written there.
-    """
-    staged = write_table(df.select(*key, *features), f"{path.rstrip('/')}-staged-{uuid.uuid4().hex}")
-    found = key_violations(staged, key).first()
-    if found.null_keys or found.repeated_keys:
-        raise KeyViolation(f"{found.null_keys} rows without key, {found.repeated_keys} repeated keys")
-    return write_table(staged, path, **options)
-
-
 def feature_table_verify(table: DataFrame, key: Sequence[str]) -> DataFrame:
     """One row: (row_count, distinct_keys, feature_count, key_is_unique); a key with a NULL is none."""
     copies = table.groupBy(*key).agg(F.count(F.lit(1)).alias("copies"))

@@ -2,11 +2,20 @@ import datetime as dt
 import uuid
 
 import pytest
-from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from cohortloom.operators.shift import Shift, shift_cohort
 from cohortloom.session import fresh_path, shared_folder
+from cohortloom.sources.published import (
+    NotPublished,
+    append_logged,
+    prune_versions,
+    publish,
+    published_versions,
+    read_logged,
+    read_published,
+    write_feature_table,
+)
 from cohortloom.sources.sinks import (
     KeyViolation,
     SchemaClash,
@@ -16,13 +25,12 @@ from cohortloom.sources.sinks import (
     key_violations,
     partitioning,
     write_csv,
-    write_feature_table,
     write_named,
     write_table,
     write_verified,
 )
 from cohortloom.sources.tables import read_named, read_table
-from cohortloom.streaming.profile import drain_to_table, window_profile, window_profile_stream
+from cohortloom.streaming.profile import drain_to_table, keep_partials, merged_profile, window_profile, window_profile_stream
 
 
 def test_shared_folder_is_the_one_the_session_names(spark):
@@ -144,8 +152,8 @@ def test_a_bad_feature_table_is_not_published(spark):
     path = fresh_path(spark, "features")
     with pytest.raises(KeyViolation):
         write_feature_table(spark.createDataFrame([("a", 1.0), ("a", 2.0)], "k string, f double"), ["k"], ["f"], path)
-    with pytest.raises(AnalysisException):
-        read_table(spark, path)
+    with pytest.raises(NotPublished):
+        read_published(spark, path)
 
 
 def test_verified_write_counts_once(spark):
@@ -208,3 +216,125 @@ def test_batch_profile_covers_every_row(spark):
     rows = [(at(0, 5), "a", 1.0), (at(0, 59), "a", None), (at(1), "a", 2.0)]
     got = window_profile(spark.createDataFrame(rows, "ts timestamp_ntz, kind string, value double"), "ts", "kind", "value")
     assert {r.window_start.hour: (r.row_count, r.min_value) for r in got.collect()} == {0: (2, 1.0), 1: (1, 2.0)}
+
+
+def folders(path):
+    import os
+
+    return {name for name in os.listdir(path.removeprefix("file:")) if not name.startswith(("_", "."))}
+
+
+def test_publish_writes_once_and_a_refused_version_leaves_nothing(spark):
+    path = fresh_path(spark, "published")
+    with pytest.raises(NotPublished):
+        read_published(spark, path)
+    write_feature_table(spark.range(5).selectExpr("id", "id * 2 as x"), ["id"], ["x"], path)
+    assert len(folders(path)) == 1
+    old = read_published(spark, path)
+    with pytest.raises(KeyViolation):
+        write_feature_table(spark.range(5).selectExpr("id % 2 as id", "id as x"), ["id"], ["x"], path)
+    assert len(folders(path)) == 1 and read_published(spark, path).count() == 5
+    write_feature_table(spark.range(9).selectExpr("id", "id * 2 as x", "'p' || id % 2 as p"), ["id"], ["x", "p"], path, partition_by=["p"])
+    now = read_published(spark, path)
+    assert now.columns == ["id", "x", "p"] and now.count() == 9 and old.count() == 5
+    names = [r.version for r in published_versions(spark, path).collect()]
+    assert read_published(spark, path, version=names[0]).count() == 5
+    assert prune_versions(spark, path, keep=1) == names[:1] and folders(path) == {names[1]}
+    assert read_published(spark, path, ["x"]).count() == 9
+    with pytest.raises(ValueError):
+        prune_versions(spark, path, keep=0)
+
+
+def test_a_failing_write_does_not_move_the_pointer(spark):
+    path = fresh_path(spark, "published")
+    publish(spark.range(3), path)
+    with pytest.raises(Exception):
+        publish(spark.range(3).select(F.raise_error(F.lit("broken")).alias("id")), path)
+    assert read_published(spark, path).count() == 3 and len(folders(path)) == 1
+
+
+def test_empty_version_keeps_its_schema(spark):
+    path = fresh_path(spark, "published")
+    publish(spark.range(0).selectExpr("id", "cast(id as string) as s"), path)
+    assert read_published(spark, path).dtypes == [("id", "bigint"), ("s", "string")]
+
+
+def test_the_schema_log_decides_in_any_session(spark):
+    path = fresh_path(spark, "logged")
+    append_logged(spark.range(3).selectExpr("id", "1.5D as x", "'a' as p"), path, ["p"])
+    other = spark.newSession()
+    wider = other.range(3, 5).selectExpr("cast(id as int) as id", "2.5f as x", "'7' as p", "true as fresh")
+    got = append_logged(wider, path)
+    assert got.dtypes == [("id", "bigint"), ("x", "double"), ("p", "string"), ("fresh", "boolean")]
+    assert sorted((r.id, r.x, r.p, r.fresh) for r in read_logged(other, path).collect()) == [(i, 1.5, "a", None) for i in range(3)] + [(i, 2.5, "7", True) for i in (3, 4)]
+    for bad in (other.range(1).selectExpr("'x' as id", "1D as x", "'a' as p"), other.range(1).selectExpr("id", "1D as x", "1D as p")):
+        with pytest.raises(SchemaClash):
+            append_logged(bad, path)
+    with pytest.raises(SchemaClash):
+        append_logged(wider, path, ["x"])
+    with pytest.raises(SchemaClash):
+        append_logged(other.range(1), path)
+    assert read_logged(spark, path, ["id"]).count() == 5
+
+
+def test_the_schema_log_spares_the_data_files(spark):
+    """Files that are no table files at all do not disturb an append: none is opened."""
+    import os
+
+    path = fresh_path(spark, "logged")
+    append_logged(spark.range(3), path)
+    local = path.removeprefix("file:")
+    for name in os.listdir(local):
+        if name.startswith("part-"):
+            with open(os.path.join(local, name), "wb") as file:
+                file.write(b"not a table")
+            os.path.exists(os.path.join(local, f".{name}.crc")) and os.remove(os.path.join(local, f".{name}.crc"))
+    assert append_logged(spark.range(3, 6), path).dtypes == [("id", "bigint")]
+
+
+def stream_rows(spark, parts):
+    schema = "ts timestamp, kind string, value double"
+    source = fresh_path(spark, "events")
+    for part in parts:
+        spark.createDataFrame([(dt.datetime(2024, 1, 1, h, m), k, v) for h, m, k, v in part], schema).coalesce(1).write.mode("append").parquet(source)
+    return source, schema
+
+
+PARTS = [
+    [(0, 5, "a", 1.0), (0, 50, "a", 3.0), (1, 1, "a", 5.0)],
+    [(3, 0, "b", 7.0), (0, 30, "a", 100.0)],  # out of order, but its window is still open
+    [(3, 59, "b", 9.0), (4, 0, "a", None), (1, 30, "c", 2.0)],
+]
+
+
+def test_running_profile_gives_every_window_and_late_rows_count(spark):
+    source, schema = stream_rows(spark, PARTS[:2])
+    target, progress = fresh_path(spark, "partials"), fresh_path(spark, "progress")
+
+    def run():
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("latestFirst", "false").parquet(source)
+        keep_partials(stream, "ts", "kind", "value", target, progress)
+        return {(r.window_start.hour, r.kind): tuple(r)[2:] for r in merged_profile(spark, target, "kind").collect()}
+
+    first = run()
+    assert first[0, "a"][:4] == (3, 104.0 / 3, 1.0, 100.0) and first[3, "b"][:4] == (1, 7.0, 7.0, 7.0)
+    assert {k: r[5] for k, r in first.items()} == {(0, "a"): False, (1, "a"): False, (3, "b"): True}
+    part = spark.createDataFrame([(dt.datetime(2024, 1, 1, h, m), k, v) for h, m, k, v in PARTS[2]], schema)
+    part.coalesce(1).write.mode("append").parquet(source)
+    got = run()
+    rows = spark.read.schema(schema).parquet(source)
+    want = {(r.window_start.hour, r.kind): tuple(r)[2:] for r in window_profile(rows, "ts", "kind", "value").collect()}
+    assert {k: r[:4] for k, r in got.items()} == want
+    assert {k: r[4] for k, r in got.items()} == {(0, "a"): 0, (1, "a"): 0, (3, "b"): 0, (4, "a"): 0, (1, "c"): 1}
+    assert {k for k, r in got.items() if r[5]} == {(3, "b"), (4, "a")}
+    assert run() == got  # nothing new, nothing twice
+
+
+def test_a_repeated_micro_batch_replaces_itself(spark):
+    from cohortloom.streaming.profile import write_partials
+
+    target = fresh_path(spark, "partials")
+    rows = spark.createDataFrame([(dt.datetime(2024, 1, 1, 0, 5), "a", 1.0)], "ts timestamp, kind string, value double")
+    for batch in (0, 1, 1, 0):
+        write_partials(rows, batch, "ts", "kind", "value", target)
+    assert merged_profile(spark, target, "kind").first().row_count == 2

@@ -211,6 +211,19 @@ def rounded_lines(spark, folder):
     )
 
 
+@query(
+    "round_columns_decimal",
+    """
+    SELECT CAST(round(CAST(CAST(l_extendedprice AS VARCHAR) AS DECIMAL(18, 6)), 1) AS DOUBLE) AS l_extendedprice,
+           CAST(round(CAST(CAST(l_discount / 4 AS VARCHAR) AS DECIMAL(18, 6)), 2) AS DOUBLE) AS l_discount, l_orderkey FROM lineitem
+    """,
+)
+def decimal_rounded_lines(spark, folder):
+    """The default rounding: half up of the number as it is written."""
+    lines = fixture(spark, folder, "lineitem").select("l_extendedprice", (F.col("l_discount") / 4).alias("l_discount"), "l_orderkey")
+    return lines.select(*round_columns({"l_extendedprice": 1, "l_discount": 2}), "l_orderkey")
+
+
 @query(
     "split_mod",
     "SELECT l_orderkey, CASE WHEN l_orderkey % 5 < 4 THEN 'train' ELSE 'validation' END AS data_split FROM lineitem",

@@ -2,19 +2,18 @@
 
 from __future__ import annotations
 
-from dataclasses import replace
-
 from pyspark.sql import functions as F
 
 from catalogue.registry import moment, num, query, rounded, sql_round
 from cohortloom.functions.keys import split_by_mod, surrogate_key
 from cohortloom.functions.numeric import round_floor
+from cohortloom.functions.scoring import logistic
 from cohortloom.operators.drift import drift_report
 from cohortloom.operators.quality import range_profile
-from cohortloom.operators.shift import DiscreteShift, shift_cohort
+from cohortloom.operators.shift import QuantileShift, shift_cohort
 from cohortloom.plans import compound_study as study
 from cohortloom.plans.medallion import clean_table, gold_features
-from cohortloom.plans.monitoring import monitor_versions
+from cohortloom.plans.monitoring import monitor_versions, shift_flow
 from cohortloom.session import fresh_path
 from cohortloom.sources.published import write_feature_table
 from cohortloom.sources.tables import fixture
@@ -160,22 +159,30 @@ def study_feature_table(spark, folder):
     return write_feature_table(features, ["feature_id"], rules.names(), fresh_path(spark, "study-features"))
 
 
+ROW_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+
+
 def shifted_rows(spark, folder):
     rows = raw_rows(spark, folder)
-    moved = shift_cohort(rows, study.shifts(), F.col("is_drift"), "drift_v1")
+    moved = shift_cohort(rows, study.shifts(ROW_KEY), F.col("is_drift"), "drift_v1")
     return study.with_outcome(moved, heavy_penalty=True, rounding=round_floor)
 
 
 def _shift_sql(column):
     s = study.shifts()[column]
     moved = f"CAST({column} AS DOUBLE) * {num(s.scale)} + {num(s.offset)}"
+    if s.whole:
+        moved = f"floor({moved} + {num(0.5)})"
     return (
         f"CASE WHEN is_drift THEN greatest(least({moved}, {num(float(s.high))}), {num(float(s.low))}) "
         f"ELSE CAST({column} AS DOUBLE) END AS {column}"
     )
 
 
-SHIFTED_SQL = f"moved AS (SELECT * REPLACE ({', '.join(_shift_sql(c) for c in study.shifts())}) FROM base)"
+COIN_SQL = f"('0x' || md5(concat_ws('|', {', '.join(ROW_KEY)}, 'shift'))[1:13])::BIGINT / {num(float(2**52))}"
+ECOG_SQL = f"""CAST(CASE WHEN NOT is_drift THEN ecog_performance_score WHEN {COIN_SQL} < {num(0.2)} THEN 0
+                WHEN {COIN_SQL} < {num(0.2 + 0.35)} THEN 1 WHEN {COIN_SQL} < {num(0.2 + 0.35 + 0.3)} THEN 2 ELSE 3 END AS BIGINT) AS ecog_performance_score"""
+SHIFTED_SQL = f"moved AS (SELECT * REPLACE ({', '.join(_shift_sql(c) for c in study.shifts())}, {ECOG_SQL}) FROM base)"
 PENALISED_SQL = (
     f"greatest(least({SCORE_SQL} - CASE WHEN molecular_weight > 500 THEN {num(0.15)} ELSE {num(0.0)} END, 1.0), 0.0)"
 )
@@ -196,32 +203,18 @@ def study_shift(spark, folder):
     )
 
 
-DISCRETE_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
-COIN_SQL = f"('0x' || md5(concat_ws('|', {', '.join(DISCRETE_KEY)}, 'shift'))[1:13])::BIGINT / {num(float(2**52))}"
-AGE = study.shifts()["patient_age"]
-
-
 @query(
     "study_shift_discrete",
     f"""
     WITH {RAW_SQL}
-    SELECT {', '.join(DISCRETE_KEY)}, is_drift,
-           CASE WHEN is_drift THEN greatest(least(floor(CAST(patient_age AS DOUBLE) * {num(AGE.scale)} + {num(AGE.offset)} + {num(0.5)}),
-                {num(float(AGE.high))}), {num(float(AGE.low))}) ELSE CAST(patient_age AS DOUBLE) END AS patient_age,
-           CAST(CASE WHEN NOT is_drift THEN ecog_performance_score WHEN {COIN_SQL} < {num(0.2)} THEN 0
-                WHEN {COIN_SQL} < {num(0.2 + 0.35)} THEN 1 WHEN {COIN_SQL} < {num(0.2 + 0.35 + 0.3)} THEN 2 ELSE 3 END AS BIGINT) AS ecog_performance_score
+    SELECT {', '.join(ROW_KEY)}, is_drift, {_shift_sql("patient_age")}, {ECOG_SQL}
     FROM base
     """,
 )
 def study_shift_discrete(spark, folder):
-    shifts = {
-        "patient_age": replace(AGE, whole=True),
-        "ecog_performance_score": DiscreteShift({0: 0.20, 1: 0.35, 2: 0.30, 3: 0.15}, DISCRETE_KEY),
-    }
-    moved = shift_cohort(raw_rows(spark, folder), shifts, F.col("is_drift"))
-    return moved.select(
-        *DISCRETE_KEY, "is_drift", "patient_age", F.col("ecog_performance_score").cast("long").alias("ecog_performance_score")
-    )
+    shifts = study.shifts(ROW_KEY)
+    discrete = {c: shifts[c] for c in ("patient_age", "ecog_performance_score")}
+    return shift_cohort(raw_rows(spark, folder), discrete, F.col("is_drift")).select(*ROW_KEY, "is_drift", "patient_age", "ecog_performance_score")
 
 
 NUMBERS = [c for c in study.MONITORED if c != "ecog_performance_score"]
@@ -230,10 +223,8 @@ LONG_SQL = " UNION ALL ".join(
 )
 
 
-@query(
-    "study_drift",
-    f"""
-    WITH {RAW_SQL}, {SHIFTED_SQL}, long AS ({LONG_SQL}),
+SCORES_SQL = f"""
+    long AS ({LONG_SQL}),
     counts AS (SELECT feature, value, CAST(count(*) FILTER (WHERE is_ref) AS DOUBLE) AS r,
                       CAST(count(*) FILTER (WHERE NOT is_ref) AS DOUBLE) AS c FROM long GROUP BY 1, 2),
     curve AS (SELECT feature, lead(value) OVER w - value AS gap,
@@ -247,16 +238,16 @@ LONG_SQL = " UNION ALL ".join(
     scores AS (SELECT a.feature, 'wasserstein' AS statistic, w / s AS score FROM areas a JOIN spread s ON a.feature = s.feature
                UNION ALL
                SELECT 'ecog_performance_score', 'js',
-                      sqrt(greatest(sum(p * ln(p / ((p + q) / 2)) + q * ln(q / ((p + q) / 2))) / 2, 0)) FROM shares)
-    SELECT feature, statistic, {sql_round('score', 6)} AS drift_score, score >= 0.1 AS drift_detected,
+                      sqrt(greatest(sum(p * ln(p / ((p + q) / 2)) + q * ln(q / ((p + q) / 2))) / 2, 0)) FROM shares)"""
+LADDER_SQL = f"""{sql_round('score', 6)} AS drift_score, score >= 0.1 AS drift_detected,
            CASE WHEN score >= 0.35 THEN 'CRITICAL' WHEN score >= 0.25 THEN 'SEVERE' WHEN score >= 0.2 THEN 'MODERATE'
                 WHEN score >= 0.1 THEN 'WARNING' ELSE 'STABLE' END AS severity,
            CASE WHEN max(score) OVER () >= 0.35 THEN 'IMMEDIATE_ROLLBACK' WHEN max(score) OVER () >= 0.25 THEN 'RETRAIN'
                 WHEN max(score) OVER () >= 0.2 THEN 'SCHEDULE_RETRAIN' WHEN max(score) OVER () >= 0.1 THEN 'MONITOR'
-                ELSE 'NO_ACTION' END AS recommended_action
-    FROM scores ORDER BY score DESC
-    """,
-)
+                ELSE 'NO_ACTION' END AS recommended_action"""
+
+
+@query("study_drift", f"WITH {RAW_SQL}, {SHIFTED_SQL}, {SCORES_SQL} SELECT feature, statistic, {LADDER_SQL} FROM scores ORDER BY score DESC")
 def study_drift(spark, folder):
     log = monitor_versions(
         shifted_rows(spark, folder),
@@ -268,3 +259,68 @@ def study_drift(spark, folder):
         {"environment": "dev"},
     )
     return rounded(drift_report(log, moment(DETECTED)), {"drift_score": 6})
+
+
+LOGIT = [("molecular_weight_norm", -2.0), ("patient_age_norm", -0.5), ("biomarker_pdl1_norm", 1.5), ("ecog_performance_score", -0.25)]
+LOGIT_SQL = f"({num(1.0)} / ({num(1.0)} + exp(-({num(0.75)} + ({' + '.join(f'{c} * {num(w)}' for c, w in LOGIT)})))))"
+
+
+@query(
+    "study_shift_flow",
+    f"""
+    WITH {RAW_SQL}, {SHIFTED_SQL}, {SCORES_SQL},
+    labelled AS (SELECT *, CAST({PENALISED_SQL} >= 0.5 AS INTEGER) AS label FROM moved),
+    scored AS (SELECT is_drift, label, CAST({LOGIT_SQL} > 0.5 AS INTEGER) AS prediction FROM (SELECT *, {NORM_SQL} FROM labelled)),
+    right_ones AS (SELECT avg(CAST(prediction = label AS DOUBLE)) FILTER (WHERE NOT is_drift) AS before,
+                          avg(CAST(prediction = label AS DOUBLE)) FILTER (WHERE is_drift) AS after FROM scored)
+    SELECT feature, statistic, {LADDER_SQL}, {sql_round('before', 6)} AS accuracy_reference, {sql_round('after', 6)} AS accuracy_current,
+           {sql_round('before - after', 6)} AS accuracy_drop
+    FROM scores, right_ones
+    """,
+)
+def study_shift_flow(spark, folder):
+    """Shift, label, derive, score, log and compare in one run."""
+    rules = study.feature_rules(round_floor)
+    log = shift_flow(
+        raw_rows(spark, folder), study.shifts(ROW_KEY), F.col("is_drift"), "baseline_v1", "drift_v1",
+        lambda rows: study.with_outcome(rows, heavy_penalty=True, rounding=round_floor), rules, logistic(LOGIT, 0.75), study.LABEL,
+        study.monitors(), moment(DETECTED), {"environment": "dev"}, fresh_path(spark, "prediction-log"), rounding=round_floor,
+    )
+    found = log.select("feature", "statistic", "drift_score", "drift_detected", "severity", "recommended_action", "accuracy_reference", "accuracy_current", "accuracy_drop")
+    return rounded(found, {"drift_score": 6, "accuracy_reference": 6, "accuracy_current": 6, "accuracy_drop": 6})
+
+
+WANTED = QuantileShift([(0.0, 200.0), (0.25, 380.0), (0.5, 460.0), (0.75, 530.0), (1.0, 700.0)], limits=[150.0, 250.0, 350.0, 450.0, 550.0, 650.0])
+
+
+def _wanted_sql(share):
+    arms = " ".join(
+        f"WHEN {share} <= {num(q)} THEN {num(a)} + ({share} - {num(p)}) / {num(q - p)} * {num(b - a)}"
+        for (p, a), (q, b) in zip(WANTED.wanted, WANTED.wanted[1:])
+    )
+    return f"CASE {arms} ELSE {num(WANTED.wanted[-1][1])} END"
+
+
+@query(
+    "study_shift_quantiles",
+    f"""
+    WITH {RAW_SQL},
+    edge AS (SELECT min(molecular_weight) AS lo, max(molecular_weight) AS hi FROM base WHERE is_drift),
+    l AS (SELECT unnest({WANTED.limits}::DOUBLE[]) AS x),
+    inner_limits AS (SELECT x FROM l, edge WHERE lo < x AND x < hi),
+    ranged AS (SELECT b.*, (SELECT count(*) FROM inner_limits WHERE x <= molecular_weight) AS r FROM base b),
+    counts AS (SELECT r, count(*) FILTER (WHERE is_drift) AS n FROM ranged GROUP BY r),
+    bounds AS (SELECT r, CAST(sum(n) OVER (ORDER BY r) - n AS DOUBLE) / sum(n) OVER () AS u0, CAST(n AS DOUBLE) / sum(n) OVER () AS w,
+                      coalesce((SELECT max(x) FROM inner_limits i WHERE (SELECT count(*) FROM inner_limits j WHERE j.x <= i.x) = r), lo) AS a,
+                      coalesce((SELECT min(x) FROM inner_limits i WHERE (SELECT count(*) FROM inner_limits j WHERE j.x <= i.x) = r + 1), hi) AS b
+               FROM counts, edge),
+    shares AS (SELECT m.*, u0 + (molecular_weight - a) / (b - a) * w AS share FROM ranged m JOIN bounds o ON o.r = m.r)
+    SELECT {', '.join(ROW_KEY)}, is_drift, {sql_round(f"CASE WHEN is_drift THEN {_wanted_sql('share')} ELSE molecular_weight END", 6)} AS molecular_weight,
+           {ECOG_SQL} FROM shares
+    """,
+)
+def study_shift_quantiles(spark, folder):
+    """Molecular weights moved to wanted quantiles, the performance score drawn anew, in one call."""
+    shifts = {"molecular_weight": WANTED, "ecog_performance_score": study.shifts(ROW_KEY)["ecog_performance_score"]}
+    moved = shift_cohort(raw_rows(spark, folder), shifts, F.col("is_drift"))
+    return rounded(moved.select(*ROW_KEY, "is_drift", "molecular_weight", "ecog_performance_score"), {"molecular_weight": 6})

@@ -14,6 +14,16 @@ from cohortloom.operators.lifecycle import (
     status_current,
     threshold_gate,
 )
+from cohortloom.operators.run_state import (
+    add_states,
+    alias_states,
+    aliases_of_states,
+    compact_states,
+    kept_states,
+    merge_status_states,
+    status_of_states,
+    status_states,
+)
 from cohortloom.operators.summaries import (
     accuracy_drop,
     class_balance,
@@ -23,6 +33,7 @@ from cohortloom.operators.summaries import (
     mean_shift,
     version_summary,
 )
+from cohortloom.session import fresh_path
 from cohortloom.sources.tables import fixture
 
 CUT = "2000-01-01 00:00:00"
@@ -248,6 +259,46 @@ def registered_status(spark, folder):
     return status_current(events, "user_id", "event_type", "ts", "event_id", version)
 
 
+@query(
+    "status_incremental",
+    """
+    SELECT user_id, arg_max(event_type, (ts, event_id)) AS status, max(ts) AS changed_at,
+           arg_max(event_id, (ts, event_id)) FILTER (WHERE event_type = 'purchase') AS model_version
+    FROM events GROUP BY user_id
+    """,
+)
+def incremental_status(spark, folder):
+    """Three batches out of order in time, the second twice, the first two compacted; the state is that of all events."""
+    events = fixture(spark, folder, "events", ["user_id", "event_type", "ts", "event_id"])
+    version = F.when(F.col("event_type") == "purchase", F.col("event_id"))
+    batches = [status_states(events.where(F.pmod("event_id", F.lit(3)) == k), "user_id", "event_type", "ts", "event_id", version) for k in (2, 0, 1)]
+    path, compacted = fresh_path(spark, "states"), fresh_path(spark, "states")
+    for number in (0, 1, 1):
+        add_states(batches[number], path, number)
+    compact_states(spark, path, merge_status_states(kept_states(spark, path, batches[0]), "user_id"), 1, compacted)
+    add_states(batches[2], compacted, 2)
+    return status_of_states(kept_states(spark, compacted, batches[0]), "user_id")
+
+
+@query(
+    "alias_incremental",
+    """
+    SELECT o_custkey, arg_min(o_orderkey, (o_orderdate, o_orderkey)) AS champion,
+           arg_min(o_orderkey, (o_orderdate, o_orderkey)) AS baseline,
+           CASE WHEN count(*) > 1 THEN arg_max(o_orderkey, (o_orderdate, o_orderkey)) END AS challenger,
+           CAST(count(*) AS BIGINT) AS versions
+    FROM orders GROUP BY o_custkey
+    """,
+)
+def incremental_aliases(spark, folder):
+    orders = fixture(spark, folder, "orders", ["o_custkey", "o_orderkey", "o_orderdate"])
+    path = fresh_path(spark, "aliases")
+    for number in (0, 1):
+        states = alias_states(orders.where(F.pmod("o_orderkey", F.lit(2)) == 1 - number), "o_custkey", "o_orderkey", "o_orderdate", "o_orderkey")
+        add_states(states, path, number)
+    return aliases_of_states(kept_states(spark, path, states), "o_custkey")
+
+
 @query(
     "notification_record",
     f"""

@@ -69,6 +69,10 @@ def classification_metrics(df: DataFrame, label: str, prediction: str) -> DataFr
     return counts.select(*[value.alias(name) for name, value in metrics.items()])
 
 
+#: Stands for a score in rows that have none, so that they are counted in the same pass.
+UNSCORED = "__unscored"
+
+
 def _ranked(
     df: DataFrame,
     label: str,
@@ -77,17 +81,21 @@ def _ranked(
     ranges: int | None,
     splits: Sequence[float] | None,
 ) -> DataFrame:
-    """Running class counts by score, with further row counts alongside."""
+    """Running class counts by score, with further row counts alongside, those of rows without a score under ``UNSCORED``."""
     if splits is None:
         splits = column_summary(df, [score], ranges=range_count(df, ranges))[score].splits
     classes = {"pos": F.col(label) == 1, "neg": F.col(label) == 0}
-    return running_counts(df, [score], {**classes, **extra}, {score: splits})
+    if not extra:
+        return running_counts(df, [score], classes, {score: splits})
+    rows = df.withColumn(UNSCORED, F.when(finite_or_null(score).isNull(), F.lit(0.0)))
+    return running_counts(rows, [score, UNSCORED], {**classes, **extra}, {score: splits, UNSCORED: []})
 
 
 def _area() -> Column:
-    pos, neg = F.col("pos").cast("double"), F.col("neg").cast("double")
+    scored = F.col("feature") != UNSCORED
+    pos, neg = (F.when(scored, F.col(c)).otherwise(0).cast("double") for c in ("pos", "neg"))
     below = F.col("neg_below").cast("double")
-    pairs = F.sum("pos").cast("double") * F.sum("neg").cast("double")
+    pairs = F.sum(pos) * F.sum(neg)
     return F.try_divide(F.sum(pos * (below + neg / 2)), pairs)
 
 
@@ -133,8 +141,6 @@ def run_record(
     sums = _ranked(scored, label, score, cells, ranges, splits).agg(
         _area().alias("roc_auc"), *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in cells]
     )
-    unranked = scored.where(finite_or_null(score).isNull()).agg(F.struct(*[F.count_if(rule).alias(c) for c, rule in cells.items()])).scalar()
-    sums = sums.select("roc_auc", *[(F.col(c) + unranked[c]).alias(c) for c in cells])
     metrics = _metrics(*[F.col(c) for c in cells])
     return sums.select(
         *[F.lit(value).alias(name) for name, value in constants.items()],

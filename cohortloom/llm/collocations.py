@@ -91,9 +91,13 @@ def _count_words(batches) -> Iterator[pa.RecordBatch]:
 class _Known:
     """What earlier passes found: the frequent words, and per length the frequent pairs of shorter phrases; None where that is too much to send."""
 
-    def __init__(self):
-        self.words: dict[str, pa.Array] | None = {}
-        self.pairs: list[np.ndarray | None] = []
+    def __init__(self, words: dict[str, pa.Array] | None, pairs: list[np.ndarray | None]):
+        self.words = words
+        self.pairs = pairs
+
+    def lasting(self) -> bool:
+        """Whether its numbers mean the same everywhere."""
+        return self.words is not None and all(p is not None for p in self.pairs)
 
     def start(self) -> dict[str, int]:
         """The number of each language's first word."""
@@ -132,64 +136,90 @@ def _word_numbers(pairs: list[np.ndarray], keys: np.ndarray) -> list[np.ndarray]
     return [*_word_numbers(shorter, level[first]), _word_numbers(shorter, level[second])[-1]]
 
 
-def _spelled(words: pa.Array, pairs: list[np.ndarray], keys: np.ndarray) -> pa.Array:
-    return pc.binary_join_element_wise(*(words.take(pa.array(i)) for i in _word_numbers(pairs, keys)), " ")
-
+def _spelled(words: pa.Array, numbers: list[np.ndarray]) -> pa.Array:
+    return pc.binary_join_element_wise(*(words.take(pa.array(i)) for i in numbers), " ")
 
-def _count_phrases(known: _Known):
-    """Counts of the phrases one word longer than ``known`` reaches."""
 
-    def batch_of(lang: str, words: pa.Array, pairs: list[np.ndarray], keys: np.ndarray, counts: np.ndarray, lasting: bool) -> pa.RecordBatch:
-        key = pa.array(keys if lasting else np.full(len(keys), -1), pa.int64())
-        return pa.RecordBatch.from_arrays([pa.array([lang] * len(keys), pa.string()), _spelled(words, pairs, keys), pa.array(counts), key], names=["lang", "phrase", "f", "key"])
+def _indexed(known: _Known, lang: str, block: list[bytes], numbers: dict[str, dict[bytes, int]]) -> tuple[np.ndarray, list[np.ndarray], pa.Array | None]:
+    """Per place of a block the number of the longest phrase length reached that starts there (-1: none), the pairs behind the numbers, and the words."""
+    words = None
+    if known.words is not None:
+        if lang not in numbers:
+            start = known.start().get(lang)
+            numbers[lang] = {} if start is None else {w.encode(): start + i for i, w in enumerate(known.words[lang].to_pylist())}
+        find = numbers[lang].get
+        index = np.array([find(w, -1) for w in block], np.int64)
+    else:
+        here = {w: i for i, w in enumerate(dict.fromkeys(block))}
+        index = np.array([here[w] for w in block], np.int64)
+        if _BREAK in here:
+            index[index == here[_BREAK]] = -1
+        words = pa.array([b"" if w == _BREAK else w for w in here], pa.binary()).cast(pa.string())
+    pairs = []
+    for level in known.pairs:
+        at = _overlapping(index)
+        found = _pair(index, at)
+        level = np.unique(found) if level is None else level
+        index = np.full(len(index), -1, np.int64)
+        index[at] = _places(found, level)
+        pairs.append(level)
+    return index, pairs, words
+
+
+def _count_pairs(known: _Known):
+    """Counts of the phrases one word longer than ``known`` reaches, as pairs of its numbers."""
 
     def run(batches):
-        lasting = known.words is not None and all(p is not None for p in known.pairs)
-        start = known.start() if known.words is not None else {}
         numbers: dict[str, dict[bytes, int]] = {}
-        held: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
-        everything = pa.concat_arrays(list(known.words.values())) if lasting and known.words else None
+        held, n = [], 0
+        for lang, block in _blocks(batches):
+            index, _, _ = _indexed(known, lang, block, numbers)
+            held.append(np.unique(_pair(index, _overlapping(index)), return_counts=True))
+            n += len(held[-1][0])
+            if n > 4 * MOST_HELD:
+                held = [_added(*(np.concatenate(x) for x in zip(*held)))]
+                n = len(held[0][0])
+                if n > 2 * MOST_HELD:
+                    yield _pair_batch(held)
+                    held, n = [], 0
+        if held:
+            yield _pair_batch(held)
+
+    return run
+
+
+def _pair_batch(held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    keys, counts = _added(*(np.concatenate(x) for x in zip(*held)))
+    return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(counts, pa.int64())], names=["key", "f"])
+
 
-        def handed():
-            for lang, parts in held.items():
-                keys, counts = _added(*(np.concatenate(x) for x in zip(*parts)))
-                yield batch_of(lang, everything, known.pairs, keys, counts, True)
-            held.clear()
+def _spell(known: _Known):
+    """Frequent pairs as text, with their language."""
 
+    def run(batches):
+        words = pa.concat_arrays(list(known.words.values()))
+        langs, starts = pa.array(list(known.words), pa.string()), np.array(list(known.start().values()))
+        for batch in batches:
+            keys = batch.column(0).to_numpy()
+            numbers = _word_numbers(known.pairs, keys)
+            lang = langs.take(pa.array(np.searchsorted(starts, numbers[0], side="right") - 1))
+            yield pa.RecordBatch.from_arrays([lang, _spelled(words, numbers), batch.column(1), batch.column(0)], names=["lang", "phrase", "f", "key"])
+
+    return run
+
+
+def _count_spelled(known: _Known):
+    """The same counts where numbers do not last from one block to the next: phrases are told apart by their text."""
+
+    def run(batches):
+        numbers: dict[str, dict[bytes, int]] = {}
+        everything = pa.concat_arrays(list(known.words.values())) if known.words else None
         for lang, block in _blocks(batches):
-            if known.words is not None:
-                if lang not in known.words:
-                    continue
-                if lang not in numbers:
-                    numbers[lang] = {w.encode(): start[lang] + i for i, w in enumerate(known.words[lang].to_pylist())}
-                index = np.array([numbers[lang].get(w, -1) for w in block], np.int64)
-                words = everything if lasting else pa.concat_arrays(list(known.words.values()))
-            else:
-                own = {w: i for i, w in enumerate(dict.fromkeys(block))}
-                index = np.array([own[w] for w in block], np.int64)
-                if _BREAK in own:
-                    index[index == own[_BREAK]] = -1
-                words = pa.array([b"" if w == _BREAK else w for w in own], pa.binary()).cast(pa.string())
-            pairs = []
-            for level in known.pairs:
-                at = _overlapping(index)
-                found = _pair(index, at)
-                level = np.unique(found) if level is None else level
-                index = np.full(len(index), -1, np.int64)
-                index[at] = _places(found, level)
-                pairs.append(level)
+            index, pairs, words = _indexed(known, lang, block, numbers)
             keys, counts = np.unique(_pair(index, _overlapping(index)), return_counts=True)
-            if not len(keys):
-                continue
-            if lasting:
-                held.setdefault(lang, []).append((keys, counts))
-                if sum(len(k) for parts in held.values() for k, _ in parts) > 4 * MOST_HELD:
-                    held = {name: [_added(*(np.concatenate(x) for x in zip(*parts)))] for name, parts in held.items()}
-                    if sum(len(k) for parts in held.values() for k, _ in parts) > MOST_HELD:
-                        yield from handed()
-            else:
-                yield batch_of(lang, words, pairs, keys, counts, False)
-        yield from handed()
+            if len(keys):
+                phrases = _spelled(everything if words is None else words, _word_numbers(pairs, keys))
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(keys), pa.string()), phrases, pa.array(counts)], names=["lang", "phrase", "f"])
 
     return run
 
@@ -202,29 +232,29 @@ def frequent_phrases(docs: DataFrame, least: int, text: str = "text", lang: str
     counted = stored(counted, "words")
     totals = stored(counted.groupBy("lang").agg(F.sum("f").alias("n")), "totals")
     level = counted.where(F.col("f") >= least)
-    known, found = _Known(), [level.select("lang", "phrase", F.lit(1).alias("m"), "f")]
+    found = [level.select("lang", "phrase", F.lit(1).alias("m"), "f")]
     rows, size = level.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("phrase") + 8), F.lit(0))).first()
+    known = _Known(None, [])
     if rows <= MOST_KNOWN and size <= MOST_KNOWN_BYTES:
         words = level.select("lang", "phrase").orderBy("lang", "phrase").toArrow()
         langs = words.column("lang").combine_chunks()
         known.words = {name: words.column("phrase").combine_chunks().cast(pa.string()).filter(pc.equal(langs, name)) for name in langs.unique().to_pylist()}
-    else:
-        known.words = None
     for m in range(2, LONGEST + 1):
         if not rows:
             break
         sent = spark.sparkContext.broadcast(known)
-        counted = texts.mapInArrow(lambda batches, sent=sent: _count_phrases(sent.value)(batches), "lang string, phrase string, f long, key long")
-        # a phrase that was not counted with numbers that last has the key -1 everywhere
-        counted = counted.groupBy("lang", "phrase").agg(F.sum("f").alias("f"), F.max("key").alias("key")).where(F.col("f") >= least)
+        if known.lasting():
+            counted = texts.mapInArrow(lambda batches, sent=sent: _count_pairs(sent.value)(batches), "key long, f long")
+            counted = counted.groupBy("key").agg(F.sum("f").alias("f")).where(F.col("f") >= least)
+            counted = counted.mapInArrow(lambda batches, sent=sent: _spell(sent.value)(batches), "lang string, phrase string, f long, key long")
+        else:
+            counted = texts.mapInArrow(lambda batches, sent=sent: _count_spelled(sent.value)(batches), "lang string, phrase string, f long")
+            counted = counted.groupBy("lang", "phrase").agg(F.sum("f").alias("f")).where(F.col("f") >= least)
         level = stored(counted, f"phrases-{m}")
         found.append(level.select("lang", "phrase", F.lit(m).alias("m"), "f"))
         rows = level.count()
-        lasting = known.words is not None and all(p is not None for p in known.pairs)
-        pairs = level.select("key").orderBy("key").toArrow().column("key").to_numpy() if lasting and rows <= MOST_KNOWN else None
-        known_next = _Known()
-        known_next.words, known_next.pairs = known.words, [*known.pairs, pairs]
-        known = known_next
+        pairs = level.select("key").orderBy("key").toArrow().column("key").to_numpy() if known.lasting() and rows <= MOST_KNOWN else None
+        known = _Known(known.words, [*known.pairs, pairs])
     phrases = found[0]
     for more in found[1:]:
         phrases = phrases.unionByName(more)

@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 
 from cohortloom.llm.text import LOWER, SPACE, mixed, own, utf8
 
+#: Most labels that are broadcast to pick the labelled texts.
+BROADCAST_LABELS = 2_000_000
 #: Partitions of the training sample.
 TRAINING_PARTITIONS = 8
 _MULTIPLIER = np.uint64(0x100000001B3)
@@ -78,15 +80,36 @@ def _vectors(docs: DataFrame, sizes: tuple[int, ...], bits: int) -> DataFrame:
     return docs.select("text", F.col("label").cast("double").alias("label")).mapInArrow(features, "label double, features array<int>")
 
 
+def _gram_counts(rows: DataFrame, sizes: tuple[int, ...], bits: int) -> DataFrame:
+    """``label, feature, n``: the texts of each class that have an n-gram; a task adds up its texts before anything moves."""
+
+    def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros((2, 1 << bits), np.int64)
+        for batch in batches:
+            for start in range(0, batch.num_rows, 256):
+                part = batch.slice(start, 256)
+                data, offsets = utf8(part["text"])
+                pairs = [rows.astype(np.int64) << bits | found for rows, found in gram_features(data, offsets, sizes, bits)]
+                pairs = np.unique(np.concatenate(pairs)) if pairs else np.zeros(0, np.int64)
+                label = part["label"].to_numpy()[pairs >> bits].astype(np.int64)
+                seen += np.bincount(label << bits | (pairs & ((1 << bits) - 1)), minlength=2 << bits).reshape(2, -1)
+        label, feature = np.nonzero(seen)
+        yield pa.RecordBatch.from_arrays([pa.array(label), pa.array(feature), pa.array(seen[label, feature])], ["label", "feature", "n"])
+
+    counted = rows.select("text", F.col("label").cast("long").alias("label")).mapInArrow(counts, "label long, feature long, n long")
+    return counted.groupBy("label", "feature").agg(F.sum("n").alias("n"))
+
+
 def fit_toxicity(
     docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", label: str = "toxic",
     sizes: tuple[int, ...] = (3, 4, 5), bits: int = 18, most_rows: int = 8_000, penalty: float = 0.0005, rounds: int = 80,
 ) -> ToxicityModel:
     """Fit on labelled texts: 0 or 1 in ``label``; others, null ids and repeated labels of an id count once or not at all.
 
-    A bounded sample of about ``most_rows`` labelled rows, half of them of each class where there are
-    enough, is chosen by a hash of the id, so the labels that meet the documents are a proven few and
-    the texts are not shuffled. With one class only, the model gives that class's share everywhere.
+    The log-count ratios come from all labelled texts. The regression is fitted on a bounded sample of about
+    ``most_rows`` labelled rows, half of them of each class where there are enough, chosen by a hash of the id.
+    Labels meet the documents in the scan up to ``BROADCAST_LABELS`` of them, and in a shuffle beyond.
+    With one class only, the model gives that class's share everywhere.
     """
     spark = docs.sparkSession
     marked = labels.select(F.col(doc_id).alias("id"), F.col(label).cast("int").alias("label")).where("id IS NOT NULL AND label IN (0, 1)")
@@ -98,13 +121,14 @@ def fit_toxicity(
     chosen = marked.where(F.pmod(F.xxhash64(F.col("id").cast("string")), F.lit(1_000_000)) < rate * 1_000_000)
     # bounded by most_rows, whatever the input
     few = spark.createDataFrame(chosen.toPandas(), marked.schema)
-    rows = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).where(F.col("text").isNotNull()).join(F.broadcast(few), "id")
-    vectors = _vectors(rows, sizes, bits).persist()
+    known = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).where(F.col("text").isNotNull())
+    every = F.broadcast(marked) if sum(count.values()) <= BROADCAST_LABELS else marked
+    # at most two rows a feature, whatever the input
+    present = _gram_counts(known.join(every, "id"), sizes, bits).toArrow()
+    seen = np.ones((2, 1 << bits))  # add-one smoothing
+    seen[present["label"].to_numpy(), present["feature"].to_numpy()] += present["n"].to_numpy()
+    vectors = _vectors(known.join(F.broadcast(few), "id"), sizes, bits).persist()
     try:
-        present = vectors.select("label", F.explode("features").alias("feature")).groupBy("label", "feature").count().toArrow()
-        seen = np.ones((2, 1 << bits))  # add-one smoothing
-        kind, feature = present["label"].to_numpy().astype(int), present["feature"].to_numpy()
-        seen[kind, feature] += present["count"].to_numpy()
         found = vectors.groupBy("label").count().collect()
         if len(found) < 2:
             return ToxicityModel(sizes, bits, np.zeros(1 << bits), 20.0 if found and found[0]["label"] == 1 else -20.0)

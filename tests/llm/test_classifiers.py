@@ -4,6 +4,7 @@ import itertools
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -96,3 +97,19 @@ def test_toxicity_of_odd_rows(spark):
     assert all(r["score"] < 0.01 for r in score_toxicity(docs, one_class).select("score").collect())
     assert score_toxicity(no_docs(spark), one_class).count() == 0
     assert not fit_toxicity(no_docs(spark), labels).weights.any()
+
+
+def test_ratios_come_from_all_labelled_texts(spark):
+    """Counts of n-grams by class against plain Python, and a sample bound that leaves them as they are."""
+    from cohortloom.llm.text import utf8
+    from cohortloom.llm.toxicity import _gram_counts, gram_features
+
+    texts = [("you fool", 1), ("kind words", 0), ("You  FOOL", 1), ("a", 0), ("", 1), ("words words", 0)] * 3
+    rows = spark.createDataFrame([(t, y) for t, y in texts], "text string, label int").repartition(3)
+    found = {(r.label, r.feature): r.n for r in _gram_counts(rows, (3, 4), 16).collect()}
+    want = {}
+    for t, y in texts:
+        data, offsets = utf8(pa.array([t]))
+        for f in {int(x) for _, g in gram_features(data, offsets, (3, 4), 16) for x in g}:
+            want[y, f] = want.get((y, f), 0) + 1
+    assert found == want

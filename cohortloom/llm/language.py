@@ -188,6 +188,20 @@ class LanguageModel:
     probability: np.ndarray
 
 
+def _sample(docs: DataFrame, text: str, lang: str, doc_id: str, most_docs: int) -> tuple[list[str], DataFrame]:
+    """All languages, and about ``most_docs`` labelled rows, chosen by a hash of the id.
+
+    Each language gets an equal part of the bound, so that a rare one is learned as well as a frequent one.
+    """
+    labelled = docs.select(F.col(text).alias("text"), F.col(lang).alias("lang"), F.xxhash64(F.col(doc_id).cast("string")).alias("h")).where("text IS NOT NULL AND lang IS NOT NULL")
+    counted = labelled.groupBy("lang").count().collect()
+    share = {r["lang"]: min(1.0, most_docs / len(counted) / r["count"]) for r in counted}
+    if not share:
+        return [], labelled.select("text", "lang")
+    rate = F.create_map(*[F.lit(x) for pair in share.items() for x in pair])[F.col("lang")]
+    return sorted(share), labelled.where(F.pmod("h", F.lit(1_000_000)) < rate * 1_000_000).select("text", "lang")
+
+
 def fit_languages(
     docs: DataFrame, vocabulary: list[str], text: str = "text", lang: str = "lang", doc_id: str = "doc_id",
     most_docs: int = 12_000, rounds: int = 2, smoothing: float = 0.05,
@@ -198,15 +212,9 @@ def fit_languages(
     vocabulary bounds what reaches the driver: one number for each language and piece. Without any
     such row the model knows no language.
     """
-    labelled = docs.select(F.col(text).alias("text"), F.col(lang).alias("lang"), F.xxhash64(F.col(doc_id).cast("string")).alias("h")).where("text IS NOT NULL AND lang IS NOT NULL")
-    counted = labelled.groupBy("lang").count().collect()
-    languages = sorted(r["lang"] for r in counted)
+    languages, sample = _sample(docs, text, lang, doc_id, most_docs)
     if not languages:
         return LanguageModel([], vocabulary, np.zeros((0, len(vocabulary) + 1)))
-    # each language gets an equal part of the bound, so that a rare one is learned as well as a frequent one
-    share = {r["lang"]: min(1.0, most_docs / len(languages) / r["count"]) for r in counted}
-    rate = F.create_map(*[F.lit(x) for pair in share.items() for x in pair])[F.col("lang")]
-    sample = labelled.where(F.pmod("h", F.lit(1_000_000)) < rate * 1_000_000).select("text", "lang")
     probability = np.full((len(languages), len(vocabulary) + 1), 1.0 / (len(vocabulary) + 1))
     for _ in range(rounds):
         shared = docs.sparkSession.sparkContext.broadcast((vocabulary, languages, probability))
@@ -234,9 +242,10 @@ def fit_languages(
 
 
 def predict_language(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:
-    """All columns of ``docs`` as the struct ``row``, with ``lang_pred`` and ``score``.
+    """All columns of ``docs`` as the struct ``row``, with ``lang_pred``, ``score`` and ``per_char``.
 
-    ``score`` is the posterior of the predicted language, all languages being equally likely before.
+    ``per_char`` is the logarithm of the text's probability in that language, for each character and word start of
+    its words without digits; NULL where there are none. ``score`` is the posterior of the predicted language, all languages being equally likely before.
     A text that is null or has no letter, and any text under a model without languages, gets ``und``
     and 0. Ties go to the first language by name. Texts are read whole; rows are not moved.
     """
@@ -254,7 +263,7 @@ def predict_language(docs: DataFrame, model: LanguageModel, text: str = "text")
                 batch = whole.slice(start, 1024)
                 texts = batch[answer]
                 has = texts.is_valid().to_numpy(zero_copy_only=False)
-                best, top = np.full(len(texts), UNDECIDED, object), np.zeros(len(texts))
+                best, top, each = np.full(len(texts), UNDECIDED, object), np.zeros(len(texts)), np.full(len(texts), np.nan)
                 if languages and has.any():
                     distinct, numbers, rows = _words(texts)
                     by_word = word_scores(distinct.to_pylist(), pieces, probability)
@@ -264,7 +273,41 @@ def predict_language(docs: DataFrame, model: LanguageModel, text: str = "text")
                     choice = likely.argmax(axis=1)
                     best[has] = np.array(languages, object)[choice][has]
                     top[has] = likely[np.arange(len(texts)), choice][has]
-                yield pa.RecordBatch.from_arrays([batch[key], pa.array(best, pa.string()), pa.array(top)], ["row", "lang_pred", "score"])
+                    # numbers, addresses and keys say nothing about the language
+                    plain = ~pc.match_substring_regex(distinct, "[0-9@]").to_numpy(zero_copy_only=False)[numbers]
+                    numbers, rows = numbers[plain], rows[plain]
+                    totals = np.stack([np.bincount(rows, by_word[numbers, i], minlength=len(texts)) for i in range(len(languages))], axis=1)
+                    chars = pc.utf8_length(distinct).to_numpy(zero_copy_only=False) + 1.0
+                    with np.errstate(invalid="ignore"):
+                        each[has] = (totals[np.arange(len(texts)), choice] / np.bincount(rows, chars[numbers], minlength=len(texts)))[has]
+                yield pa.RecordBatch.from_arrays([batch[key], pa.array(best, pa.string()), pa.array(top), pa.array(each, from_pandas=True)], ["row", "lang_pred", "score", "per_char"])
 
     row = schema[len(f"struct<{key}:") :].rsplit(f",{answer}:", 1)[0]
-    return given.mapInArrow(score, f"row {row}, lang_pred string, score double")
+    return given.mapInArrow(score, f"row {row}, lang_pred string, score double, per_char double")
+
+
+def known_languages(
+    docs: DataFrame, vocabulary: list[str], least_score: float = 0.35, leeway: float = 4.0, least_spread: float = 0.3,
+    text: str = "text", lang: str = "lang", doc_id: str = "doc_id", most_docs: int = 12_000,
+) -> DataFrame:
+    """The rows of ``docs`` in one of the languages that its labels teach, with all their columns.
+
+    A row goes if its text is null or has no letter, if no language is clearly likelier than the others (``least_score``), or
+    if even the likeliest one explains its characters far worse than it does its own texts. That limit lies, for each language,
+    ``leeway`` times as far below the median of ``per_char`` as the lowest hundredth of its labelled texts (or ``least_spread``, if
+    that is more), so a language that no label teaches goes, and so do random letters. The
+    medians come from the bounded sample that the model is fitted on. Repeated rows each stay or go alike; without labels, and of an
+    empty table, nothing stays; columns named like the results are kept as they are.
+    """
+    model = fit_languages(docs, vocabulary, text, lang, doc_id, most_docs)
+    _, sample = _sample(docs, text, lang, doc_id, most_docs)
+    told = predict_language(sample, model).where(F.col("lang_pred") == F.col("row.lang"))
+    typical = told.groupBy("lang_pred").agg(F.percentile_approx("per_char", 0.5, 10_000).alias("middle"), F.percentile_approx("per_char", 0.01, 10_000).alias("low")).collect()
+    limit = F.lit(float("-inf"))
+    for r in typical:  # one row a language
+        if r["middle"] is not None:
+            lowest = r["middle"] - leeway * max(r["middle"] - r["low"], least_spread)
+            limit = F.when(F.col("lang_pred") == r["lang_pred"], F.lit(lowest)).otherwise(limit)
+    predicted = predict_language(docs, model, text)
+    explained = F.coalesce(F.col("per_char") >= limit, F.lit(True))
+    return predicted.where((F.col("lang_pred") != UNDECIDED) & (F.col("score") >= least_score) & explained).select("row.*")

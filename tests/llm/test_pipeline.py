@@ -4,7 +4,7 @@ import corpus_pipeline
 from cohortloom.llm.neardup import near_duplicates
 from cohortloom.llm.queries import ORACLES, QUERIES
 from cohortloom.llm.text import stored
-from cases import FOLDER, odd_docs
+from cases import FOLDER, no_docs, odd_docs
 
 
 def test_stages_one_after_another(spark):
@@ -27,7 +27,7 @@ def test_stages_one_after_another(spark):
 
 def test_run_is_the_registered_query(spark):
     assert QUERIES["pipeline"] is corpus_pipeline.run and "pipeline" not in ORACLES
-    assert [n for n in QUERIES if n.startswith("op")] and {f"op{i}" for i in range(1, 11)} == {n.split("_")[0] for n in QUERIES if n.startswith("op")}
+    assert [n for n in QUERIES if n.startswith("op")] and {f"op{i}" for i in range(1, 14)} == {n.split("_")[0] for n in QUERIES if n.startswith("op")}
 
 
 def test_odd_rows_go_through_all_stages(spark):
@@ -35,3 +35,28 @@ def test_odd_rows_go_through_all_stages(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = stored(stage(spark, docs, FOLDER), "odd-stage")
     assert docs.columns == odd_docs(spark).columns
+
+
+def test_an_empty_table_goes_through_all_stages(spark):
+    docs = no_docs(spark)
+    for _, stage in corpus_pipeline.STAGES:
+        docs = stored(stage(spark, docs, FOLDER), "empty-stage")
+        assert docs.count() == 0 and docs.columns == no_docs(spark).columns
+
+
+FOREIGN = {
+    "hu": "A kormány szerdai ülésén döntött arról hogy a következő évben emelik a nyugdíjakat és a családi pótlékot is növelik amit a gyermekes családok már régóta vártak",
+    "ja": "東京都は水曜日に新しい政策を発表しました。来年から公共交通機関の料金が引き下げられる予定です。多くの市民が歓迎しています",
+    "ru": "Правительство в среду приняло решение о повышении пенсий и детских пособий в следующем году чего семьи с детьми ждали уже давно",
+    "junk": "xqvzk wjqhx pzzkr vxwqj kqzxv jwhqz zkxvr qwpzx hvkqj xzwrq kvjxz qphzw zxkvq wjrqx vzkhp qxjwz",
+}
+
+
+def test_what_no_label_teaches_is_rejected_and_clean_texts_stay(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    odd = spark.createDataFrame([(-1 - i, text, None, "odd", len(text)) for i, text in enumerate(FOREIGN.values())], docs.schema)
+    kept = corpus_pipeline.language(spark, docs.unionByName(odd), "").select("doc_id")
+    assert kept.where("doc_id < 0").isEmpty()
+    lettered = docs.where(docs["text"].rlike(r"\p{L}{2,}.*\p{L}{2,}") & docs["lang"].isNotNull())
+    lost = lettered.join(kept, "doc_id", "left_anti").count()
+    assert lost <= 0.005 * lettered.count()

@@ -23,12 +23,11 @@ SHINGLE = 5
 K = 32
 #: Similarity as a fraction of whole numbers: 100 * shared >= PERCENT * all.
 PERCENT = 75
-#: Two sketches of k = 32 hold at least so many common values, at similarity 0.75, but once in 25 million pairs.
-COMMON = 11
+#: Two sketches of k = 32 hold at least so many common values, at similarity 0.75, but once in 239 million pairs
+#: (of 32 draws that are common with probability 0.75, fewer than 9 are).
+COMMON = 9
 #: The union's sketch must hold so many common values of k = 32, which fails as rarely.
-ESTIMATE = 11
-#: A list of more members than this is replaced by the lists of its members' whole sets.
-LONG_LIST = 64
+ESTIMATE = 9
 #: Most ids that are broadcast to pick the texts of candidates; beyond, ids and texts meet in a shuffle.
 BROADCAST_IDS = 500_000
 
@@ -114,14 +113,18 @@ def listings(sketched: DataFrame) -> DataFrame:
 
 
 def _rarest(held: DataFrame) -> DataFrame:
-    """Of each id's n values, all but the ``needed`` - 1 that the most ids hold, and those that no other holds."""
+    """Of each id's n values, all but the ``needed`` - 1 that the most ids hold, and those that no other holds.
+
+    ``place`` counts an id's values that others hold, from the one that the most hold: from a value on,
+    the id has so many left that it can share.
+    """
     often = held.groupBy("value").agg(F.count("*").alias("often")).where("often > 1")
     own_values = Window.partitionBy("id")
     from_most = own_values.orderBy(F.col("often").desc(), F.col("value").desc())
     placed = held.join(often, "value").select(
-        "value", "id", "needed", F.row_number().over(from_most).alias("place"), (F.count("*").over(own_values) / F.col("n")).alias("weight")
+        "value", "id", "n", "needed", F.row_number().over(from_most).alias("place"), (F.count("*").over(own_values) / F.col("n")).alias("weight")
     )
-    return placed.where("place >= needed").select("value", "id", "weight")
+    return placed.where("place >= needed").select("value", "id", "weight", "n", "place")
 
 
 def _estimated(pairs: DataFrame, sketched: DataFrame) -> DataFrame:
@@ -157,24 +160,6 @@ def _texts_of(ids: DataFrame, docs: DataFrame) -> DataFrame:
     return docs.join(F.broadcast(ids) if few else ids, "id", "left_semi")
 
 
-def all_listings(sketched: DataFrame, docs: DataFrame) -> DataFrame:
-    """``value, id, weight``: the lists of ``listings``, with the long ones replaced by lists over whole sets.
-
-    A sketch is a sample, so it can leave out frequent values only up to a third of it, and documents
-    that share a frequent passage can still meet in long lists. What similar documents share is three
-    quarters of the larger set at least; so the members of long lists are listed again by all but the
-    ceil(0.75 n) - 1 most frequent hashes of their whole sets, which is exact, and a passage's hashes
-    are left out unless it makes up that share of the document. Every similar pair of a long list meets there.
-    """
-    lists = stored(listings(sketched), "sketch-lists")
-    long = lists.groupBy("value").agg(F.count("*").alias("size")).where(F.col("size") > LONG_LIST).select("value")
-    ids = stored(lists.join(long, "value", "left_semi").select("id").distinct(), "long-list-ids")
-    sets = stored(full_sets(_texts_of(ids, docs)).dropDuplicates(["id"]), "long-list-sets")
-    size = F.size("shingles")
-    exact = _rarest(sets.select("id", size.alias("n"), F.ceil(size * PERCENT / 100.0).cast("int").alias("needed"), F.explode("shingles").alias("value")))
-    return stored(lists.join(long, "value", "left_anti").unionByName(exact), "lists")
-
-
 def _stars(lists: DataFrame) -> DataFrame:
     """Pairs ``a, b``: every member of a list with its hub, the member with the least that it holds alone.
 
@@ -185,28 +170,68 @@ def _stars(lists: DataFrame) -> DataFrame:
     return paired.select(F.least("hub", "id").alias("a"), F.greatest("hub", "id").alias("b")).distinct()
 
 
+def _placed(lists: DataFrame, found: DataFrame) -> DataFrame:
+    """The members of lists that more than one component meets in, each with its component ``c``."""
+    known = lists.join(found.withColumnRenamed("node", "id"), "id", "left").withColumn("c", F.coalesce("component", "id")).drop("component")
+    known = stored(known, "placed-lists")
+    several = known.groupBy("value").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("value")
+    return known.join(several, "value", "left_semi")
+
+
+def _can_share(place_a: str, place_b: str) -> Column:
+    """Whether two sets can share enough from the value on in which they meet.
+
+    If it is the rarest value they share, all they share is from there on, and similar sets share 3/7 of the sum
+    of their sizes. A pair that shares a rarer value has met there.
+    """
+    all_of, needed = 100 + PERCENT, PERCENT
+    return F.least(place_a, place_b) * all_of >= (F.col("n_a") + F.col("n_b")) * needed
+
+
+def _across(open_lists: DataFrame) -> DataFrame:
+    """Pairs ``a, b`` of different components that meet in a list over whole sets and can be similar."""
+    left, right = (open_lists.select("value", *[F.col(c).alias(f"{c}_{side}") for c in ("id", "c", "n", "place")]) for side in "ab")
+    fits = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * PERCENT
+    met = left.join(right, (left["value"] == right["value"]) & (F.col("c_a") < F.col("c_b")) & fits & _can_share("place_a", "place_b"))
+    return met.select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b")).distinct()
+
+
+def _around_second_hubs(open_lists: DataFrame) -> DataFrame:
+    """Pairs ``a, b`` of a list's members with its best member outside the component of the best of all, where they can be similar."""
+    best = F.max(F.struct("weight", (-F.col("id")).alias("id"), "c", "n", "place"))
+    first = open_lists.groupBy("value").agg(best.alias("first")).select("value", F.col("first.c").alias("first_c"))
+    others = open_lists.join(first, "value").where("c <> first_c")
+    hubs = others.groupBy("value").agg(best.alias("hub"))
+    hubs = hubs.select("value", (-F.col("hub.id")).alias("hub"), F.col("hub.c").alias("c_b"), F.col("hub.n").alias("n_b"), F.col("hub.place").alias("place_b"))
+    met = others.withColumnRenamed("n", "n_a").join(hubs, "value").where("c <> c_b")
+    fits = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * PERCENT
+    return met.where(fits & _can_share("place", "place_b")).select(F.least("hub", "id").alias("a"), F.greatest("hub", "id").alias("b")).distinct()
+
+
 def similar_links(sketched: DataFrame, docs: DataFrame) -> DataFrame:
     """Links ``a, b`` that connect what is similar, as all similar pairs would.
 
-    First every list compares its members with its hub only. Members that this connects need no
-    further comparison with each other, so only pairs of a list that are in different components
-    are compared in the second step: all of them whose sizes and sketches allow it.
+    First every list of the sketches compares its members with its hub only. Members that this connects need no
+    further comparison. Those of lists that still hold more than one component are listed again by
+    their whole sets: all but the ceil(0.75 n) - 1 most frequent of the hashes that another holds, in which
+    every similar pair meets. There a second hub, outside the first one's component, is compared; what is left are
+    pairs of different components, and only those are compared that have enough left to share from where they
+    meet and whose sizes allow it. These bounds are exact. In a group of edited copies they rule out nearly all pairs
+    that the hubs do not connect.
     """
-    lists = all_listings(sketched, docs)
+    lists = stored(listings(sketched), "sketch-lists")
     tried = stored(_estimated(_stars(lists), sketched), "pairs")
     links = stored(_confirmed(tried, docs), "near-links")
-    placed = lists.join(components(links).withColumnRenamed("node", "id"), "id", "left").select("value", "id", F.coalesce("component", "id").alias("c"))
-    placed = stored(placed, "placed-lists")
-    mixed_lists = placed.groupBy("value").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("value")
-    open_lists = placed.join(mixed_lists, "value", "left_semi")
-    full = open_lists.join(sketched.select("id", "n", "sketch"), "id")
-    left, right = (full.select("value", *[F.col(c).alias(f"{c}_{side}") for c in ("id", "c", "n", "sketch")]) for side in "ab")
-    fits = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * PERCENT
-    near = F.size(F.array_intersect("sketch_a", "sketch_b")) >= F.greatest(_needed(F.col("n_a")), _needed(F.col("n_b")))
-    cross = left.join(right, (left["value"] == right["value"]) & (F.col("c_a") < F.col("c_b")) & fits & near)
-    pairs = cross.select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b")).distinct()
-    rest = stored(_estimated(pairs.join(tried, ["a", "b"], "left_anti"), sketched), "pairs")
-    return links.unionByName(_confirmed(rest, docs))
+    ids = stored(_placed(lists, components(links)).select("id").distinct(), "open-ids")
+    sets = stored(full_sets(_texts_of(ids, docs)).dropDuplicates(["id"]), "open-sets")
+    size = F.size("shingles")
+    exact = stored(_rarest(sets.select("id", size.alias("n"), F.ceil(size * PERCENT / 100.0).cast("int").alias("needed"), F.explode("shingles").alias("value"))), "lists")
+    for pairs_of in (_around_second_hubs, _across):
+        pairs = stored(pairs_of(_placed(exact, components(links))).join(tried, ["a", "b"], "left_anti"), "pairs")
+        if not pairs.isEmpty():
+            links = stored(links.unionByName(_confirmed(pairs, docs)), "near-links")
+            tried = tried.unionByName(pairs)
+    return links
 
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:

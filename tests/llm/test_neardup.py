@@ -98,3 +98,48 @@ def test_odd_rows(spark):
     kept = [r["doc_id"] for r in out.collect()]
     assert sorted(x for x in kept if x is not None) == [0, 1, 2, 3, 4, 5, 7, 9, 10, 11, 12] and kept.count(None) == 1
     assert keep_one(no_docs(spark)).count() == 0
+
+
+def test_copies_far_from_the_hub(spark):
+    """A large group of copies whose edits take many of them out of the hub's reach, and a second family beside it."""
+    rng = random.Random(6)
+    base = [f"w{i}" for i in range(90)]
+    rows = [" ".join(base)]
+    for _ in range(400):
+        words = list(base)
+        for _ in range(rng.choice([1, 1, 2, 3])):
+            words[rng.randrange(90)] = f"e{rng.randrange(10**6)}"
+        rows.append(" ".join(words))
+    second = base[:50] + [f"v{i}" for i in range(40)]
+    rows += [" ".join([*second[:k], f"x{k}", *second[k + 1 :]]) for k in range(60)]
+    rows = list(enumerate(rows))
+    found = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found} == brute(rows)
+
+
+def test_pairs_that_only_whole_sets_tell_apart_are_few(spark, monkeypatch):
+    """Of a group's members that the hubs do not connect, hardly a pair is compared."""
+    from cohortloom.llm import neardup
+
+    rng = random.Random(7)
+    base = [f"w{i}" for i in range(60)]
+    rows = []
+    for _ in range(500):
+        words = list(base)
+        for _ in range(3):
+            words[rng.randrange(60)] = f"e{rng.randrange(10**6)}"
+        rows.append(" ".join(words))
+    seen = []
+    kept = neardup._across
+
+    def watched(lists):
+        pairs = kept(lists)
+        seen.append(pairs.count())
+        return pairs
+
+    monkeypatch.setattr(neardup, "_across", watched)
+    rows = list(enumerate(rows))
+    found = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    want = brute(rows)
+    assert {r["doc_id"]: r["component_id"] for r in found} == {i: c for i, (_, c) in want.items()}
+    assert seen[0] < 5 * len(rows)

@@ -30,6 +30,7 @@ from cohortloom.functions.numeric import real_or_null
 from cohortloom.operators.ordered import running_counts_by
 from cohortloom.operators.sampling import exact_sample, key_place
 from cohortloom.session import fresh_path
+from cohortloom.sources.published import remove_folder
 
 BLOCK_ROWS = 32_768
 REFRESH = 8
@@ -284,7 +285,7 @@ def fit_trees(
         raise ValueError("at most 254 bins")
     limits = split_limits(rows, features, settings.bins, key, settings.limit_rows) if limits is None else [np.asarray(x, float) for x in limits]
     missing = np.array([len(x) + 1 for x in limits], np.int64)
-    blocks = _kept(_laid_out(rows, features, label, weight, key, limits, settings.seed, partitions), spark)
+    blocks, path = _kept(_laid_out(rows, features, label, weight, key, limits, settings.seed, partitions), spark)
     total = blocks.mapInArrow(lambda batches: (pa.RecordBatch.from_arrays([pa.array([b.w.sum() for b in _blocks(iter([x]), len(missing))], pa.float64())], names=["w"]) for x in batches), "w double").agg(F.sum("w")).first()[0]
     scale = 2.0 ** (SUM_BITS - 1 - int(np.ceil(np.log2(max(total or 0.0, 1.0)))))
     scale = min(scale, 2.0**40)
@@ -298,18 +299,23 @@ def fit_trees(
         model.trees.append(tree)
         since.append(tree)
         if len(since) == REFRESH and number + 1 < settings.trees:
-            fresh = _kept(_with_margins(blocks, since, missing), spark)
-            blocks.unpersist()
-            blocks, since = fresh, []
-    blocks.unpersist()
+            fresh, fresh_at = _kept(_with_margins(blocks, since, missing), spark)
+            _dropped(blocks, path)
+            blocks, path, since = fresh, fresh_at, []
+    _dropped(blocks, path)
     return model
 
 
-def _kept(blocks: DataFrame, spark: SparkSession) -> DataFrame:
+def _kept(blocks: DataFrame, spark: SparkSession) -> tuple[DataFrame, str]:
     """Written to the shared folder, so that nothing is lost with an executor; read from memory where it is still there."""
     path = fresh_path(spark, "tree-rows")
     blocks.write.parquet(path)
-    return spark.read.schema(blocks.schema).parquet(path).persist(StorageLevel.MEMORY_AND_DISK)
+    return spark.read.schema(blocks.schema).parquet(path).persist(StorageLevel.MEMORY_AND_DISK), path
+
+
+def _dropped(blocks: DataFrame, path: str) -> None:
+    blocks.unpersist()
+    remove_folder(blocks.sparkSession, path)
 
 
 def _grown(blocks: DataFrame, since: list[Tree], number: int, chosen: list[int], limits: list[np.ndarray], missing: np.ndarray, settings: TreeSettings, scale: float, tasks: int) -> Tree:

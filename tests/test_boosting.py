@@ -2,6 +2,7 @@
 
 import math
 import random
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -23,6 +24,7 @@ from cohortloom.operators.boosting import (
 )
 from cohortloom.operators.evaluation import roc_auc
 from cohortloom.operators.sampling import exact_sample
+from cohortloom.session import shared_folder
 
 NAMES = ["a", "b", "c"]
 
@@ -101,10 +103,13 @@ SMALL = TreeSettings(trees=25, depth=3, learning_rate=0.3)
 
 def test_a_fit_does_not_depend_on_how_rows_are_dealt_out(spark):
     _, frame = made_rows(spark)
+    folder = Path(f"{shared_folder(spark).removeprefix('file:')}/cohortloom")
+    before = set(folder.glob("tree-rows-*"))
     one = fit_trees(frame, NAMES, "y", ["id"], "w", SMALL, partitions=1)
     other = fit_trees(frame.orderBy(F.rand(5)), NAMES, "y", ["id"], "w", SMALL, partitions=7)
     for x, y in zip(one.trees, other.trees, strict=True):
         assert np.array_equal(x.feature, y.feature) and np.array_equal(x.limit, y.limit) and np.array_equal(x.value, y.value)
+    assert set(folder.glob("tree-rows-*")) == before  # what a fit wrote is gone
 
 
 def test_saved_trees_score_the_same_and_their_gains_are_the_importances(spark):

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortloom.llm.components import components
+from cohortloom.llm.components import components, joined
 from cohortloom.llm.text import LOWER, mixed, own, span_hashes, stored, utf8, word_spans
 
 SHINGLE = 5
@@ -208,8 +208,8 @@ def _around_second_hubs(open_lists: DataFrame) -> DataFrame:
     return met.where(fits & _can_share("place", "place_b")).select(F.least("hub", "id").alias("a"), F.greatest("hub", "id").alias("b")).distinct()
 
 
-def similar_links(sketched: DataFrame, docs: DataFrame) -> DataFrame:
-    """Links ``a, b`` that connect what is similar, as all similar pairs would.
+def similar_components(sketched: DataFrame, docs: DataFrame) -> DataFrame:
+    """``node, component`` of what similar pairs connect; what is similar to nothing has no row.
 
     First every list of the sketches compares its members with its hub only. Members that this connects need no
     further comparison. Those of lists that still hold more than one component are listed again by
@@ -221,17 +221,18 @@ def similar_links(sketched: DataFrame, docs: DataFrame) -> DataFrame:
     """
     lists = stored(listings(sketched), "sketch-lists")
     tried = stored(_estimated(_stars(lists), sketched), "pairs")
-    links = stored(_confirmed(tried, docs), "near-links")
-    ids = stored(_placed(lists, components(links)).select("id").distinct(), "open-ids")
+    found = stored(components(stored(_confirmed(tried, docs), "near-links")), "components")
+    ids = stored(_placed(lists, found).select("id").distinct(), "open-ids")
     sets = stored(full_sets(_texts_of(ids, docs)).dropDuplicates(["id"]), "open-sets")
     size = F.size("shingles")
     exact = stored(_rarest(sets.select("id", size.alias("n"), F.ceil(size * PERCENT / 100.0).cast("int").alias("needed"), F.explode("shingles").alias("value"))), "lists")
     for pairs_of in (_around_second_hubs, _across):
-        pairs = stored(pairs_of(_placed(exact, components(links))).join(tried, ["a", "b"], "left_anti"), "pairs")
-        if not pairs.isEmpty():
-            links = stored(links.unionByName(_confirmed(pairs, docs)), "near-links")
-            tried = tried.unionByName(pairs)
-    return links
+        pairs = stored(pairs_of(_placed(exact, found)).join(tried, ["a", "b"], "left_anti"), "pairs")
+        links = stored(_confirmed(pairs, docs), "near-links") if pairs.count() else pairs
+        if links.count():
+            found = stored(joined(found, links), "components")
+        tried = tried.unionByName(pairs)
+    return found
 
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
@@ -248,7 +249,7 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
     classes = some.groupBy("n", "sign", "sign2").agg(F.min("id").alias("class"))
     member = stored(some.select("id", "n", "sign", "sign2").join(classes, ["n", "sign", "sign2"]).select("id", "class"), "classes")
     heads = stored(sketched.join(member.where("id = class").select("id"), "id", "left_semi").dropDuplicates(["id"]).select("id", "n", "sketch"), "class-sketches")
-    found = components(similar_links(heads, known.where("id IS NOT NULL")))
+    found = similar_components(heads, known.where("id IS NOT NULL"))
     lead = member.join(found.withColumnRenamed("node", "class"), "class", "left").groupBy("id").agg(F.min(F.coalesce("component", "class")).alias("component"))
     mark = own("id")
     out = sketched.select("id", "n").join(lead.withColumnRenamed("id", mark), F.col("id") == F.col(mark), "left")

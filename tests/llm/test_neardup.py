@@ -7,7 +7,7 @@ import pyarrow as pa
 import pytest
 
 from check_oracles import connect, differences
-from cohortloom.llm.components import components
+from cohortloom.llm.components import components, joined
 from cohortloom.llm.neardup import keep_one, near_duplicates, shingle_sets
 from cohortloom.llm.registry import ORACLES
 from cases import FOLDER, no_docs, odd_docs
@@ -80,6 +80,16 @@ def test_chains_and_stars_of_links(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_links_added_to_components(spark):
+    rng = random.Random(9)
+    links = [(rng.randrange(80), rng.randrange(80)) for _ in range(50)]
+    frame = lambda x: spark.createDataFrame(x, "a long, b long")
+    want = {r["node"]: r["component"] for r in components(frame(links)).collect()}
+    got = {r["node"]: r["component"] for r in joined(components(frame(links[:30])), frame(links[30:])).collect()}
+    assert got == want
+    assert joined(components(frame([])), frame([])).count() == 0
+
+
 def test_whole_table_against_sql(spark):
     sql = ORACLES["op6_near_duplicates"] if "op6_near_duplicates" in ORACLES else None
     from cohortloom.llm import queries_neardup

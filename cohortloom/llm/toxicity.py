@@ -81,7 +81,7 @@ def _vectors(docs: DataFrame, sizes: tuple[int, ...], bits: int) -> DataFrame:
 
 
 def _gram_counts(rows: DataFrame, sizes: tuple[int, ...], bits: int) -> DataFrame:
-    """``label, feature, n``: the texts of each class that have an n-gram; a task adds up its texts before anything moves."""
+    """``feature, n0, n1``: the texts of each class that have an n-gram; a task adds up its texts before anything moves."""
 
     def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros((2, 1 << bits), np.int64)
@@ -93,11 +93,11 @@ def _gram_counts(rows: DataFrame, sizes: tuple[int, ...], bits: int) -> DataFram
                 pairs = np.unique(np.concatenate(pairs)) if pairs else np.zeros(0, np.int64)
                 label = part["label"].to_numpy()[pairs >> bits].astype(np.int64)
                 seen += np.bincount(label << bits | (pairs & ((1 << bits) - 1)), minlength=2 << bits).reshape(2, -1)
-        label, feature = np.nonzero(seen)
-        yield pa.RecordBatch.from_arrays([pa.array(label), pa.array(feature), pa.array(seen[label, feature])], ["label", "feature", "n"])
+        feature = np.flatnonzero(seen.any(axis=0))
+        yield pa.RecordBatch.from_arrays([pa.array(feature.astype(np.int32)), *(pa.array(n[feature]) for n in seen)], ["feature", "n0", "n1"])
 
-    counted = rows.select("text", F.col("label").cast("long").alias("label")).mapInArrow(counts, "label long, feature long, n long")
-    return counted.groupBy("label", "feature").agg(F.sum("n").alias("n"))
+    counted = rows.select("text", F.col("label").cast("long").alias("label")).mapInArrow(counts, "feature int, n0 long, n1 long")
+    return counted.groupBy("feature").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
 
 
 def fit_toxicity(
@@ -120,13 +120,14 @@ def fit_toxicity(
     rate = F.when(F.col("label") == 1, min(1.0, most_rows / 2 / count[1])).otherwise(min(1.0, most_rows / 2 / count[0]))
     chosen = marked.where(F.pmod(F.xxhash64(F.col("id").cast("string")), F.lit(1_000_000)) < rate * 1_000_000)
     # bounded by most_rows, whatever the input
-    few = spark.createDataFrame(chosen.toPandas(), marked.schema)
+    few = spark.createDataFrame(chosen.toArrow(), marked.schema)
     known = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).where(F.col("text").isNotNull())
     every = F.broadcast(marked) if sum(count.values()) <= BROADCAST_LABELS else marked
-    # at most two rows a feature, whatever the input
+    # at most a row a feature, whatever the input
     present = _gram_counts(known.join(every, "id"), sizes, bits).toArrow()
     seen = np.ones((2, 1 << bits))  # add-one smoothing
-    seen[present["label"].to_numpy(), present["feature"].to_numpy()] += present["n"].to_numpy()
+    seen[:, present["feature"].to_numpy()] += np.stack([present["n0"].to_numpy(), present["n1"].to_numpy()])
+    del present
     vectors = _vectors(known.join(F.broadcast(few), "id"), sizes, bits).persist()
     try:
         found = vectors.groupBy("label").count().collect()

@@ -106,7 +106,7 @@ def test_ratios_come_from_all_labelled_texts(spark):
 
     texts = [("you fool", 1), ("kind words", 0), ("You  FOOL", 1), ("a", 0), ("", 1), ("words words", 0)] * 3
     rows = spark.createDataFrame([(t, y) for t, y in texts], "text string, label int").repartition(3)
-    found = {(r.label, r.feature): r.n for r in _gram_counts(rows, (3, 4), 16).collect()}
+    found = {(y, r.feature): n for r in _gram_counts(rows, (3, 4), 16).collect() for y, n in ((0, r.n0), (1, r.n1)) if n}
     want = {}
     for t, y in texts:
         data, offsets = utf8(pa.array([t]))

@@ -134,11 +134,16 @@ def fit_toxicity(
         if len(found) < 2:
             return ToxicityModel(sizes, bits, np.zeros(1 << bits), 20.0 if found and found[0]["label"] == 1 else -20.0)
         ratio = np.log(seen[1] / seen[1].sum()) - np.log(seen[0] / seen[0].sum())
-        shared = spark.sparkContext.broadcast(ratio)
+        # what no text of the sample has keeps the weight 0, so it needs no place in the gradients
+        used = np.sort(vectors.select(F.explode("features").alias("feature")).distinct().toArrow()["feature"].to_numpy())
+        place = np.zeros(1 << bits, np.int32)
+        place[used] = np.arange(len(used), dtype=np.int32)
+        size, shared = max(1, len(used)), spark.sparkContext.broadcast((place, ratio))
 
         @F.udf(VectorUDT())
         def scaled(features: list[int]) -> SparseVector:
-            return Vectors.sparse(len(shared.value), features, shared.value[features])
+            place, ratio = shared.value
+            return Vectors.sparse(size, place[features], ratio[features])
 
         weight = F.when(F.col("label") == 1, 1.0 / max(1, [r["count"] for r in found if r["label"] == 1][0])).otherwise(1.0 / max(1, [r["count"] for r in found if r["label"] == 0][0]))
         training = vectors.select("label", scaled("features").alias("features"), (weight * sum(r["count"] for r in found) / 2).alias("weight"))
@@ -147,7 +152,9 @@ def fit_toxicity(
         fitted = learner.fit(training)
     finally:
         vectors.unpersist()
-    return ToxicityModel(sizes, bits, fitted.coefficients.toArray() * ratio, float(fitted.intercept))
+    weights = np.zeros(1 << bits)
+    weights[used] = fitted.coefficients.toArray()[: len(used)] * ratio[used]
+    return ToxicityModel(sizes, bits, weights, float(fitted.intercept))
 
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel, text: str = "text") -> DataFrame:

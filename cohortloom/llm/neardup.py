@@ -28,6 +28,8 @@ PERCENT = 75
 COMMON = 9
 #: The union's sketch must hold so many common values of k = 32, which fails as rarely.
 ESTIMATE = 9
+#: Texts whose words a task holds at a time, some 40 bytes for each of theirs.
+ROWS = 512
 #: Most ids that are broadcast to pick the texts of candidates; beyond, ids and texts meet in a shuffle.
 BROADCAST_IDS = 500_000
 
@@ -63,8 +65,8 @@ def sketches(docs: DataFrame, id_column: str, text: str, k: int = K) -> DataFram
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for start in range(0, whole.num_rows, 2048):
-                batch = whole.slice(start, 2048)
+            for start in range(0, whole.num_rows, ROWS):
+                batch = whole.slice(start, ROWS)
                 value, at = shingle_sets(batch["text"])
                 size = np.diff(at)
                 signs = []
@@ -86,8 +88,8 @@ def full_sets(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for start in range(0, whole.num_rows, 1024):
-                batch = whole.slice(start, 1024)
+            for start in range(0, whole.num_rows, ROWS):
+                batch = whole.slice(start, ROWS)
                 value, at = shingle_sets(batch["text"])
                 lists = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(value.view(np.int64)))
                 yield pa.RecordBatch.from_arrays([batch["id"], lists], ["id", "shingles"])

@@ -20,12 +20,17 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortloom.llm.text import mixed, own, powers
+from cohortloom.llm.text import mixed, own, powers, stored
+from cohortloom.session import fresh_path
+from cohortloom.sources.published import remove_folder
 
 WORD_START = "▁"
 UNDECIDED = "und"
 #: Texts pass through the recursion in blocks of so many characters of distinct words.
 BLOCK_CHARS = 400_000
+BATCH_ROWS = 1024
+#: Distinct words of a language that a task of the fit takes.
+TASK_WORDS = 100_000
 _CODE = np.uint64(0x9E3779B97F4A7C15)
 _BACK = np.uint64(pow(int(_CODE), -1, 2**64))
 
@@ -54,16 +59,23 @@ class Pieces:
         order = np.argsort(keys)
         self.keys, self.ids = keys[order], order.astype(np.int32)
         self.seen = np.zeros(1 << 22, bool)
-        self.seen[(keys >> np.uint64(42)).astype(np.int64)] = True
+        heads = (self.keys >> np.uint64(42)).astype(np.int64)
+        self.seen[heads] = True
+        #: Place of the first key with each head of 22 bits, and the most keys that share one.
+        self.first = np.zeros(1 << 22, np.int32)
+        self.first[heads[::-1]] = np.arange(self.size - 1, -1, -1)
+        self.shared = int(np.bincount(np.cumsum(np.diff(heads, prepend=-1) > 0)).max(initial=0))
 
     def find(self, keys: np.ndarray) -> np.ndarray:
         """Number of each piece, -1 where there is none."""
         found = np.full(len(keys), -1, np.int32)
-        maybe = np.flatnonzero(self.seen[(keys >> np.uint64(42)).astype(np.int64)])
-        at = np.searchsorted(self.keys, keys[maybe])
-        at[at == self.size] = 0
-        same = self.keys[at] == keys[maybe] if self.size else np.zeros(0, bool)
-        found[maybe[same]] = self.ids[at[same]]
+        heads = (keys >> np.uint64(42)).astype(np.int64)
+        maybe = np.flatnonzero(self.seen[heads])
+        at = self.first[heads[maybe]]
+        for _ in range(self.shared):
+            same = self.keys[at] == keys[maybe]
+            found[maybe[same]] = self.ids[at[same]]
+            maybe, at = maybe[~same], np.minimum(at[~same] + 1, self.size - 1)
         return found
 
 
@@ -142,27 +154,37 @@ def word_scores(words: list[str], pieces: Pieces, probability: np.ndarray) -> np
 def expected_counts(words: list[str], weight: np.ndarray, pieces: Pieces, probability: np.ndarray) -> np.ndarray:
     """Expected use of each piece over all segmentations of the weighted words, under one distribution."""
     counts = np.zeros(pieces.size + 1)
-    padded = np.append(probability, 0.0)
     for chunk in _chunks(words):
         grid, lengths = _lattice([words[i] for i in chunk], pieces)
         n, top, size_of = grid.shape
         _, forward = _forward(grid, probability)
         at = np.arange(size_of)
         whole = forward[lengths, at]
+        # the entries that are pieces; few are, beyond the single characters
+        used = {(end, size): np.flatnonzero(grid[end, size - 1] >= 0) for end in range(n) for size in range(1, min(top, end + 1) + 1)}
         backward = np.full((n + 1, size_of), -np.inf)
         backward[lengths, at] = 0.0
+        pieces_used, shares, shift = [], [], np.zeros(size_of)
         for place in range(n - 1, -1, -1):
-            best = backward[place]
+            # relative to the next position that leads to the word's end
+            shift = np.where(np.isfinite(backward[place + 1]), backward[place + 1], shift)
+            total = np.zeros(size_of)
+            parts = []
             for size in range(1, min(top, n - place) + 1):
-                with np.errstate(divide="ignore"):
-                    best = np.logaddexp(best, backward[place + size] + np.log(padded[grid[place + size - 1, size - 1]]))
-            backward[place] = best
-        for end in range(n):
-            for size in range(1, min(top, end + 1) + 1):
-                piece = grid[end, size - 1]
-                use = piece >= 0
-                share = np.exp(forward[end + 1 - size][use] + backward[end + 1][use] - whole[use]) * padded[piece[use]]
-                counts += np.bincount(piece[use], share * weight[chunk][use], minlength=pieces.size + 1)
+                use = used[place + size - 1, size]
+                if len(use):
+                    piece = grid[place + size - 1, size - 1, use]
+                    part = np.exp(backward[place + size, use] - shift[use]) * probability[piece]
+                    total[use] += part
+                    parts.append((use, piece, part))
+            reach = forward[place] + shift - whole
+            for use, piece, part in parts:
+                pieces_used.append(piece)
+                shares.append(np.exp(reach[use]) * part * weight[chunk][use])
+            with np.errstate(divide="ignore"):
+                here = shift + np.log(total)
+            backward[place] = np.where(total > 0, here, backward[place])
+        counts += np.bincount(np.concatenate(pieces_used), np.concatenate(shares), minlength=pieces.size + 1)
     return counts
 
 
@@ -188,56 +210,62 @@ class LanguageModel:
     probability: np.ndarray
 
 
-def _sample(docs: DataFrame, text: str, lang: str, doc_id: str, most_docs: int) -> tuple[list[str], DataFrame]:
-    """All languages, and about ``most_docs`` labelled rows, chosen by a hash of the id.
+def _counted_words(docs: DataFrame, text: str, lang: str) -> DataFrame:
+    """(lang, word, n): how often each language's rows, those with a text and a language, have each word."""
 
-    Each language gets an equal part of the bound, so that a rare one is learned as well as a frequent one.
-    """
-    labelled = docs.select(F.col(text).alias("text"), F.col(lang).alias("lang"), F.xxhash64(F.col(doc_id).cast("string")).alias("h")).where("text IS NOT NULL AND lang IS NOT NULL")
-    counted = labelled.groupBy("lang").count().collect()
-    share = {r["lang"]: min(1.0, most_docs / len(counted) / r["count"]) for r in counted}
-    if not share:
-        return [], labelled.select("text", "lang")
-    rate = F.create_map(*[F.lit(x) for pair in share.items() for x in pair])[F.col("lang")]
-    return sorted(share), labelled.where(F.pmod("h", F.lit(1_000_000)) < rate * 1_000_000).select("text", "lang")
-
-
-def fit_languages(
-    docs: DataFrame, vocabulary: list[str], text: str = "text", lang: str = "lang", doc_id: str = "doc_id",
-    most_docs: int = 12_000, rounds: int = 2, smoothing: float = 0.05,
-) -> LanguageModel:
-    """Fit a distribution for every value of ``lang`` on the rows with a text and a language.
-
-    A bounded sample of about ``most_docs`` labelled rows is used, chosen by a hash of the id; the
-    vocabulary bounds what reaches the driver: one number for each language and piece. Without any
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for start in range(0, whole.num_rows, BATCH_ROWS):
+                batch = whole.slice(start, BATCH_ROWS)
+                for name in pc.unique(batch["lang"]).to_pylist():
+                    distinct, numbers, _ = _words(batch["text"].filter(pc.equal(batch["lang"], name)))
+                    count = np.bincount(numbers, minlength=len(distinct))
+                    used = np.flatnonzero(count)
+                    words = distinct.take(pa.array(used)).cast(pa.string())
+                    yield pa.RecordBatch.from_arrays([pa.array([name] * len(used), pa.string()), words, pa.array(count[used])], ["lang", "word", "n"])
+
+    labelled = docs.select(F.col(text).alias("text"), F.col(lang).cast("string").alias("lang")).where("text IS NOT NULL AND lang IS NOT NULL")
+    return labelled.mapInArrow(gather, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
+
+
+def fit_languages(docs: DataFrame, vocabulary: list[str], text: str = "text", lang: str = "lang", rounds: int = 2, smoothing: float = 0.05) -> LanguageModel:
+    """Fit a distribution for every value of ``lang`` on all rows with a text and a language.
+
+    The rows are read once and reduced to the words of each language with their counts; every round then passes over these
+    only. The vocabulary bounds what reaches the driver: one number for each language and piece. Without any
     such row the model knows no language.
     """
-    languages, sample = _sample(docs, text, lang, doc_id, most_docs)
+    spark = docs.sparkSession
+    languages = sorted(r["lang"] for r in docs.select(F.col(lang).cast("string").alias("lang")).where(F.col(text).isNotNull() & F.col("lang").isNotNull()).distinct().collect())
     if not languages:
         return LanguageModel([], vocabulary, np.zeros((0, len(vocabulary) + 1)))
+    path = fresh_path(spark, "language-words")
+    _counted_words(docs, text, lang).write.parquet(path)
+    words = spark.read.schema("lang string, word string, n long").parquet(path)
+    # few bytes, but a long calculation on each: as many tasks as a shuffle has, and more for many words
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), words.count() // TASK_WORDS)
     probability = np.full((len(languages), len(vocabulary) + 1), 1.0 / (len(vocabulary) + 1))
     for _ in range(rounds):
-        shared = docs.sparkSession.sparkContext.broadcast((vocabulary, languages, probability))
+        shared = spark.sparkContext.broadcast((vocabulary, languages, probability))
 
-        def gather(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+        def expect(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             names, order, now = shared.value
-            pieces = Pieces(names)
+            pieces, counts = Pieces(names), np.zeros_like(now)
             for batch in batches:
                 for number, name in enumerate(order):
-                    distinct, numbers, _ = _words(batch["text"].filter(pc.equal(batch["lang"], name)))
-                    if len(numbers):
-                        weight = np.bincount(numbers, minlength=len(distinct)).astype(float)
-                        words = distinct.to_pylist()
-                        used = np.flatnonzero(weight)
-                        counts = expected_counts([words[i] for i in used], weight[used], pieces, now[number])
-                        some = np.flatnonzero(counts)
-                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), number, np.int32)), pa.array(some.astype(np.int32)), pa.array(counts[some])], ["language", "piece", "n"])
-
-        gathered = sample.mapInArrow(gather, "language int, piece int, n double").groupBy("language", "piece").agg(F.sum("n").alias("n")).toArrow()
+                    own_rows = batch.filter(pc.equal(batch["lang"], name))
+                    if own_rows.num_rows:
+                        counts[number] += expected_counts(own_rows["word"].to_pylist(), own_rows["n"].to_numpy().astype(float), pieces, now[number])
+            number, some = np.nonzero(counts)
+            yield pa.RecordBatch.from_arrays([pa.array(number.astype(np.int32)), pa.array(some.astype(np.int32)), pa.array(counts[number, some])], ["language", "piece", "n"])
+
+        expected = words.repartition(tasks, "lang", "word").sortWithinPartitions("lang").mapInArrow(expect, "language int, piece int, n double")
+        gathered = expected.groupBy("language", "piece").agg(F.sum("n").alias("n")).toArrow()
         counts = np.zeros_like(probability)
         counts[gathered["language"].to_numpy(), gathered["piece"].to_numpy()] = gathered["n"].to_numpy()
         probability = (counts + smoothing) / (counts + smoothing).sum(axis=1, keepdims=True)
         shared.unpersist()
+    remove_folder(spark, path)
     return LanguageModel(languages, vocabulary, probability)
 
 
@@ -259,8 +287,8 @@ def predict_language(docs: DataFrame, model: LanguageModel, text: str = "text")
         languages, names, probability = shared.value
         pieces = Pieces(names)
         for whole in batches:
-            for start in range(0, whole.num_rows, 1024):
-                batch = whole.slice(start, 1024)
+            for start in range(0, whole.num_rows, BATCH_ROWS):
+                batch = whole.slice(start, BATCH_ROWS)
                 texts = batch[answer]
                 has = texts.is_valid().to_numpy(zero_copy_only=False)
                 best, top, each = np.full(len(texts), UNDECIDED, object), np.zeros(len(texts)), np.full(len(texts), np.nan)
@@ -287,27 +315,25 @@ def predict_language(docs: DataFrame, model: LanguageModel, text: str = "text")
 
 
 def known_languages(
-    docs: DataFrame, vocabulary: list[str], least_score: float = 0.35, leeway: float = 4.0, least_spread: float = 0.3,
-    text: str = "text", lang: str = "lang", doc_id: str = "doc_id", most_docs: int = 12_000,
-) -> DataFrame:
+    docs: DataFrame, vocabulary: list[str], least_score: float = 0.35, leeway: float = 4.0, least_spread: float = 0.3, text: str = "text", lang: str = "lang"
+) -> DataFrame:
     """The rows of ``docs`` in one of the languages that its labels teach, with all their columns.
 
     A row goes if its text is null or has no letter, if no language is clearly likelier than the others (``least_score``), or
     if even the likeliest one explains its characters far worse than it does its own texts. That limit lies, for each language,
     ``leeway`` times as far below the median of ``per_char`` as the lowest hundredth of its labelled texts (or ``least_spread``, if
-    that is more), so a language that no label teaches goes, and so do random letters. The
-    medians come from the bounded sample that the model is fitted on. Repeated rows each stay or go alike; without labels, and of an
-    empty table, nothing stays; columns named like the results are kept as they are.
+    that is more), so a language that no label teaches goes, and so do random letters. The model and the
+    medians come from all labelled rows; every row is scored once, and the scored rows are written once. Repeated rows each stay or go alike; without
+    labels, and of an empty table, nothing stays; columns named like the results are kept as they are.
     """
-    model = fit_languages(docs, vocabulary, text, lang, doc_id, most_docs)
-    _, sample = _sample(docs, text, lang, doc_id, most_docs)
-    told = predict_language(sample, model).where(F.col("lang_pred") == F.col("row.lang"))
+    model = fit_languages(docs, vocabulary, text, lang)
+    predicted = stored(predict_language(docs, model, text), "language-scores")
+    told = predicted.where(F.col("lang_pred") == F.col("row").getField(lang).cast("string"))
     typical = told.groupBy("lang_pred").agg(F.percentile_approx("per_char", 0.5, 10_000).alias("middle"), F.percentile_approx("per_char", 0.01, 10_000).alias("low")).collect()
     limit = F.lit(float("-inf"))
     for r in typical:  # one row a language
         if r["middle"] is not None:
             lowest = r["middle"] - leeway * max(r["middle"] - r["low"], least_spread)
             limit = F.when(F.col("lang_pred") == r["lang_pred"], F.lit(lowest)).otherwise(limit)
-    predicted = predict_language(docs, model, text)
     explained = F.coalesce(F.col("per_char") >= limit, F.lit(True))
     return predicted.where((F.col("lang_pred") != UNDECIDED) & (F.col("score") >= least_score) & explained).select("row.*")

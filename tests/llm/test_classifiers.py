@@ -79,6 +79,16 @@ def test_odd_rows_and_unlabelled_corpora(spark):
     assert predict_language(no_docs(spark), empty).count() == 0
 
 
+def test_languages_are_fitted_on_every_labelled_row(spark):
+    docs = spark.range(30_001).select(
+        F.when(F.col("id") == 17, "c aba").when(F.col("id") == 18, F.lit(None)).otherwise("a A ab").alias("text"), F.when(F.col("id") != 19, "xx").alias("lang")
+    )
+    found = fit_languages(docs, PIECES, rounds=1, smoothing=0.0)
+    weights = {"a": 2 * 29_998.0, "ab": 29_998.0, "c": 1.0, "aba": 1.0}
+    counts = expected_counts(list(weights), np.array(list(weights.values())), Pieces(PIECES), np.full(len(PIECES) + 1, 1 / (len(PIECES) + 1)))
+    assert found.languages == ["xx"] and found.probability[0] == pytest.approx(counts / counts.sum())
+
+
 def test_held_out_toxicity(spark):
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
     found = op10_toxicity(spark, "/root/testdata/sf0.01").join(labels, "doc_id")

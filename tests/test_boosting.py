@@ -187,3 +187,34 @@ def test_samples_with_repeated_keys_null_groups_and_no_rows(spark):
     assert {r.g: r["count"] for r in found.groupBy("g").count().collect()} == {None: 10, "g": 10}
     assert {r.x for r in found.where("g is null").collect()} == {0}
     assert exact_sample(frame.where("k > 100"), ["k"], 10, ["g"]).count() == 0
+
+
+def test_a_snapped_value_takes_the_same_way_through_every_tree():
+    from cohortloom.operators.boosting import BoostedTrees, Tree, _limits_used, _snapped
+
+    model = BoostedTrees(["a", "b", "unused"])
+    for limit, feature, missing_left in ((1.0, 0, True), (2.5, 0, False), (-3.0, 1, True)):
+        tree = Tree.empty(1)
+        tree.feature[1], tree.limit[1], tree.missing_left[1], tree.value[2], tree.value[3] = feature, limit, missing_left, limit, 7.0 * limit
+        model.trees.append(tree)
+    values = np.array([[-np.inf, 0.5, 1.0, 1.5, 2.5, 9.0, np.inf, np.nan], [-3.0, -3.1, np.nan, 0.0, -np.inf, np.inf, 4.0, 5.0], np.arange(8.0)])
+    limits = _limits_used(model)
+    snapped = np.vstack([_snapped(x, limit) for x, limit in zip(values, limits)])
+    assert (model.margins(snapped) == model.margins(values)).all()
+    assert len(np.unique(snapped[0])) == 4 and not snapped[2].any()
+
+
+def test_the_fit_reads_the_stored_sample_only(spark, monkeypatch):
+    import catalogue.boosting as queries
+
+    seen = []
+
+    def fit(rows, *_):
+        seen.extend(rows.inputFiles())
+        raise InterruptedError
+
+    monkeypatch.setattr(queries, "fit_trees", fit)
+    monkeypatch.setattr(queries, "_FITTED", {})
+    with pytest.raises(InterruptedError):
+        queries._full_fit(spark, "/root/testdata/sf0.001")
+    assert seen and all("train-rows" in path for path in seen)

@@ -330,8 +330,9 @@ def _line_profile(spark, folder):
     """The baseline's profile, merged from two halves of its rows and stored by version."""
     baseline = shifted_lines(spark, folder).where(is_reference())
     halves = [baseline.where(F.pmod("l_orderkey", F.lit(2)) == k) for k in (0, 1)]
-    first = profile_cohort(halves[0], NUMERIC, CATEGORIES)
-    merged = merge_profiles(first, profile_cohort(halves[1], NUMERIC, CATEGORIES, splits=profile_splits(first)))
+    first = write_table(profile_cohort(halves[0], NUMERIC, CATEGORIES), fresh_path(spark, "half-profile"))
+    splits = profile_splits(first)
+    merged = merge_profiles(first, profile_cohort(halves[1], NUMERIC, CATEGORIES, splits=splits), splits=splits)
     stored = write_table(merged.withColumn("data_version", F.lit("baseline_v1")), fresh_path(spark, "profiles"), partition_by=["data_version"])
     return stored.where("data_version = 'baseline_v1'").drop("data_version")
 

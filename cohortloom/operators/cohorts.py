@@ -43,6 +43,15 @@ def _ranged(values: DataFrame, features: Sequence[str], splits: Mapping[str, Seq
     )
 
 
+def _counts(df: DataFrame, columns: Mapping[str, Column], name: str) -> DataFrame:
+    """(feature, ``name``, n): the rows of every value of the columns."""
+    # short names while the rows are counted
+    places = {f"{i}": c for i, c in enumerate(columns)}
+    long = df.select(*[columns[c].alias(i) for i, c in places.items()]).unpivot([], list(places), "place", name)
+    counted = long.where(F.col(name).isNotNull()).groupBy("place", name).agg(F.count(F.lit(1)).alias("n"))
+    return counted.select(F.element_at(F.array(*[F.lit(c) for c in columns]), F.col("place").cast("int") + 1).alias("feature"), name, "n")
+
+
 def profile_cohort(
     df: DataFrame,
     numbers: Sequence[str],
@@ -58,13 +67,14 @@ def profile_cohort(
     if splits is None:
         found = column_summary(df, numbers, ranges=range_count(df, ranges)) if numbers else {}
         splits = {c: found[c].splits for c in numbers}
-    no_value, no_text = F.lit(None).cast("double"), F.lit(None).cast("string")
     digits = digits or {}
     value = {c: round_floor(finite_or_null(c), digits[c]) if c in digits else finite_or_null(c) for c in numbers}
-    entries = [F.struct(F.lit(c).alias("feature"), value[c].alias("value"), no_text.alias("category")) for c in numbers]
-    entries += [F.struct(F.lit(c).alias("feature"), no_value.alias("value"), F.col(c).cast("string").alias("category")) for c in texts]
-    rows = df.select(F.inline(F.array(*entries))).where(F.col("value").isNotNull() | F.col("category").isNotNull())
-    counts = rows.groupBy("feature", "value", "category").agg(F.count(F.lit(1)).alias("n"))
+    parts = []
+    if numbers:
+        parts.append(_counts(df, value, "value").select("feature", "value", F.lit(None).cast("string").alias("category"), "n"))
+    if texts:
+        parts.append(_counts(df, {c: F.col(c).cast("string") for c in texts}, "category").select("feature", F.lit(None).cast("double").alias("value"), "category", "n"))
+    counts = reduce(DataFrame.unionByName, parts)
     return _ranged(counts, list(numbers), splits)
 
 

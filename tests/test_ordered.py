@@ -322,3 +322,20 @@ def test_missing_values_are_in_no_bin(spark):
     holes = rows + [(None, False)] * 50 + [(NAN, False)] * 50 + [(INF, True)] * 9
     psi = [population_stability(spark.createDataFrame(r, "x double, ref boolean"), ["x"], F.col("ref")).first().psi for r in (rows, holes)]
     assert psi == pytest.approx([0.0, 0.0], abs=1e-12)
+
+
+def test_the_first_half_of_the_baseline_is_profiled_once(spark, monkeypatch):
+    import catalogue.monitoring as queries
+
+    read = []
+
+    def splits(profile):
+        read.extend(profile.inputFiles())
+        return profile_splits(profile)
+
+    from cohortloom.operators.cohorts import profile_splits
+
+    monkeypatch.setattr(queries, "profile_splits", splits)
+    monkeypatch.setattr("cohortloom.operators.cohorts.profile_splits", splits)
+    assert queries._line_profile(spark, "/root/testdata/sf0.001").count() > 0
+    assert read and all("half-profile" in path for path in read)

@@ -338,3 +338,15 @@ def test_a_repeated_micro_batch_replaces_itself(spark):
     for batch in (0, 1, 1, 0):
         write_partials(rows, batch, "ts", "kind", "value", target)
     assert merged_profile(spark, target, "kind").first().row_count == 2
+
+
+def test_the_keys_themselves_are_grouped_only_where_hashes_clash(spark, tmp_path, monkeypatch):
+    import cohortloom.sources.published as published
+
+    sound = spark.range(50).selectExpr("id AS a", "CAST(id % 7 AS string) AS b", "id * 2 AS f")
+    for rows in (sound.unionByName(sound.limit(1)), sound.selectExpr("nullif(a, 3) AS a", "b", "f")):
+        with pytest.raises(published.KeyViolation):
+            published.write_feature_table(rows, ["a", "b"], ["f"], str(tmp_path / "refused"))
+    monkeypatch.setattr(published, "key_violations", None)
+    assert published.write_feature_table(sound, ["a", "b"], ["f"], str(tmp_path / "kept")).count() == 50
+    assert published.write_feature_table(sound.limit(0), ["a", "b"], ["f"], str(tmp_path / "empty")).count() == 0

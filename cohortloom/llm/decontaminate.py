@@ -3,8 +3,9 @@
 The items are few and indexed; the corpus is the stream of queries. A passage is a window of words.
 Its score for an item is the sum, over the item's words in the passage, of the words' BM25 impacts.
 As in block-max WAND, items stand in blocks with the largest impact of each word per block, so that a
-passage whose bound stays below a block's lowest threshold skips the block, and most passages skip
-the index. What reaches the threshold is verified: both halves of the item, its question and its
+passage whose bound stays below a block's lowest threshold skips the block; in the other blocks, many
+passages together, an item is left out whose score in a passage's two halves stays below its threshold.
+What reaches the threshold is verified: both halves of the item, its question and its
 answer, must overlap with the text around by word trigrams. Items too short for that are found as a
 whole: word for word, by case and white space alone not told apart. A character of a script without
 spaces counts as a word.
@@ -22,13 +23,15 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortloom.llm.text import mixed, own, span_hashes, utf8, word_list, word_spans
+from cohortloom.llm.text import mixed, own, place_of, span_hashes, utf8, word_list, word_spans
 
 #: Words of half a passage; passages overlap by half, so that any run of so many words is in one.
 STEP = 64
 #: Items in a block of the index.
 BLOCK = 16
 GRAM = 3
+#: Scores of half passages by item that are held at a time.
+CELLS = 1 << 18
 
 
 @dataclass(frozen=True)
@@ -134,6 +137,41 @@ def _grams(words: np.ndarray) -> np.ndarray:
     return np.unique(_run_hashes(words, min(GRAM, len(words))))
 
 
+def _promising(index: Index, live: np.ndarray, joined: np.ndarray, edges: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """The passages, named by their first halves, in which some item may reach its threshold.
+
+    The scores of the two halves, added, are no less than the passage's: a word that both have counts once there.
+    First the blocks are told apart by their bounds, then the items of the blocks that are left.
+    """
+    postings = np.diff(index.edges)
+    threshold = index.threshold * (1 - 1e-6)
+    rows, kept = max(1, CELLS // max(len(index.ids), 1)), []
+    for begin in range(0, len(live), rows):
+        some = live[begin : begin + rows]
+        halves = np.unique(np.concatenate([some, some[joined[some]] + 1]))
+        size = edges[halves + 1] - edges[halves]
+        half = np.repeat(np.arange(len(halves)), size)
+        words = word[np.repeat(edges[halves] - np.cumsum(size) + size, size) + np.arange(size.sum())]
+        left, right, two = np.searchsorted(halves, some), np.searchsorted(halves, some + 1), joined[some]
+        # of each half and block
+        bound = np.zeros((len(halves) + 1, index.blocks))
+        full = np.flatnonzero(size)
+        bound[full] = np.add.reduceat(index.bound[words], (np.cumsum(size) - size)[full], axis=0, dtype=float) if len(full) else 0
+        may = bound[left] + np.where(two[:, None], bound[right], 0) >= index.lowest * (1 - 1e-6)
+        wanted = np.zeros((len(halves) + 1, index.blocks), bool)
+        wanted[left] = may
+        wanted[right[two]] |= may[two]
+        # of each half and item of these blocks
+        each = postings[words]
+        entry = np.repeat(index.edges[words] - np.cumsum(each) + each, each) + np.arange(each.sum())
+        of = np.repeat(half, each)
+        item = index.items[entry]
+        use = wanted[of, item // BLOCK]
+        score = np.bincount(of[use] * len(index.ids) + item[use], index.impact[entry[use]], minlength=(len(halves) + 1) * len(index.ids)).reshape(-1, len(index.ids))
+        kept.append(some[((score[left] + np.where(two[:, None], score[right], 0)) >= threshold).any(axis=1)])
+    return np.concatenate(kept) if kept else live
+
+
 def _whole(index: Index, folded: pa.Array) -> Iterator[tuple[int, int]]:
     """Texts and the short items that they hold word for word, punctuation included."""
     if not index.short:
@@ -178,7 +216,7 @@ def _hits(index: Index, texts: pa.Array, rules: Rules) -> list[list[dict]]:
     edges = np.searchsorted(chunk, np.arange(n + 2))
     out: list[list[dict]] = [[] for _ in range(len(count))]
     found: dict[tuple[int, int], tuple[float, float, float]] = {}
-    for c in live.tolist():
+    for c in _promising(index, live, joined, edges, word).tolist():
         words = np.unique(word[edges[c] : edges[c + (2 if joined[c] else 1)]])
         # skip blocks, then items, that cannot reach their threshold
         blocks = np.flatnonzero(index.bound[words].sum(axis=0) >= index.lowest * (1 - 1e-6))
@@ -223,7 +261,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, rules: Rules = Rules(), te
     words = items.select("id", "text", F.explode(_item_words(F.col("text"))).alias("word"))
     holders = words.distinct().groupBy("word").agg(F.count("*").alias("n"))
     total, length = items.count(), words.count()
-    key, plain = own("row"), own("text")
+    key, place = own("row"), place_of(docs, text)
     result = docs.select(F.struct("*").alias("row"), F.array().cast(_HITS).alias("hits"))
     parts = -(-total // rules.most_items)
     for part in range(parts):
@@ -231,15 +269,15 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, rules: Rules = Rules(), te
         rows = sorted((r["id"] or "", r["text"]) for r in block.collect())
         needed = holders if parts == 1 else holders.join(words.join(block, ["id", "text"], "left_semi").select("word").distinct(), "word", "left_semi")
         shared = spark.sparkContext.broadcast(Index(rows, {r["word"]: r["n"] for r in needed.collect()}, total, length / max(total, 1), rules))
-        given = result.select(F.col("row").alias(key), F.col("hits"), F.col(f"row.`{text}`").alias(plain))
+        given = result.select(F.col("row").alias(key), F.col("hits"))
         kind = given.schema.simpleString()[len(f"struct<{key}:") :].rsplit(",hits:", 1)[0]
 
-        def run(batches: Iterator[pa.RecordBatch], shared=shared, key=key, plain=plain) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch], shared=shared, key=key) -> Iterator[pa.RecordBatch]:
             index = shared.value
             for whole in batches:
                 for start in range(0, whole.num_rows, 1024):
                     batch = whole.slice(start, 1024)
-                    found = _hits(index, batch[plain], rules)
+                    found = _hits(index, pc.struct_field(batch[key], [place]), rules)
                     if parts > 1:
                         found = [a + b for a, b in zip(batch["hits"].to_pylist(), found, strict=True)]
                     yield pa.RecordBatch.from_arrays([batch[key], pa.array(found, _HIT_TYPE)], ["row", "hits"])

@@ -4,7 +4,10 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
+import pytest
 
+from cohortloom.llm import decontaminate as module
 from cohortloom.llm.decontaminate import Index, Rules, decontaminate, find_leaks
 from cohortloom.llm.queries_decontaminate import op9_decontamination
 from cases import FOLDER, no_docs, odd_docs
@@ -58,6 +61,23 @@ def test_block_bounds_are_not_below_any_impact():
     assert index.lowest.shape == (4,) and (index.lowest[index.items // 16] <= index.threshold[index.items]).all()
 
 
+@pytest.mark.parametrize("cells", [1, 500, 1 << 18])
+def test_only_passages_that_may_reach_a_threshold_are_searched(monkeypatch, cells):
+    rng = random.Random(7)
+    frequent, rare = [f"w{i}" for i in range(60)], [f"r{i}" for i in range(2000)]
+    items = [(str(i), " ".join(rng.choice(frequent if k % 2 else rare) for k in range(40))) for i in range(40)]
+    known = [w for _, text in items for w in text.split()]  # of all items, so that no passage holds much of one
+    texts = ["", *(" ".join(rng.choice(known) for _ in range(n)) for n in (1, 63, 64, 65, 700, 2000)), "x " * 70 + items[3][1] + " y", None, items[9][1]]
+    index, seen, narrow = Index(items, {w: 30 for w in frequent}, 40, 40.0, Rules()), [], module._promising
+    monkeypatch.setattr(module, "CELLS", cells)
+    monkeypatch.setattr(module, "_promising", lambda index, live, *rest: seen.extend([live, narrow(index, live, *rest)]) or seen[-1])
+    found = module._hits(index, pa.array(texts, pa.string()), Rules())
+    assert [[h["item"] for h in hits] for hits in found] == [*([[]] * 7), ["3"], [], ["9"]]
+    assert len(seen[0]) > 40 and len(seen[1]) <= 8
+    monkeypatch.setattr(module, "_promising", lambda index, live, *rest: live)
+    assert module._hits(index, pa.array(texts, pa.string()), Rules()) == found
+
+
 def test_odd_rows_and_empty_benchmarks(spark):
     docs = odd_docs(spark)
     items = spark.createDataFrame([(1, None), (2, ""), (3, "too short"), (None, "the quick brown fox jumps over the lazy dog"), (5, "the quick brown fox jumps over the lazy dog")], "item_id int, text string")

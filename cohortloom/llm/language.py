@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortloom.llm.text import mixed, own, powers, stored
+from cohortloom.llm.text import batches_of, mixed, own, place_of, powers, stored
 from cohortloom.session import fresh_path
 from cohortloom.sources.published import remove_folder
 
@@ -240,7 +240,8 @@ def fit_languages(docs: DataFrame, vocabulary: list[str], text: str = "text", la
     if not languages:
         return LanguageModel([], vocabulary, np.zeros((0, len(vocabulary) + 1)))
     path = fresh_path(spark, "language-words")
-    _counted_words(docs, text, lang).write.parquet(path)
+    with batches_of(spark, BATCH_ROWS):
+        _counted_words(docs, text, lang).write.parquet(path)
     words = spark.read.schema("lang string, word string, n long").parquet(path)
     # few bytes, but a long calculation on each: as many tasks as a shuffle has, and more for many words
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), words.count() // TASK_WORDS)
@@ -278,9 +279,8 @@ def predict_language(docs: DataFrame, model: LanguageModel, text: str = "text")
     and 0. Ties go to the first language by name. Texts are read whole; rows are not moved.
     """
     shared = docs.sparkSession.sparkContext.broadcast((model.languages, model.pieces, model.probability))
-    key, answer = own("row"), own("answer")
-    letters = F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False))
-    given = docs.select(F.struct("*").alias(key), F.when(letters, F.col(text)).alias(answer))
+    key, answer, place = own("row"), own("answer"), place_of(docs, text)
+    given = docs.select(F.struct("*").alias(key), F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)).alias(answer))
     schema = given.schema.simpleString()
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -289,8 +289,9 @@ def predict_language(docs: DataFrame, model: LanguageModel, text: str = "text")
         for whole in batches:
             for start in range(0, whole.num_rows, BATCH_ROWS):
                 batch = whole.slice(start, BATCH_ROWS)
-                texts = batch[answer]
-                has = texts.is_valid().to_numpy(zero_copy_only=False)
+                texts = pc.struct_field(batch[key], [place])
+                texts = pc.if_else(batch[answer], texts, pa.scalar(None, texts.type))
+                has = batch[answer].to_numpy(zero_copy_only=False)
                 best, top, each = np.full(len(texts), UNDECIDED, object), np.zeros(len(texts)), np.full(len(texts), np.nan)
                 if languages and has.any():
                     distinct, numbers, rows = _words(texts)
@@ -327,7 +328,8 @@ def known_languages(
     labels, and of an empty table, nothing stays; columns named like the results are kept as they are.
     """
     model = fit_languages(docs, vocabulary, text, lang)
-    predicted = stored(predict_language(docs, model, text), "language-scores")
+    with batches_of(docs.sparkSession, BATCH_ROWS):
+        predicted = stored(predict_language(docs, model, text), "language-scores")
     told = predicted.where(F.col("lang_pred") == F.col("row").getField(lang).cast("string"))
     typical = told.groupBy("lang_pred").agg(F.percentile_approx("per_char", 0.5, 10_000).alias("middle"), F.percentile_approx("per_char", 0.01, 10_000).alias("low")).collect()
     limit = F.lit(float("-inf"))

@@ -1,6 +1,7 @@
 """Each stage of the pipeline keeps what it must, on its own input."""
 
 import corpus_pipeline
+from cohortloom.llm import language
 from cohortloom.llm.neardup import near_duplicates
 from cohortloom.llm.queries import ORACLES, QUERIES
 from cohortloom.llm.text import stored
@@ -60,3 +61,21 @@ def test_what_no_label_teaches_is_rejected_and_clean_texts_stay(spark):
     lettered = docs.where(docs["text"].rlike(r"\p{L}{2,}.*\p{L}{2,}") & docs["lang"].isNotNull())
     lost = lettered.join(kept, "doc_id", "left_anti").count()
     assert lost <= 0.005 * lettered.count()
+
+
+def test_a_worker_of_the_language_stage_holds_few_texts_at_a_time(spark, monkeypatch):
+    docs, size, seen = spark.createDataFrame([(i, "the quick brown fox", "en") for i in range(3000)], "doc_id long, Text string, lang string").coalesce(1), "spark.sql.execution.arrow.maxRecordsPerBatch", []
+    before = spark.conf.get(size)
+    keep = language.stored
+    monkeypatch.setattr(language, "stored", lambda df, name: seen.append((spark.conf.get(size), df.count())) or keep(df, name))
+    assert language.known_languages(docs, language.read_vocabulary(corpus_pipeline.VOCABULARY)).count() == 3000
+    assert seen == [("1024", 3000)] and spark.conf.get(size) == before
+    for rows, held in (("100", "100"), ("0", "1024")):
+        spark.conf.set(size, rows)
+        with language.batches_of(spark, 1024):
+            assert spark.conf.get(size) == held
+        assert spark.conf.get(size) == rows
+        spark.conf.unset(size)
+    model = language.LanguageModel(["en"], ["a"], language.np.ones((1, 2)))
+    plan = language.predict_language(docs.limit(1), model)._jdf.queryExecution().analyzed().toString()
+    assert plan.count("CASE WHEN") == 0  # each text goes to the worker once

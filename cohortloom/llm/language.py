@@ -289,9 +289,8 @@ def predict_language(docs: DataFrame, model: LanguageModel, text: str = "text")
         for whole in batches:
             for start in range(0, whole.num_rows, BATCH_ROWS):
                 batch = whole.slice(start, BATCH_ROWS)
-                texts = pc.struct_field(batch[key], [place])
-                texts = pc.if_else(batch[answer], texts, pa.scalar(None, texts.type))
                 has = batch[answer].to_numpy(zero_copy_only=False)
+                texts = pc.struct_field(batch[key], [place]).take(pa.array(np.arange(len(has)), mask=~has))  # NULL where there is nothing to tell
                 best, top, each = np.full(len(texts), UNDECIDED, object), np.zeros(len(texts)), np.full(len(texts), np.nan)
                 if languages and has.any():
                     distinct, numbers, rows = _words(texts)

@@ -123,3 +123,12 @@ def test_ratios_come_from_all_labelled_texts(spark):
         for f in {int(x) for _, g in gram_features(data, offsets, (3, 4), 16) for x in g}:
             want[y, f] = want.get((y, f), 0) + 1
     assert found == want
+
+
+def test_languages_beyond_the_first_block_of_a_batch(spark):
+    texts = {"en": "the quick brown fox", "de": "der schnelle braune Fuchs", None: "123 !", "": None}
+    kinds = list(texts)
+    docs = spark.createDataFrame([(i, texts[kinds[i % 4]], kinds[i % 4]) for i in range(3000)], "doc_id long, text string, lang string").coalesce(1)
+    model = fit_languages(docs.where("lang IN ('en', 'de')"), read_vocabulary(VOCABULARY))
+    found = {r["doc_id"]: r["lang_pred"] for r in predict_language(docs, model).select("row.doc_id", "lang_pred").collect()}
+    assert found == {i: kinds[i % 4] if i % 4 < 2 else "und" for i in range(3000)}

@@ -95,3 +95,10 @@ def test_short_items_and_scripts_without_spaces(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     found = {r["row"]["doc_id"]: {h["item"] for h in r["hits"]} for r in find_leaks(docs, items).collect()}
     assert found == {0: {"1"}, 1: set(), 2: {"2"}, 3: set(), 4: {"3"}, 5: set(), 6: {"4"}, 7: set(), 8: set(), 9: set()}
+
+
+def test_leaks_beyond_the_first_block_of_a_batch(spark):
+    items = spark.createDataFrame([(i, " ".join(f"w{i}x{k}" for k in range(20))) for i in range(30)], "item_id int, text string")
+    docs = spark.createDataFrame([(i, None if i % 31 == 30 else " ".join(f"w{i % 31}x{k}" for k in range(20))) for i in range(3000)], "doc_id long, text string").coalesce(1)
+    found = {r["doc_id"]: r["items"] for r in find_leaks(docs, items).selectExpr("row.doc_id", "transform(hits, h -> h.item) AS items").collect()}
+    assert found == {i: [] if i % 31 == 30 else [str(i % 31)] for i in range(3000)}
